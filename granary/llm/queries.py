@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
 from .op1_url_filter import filter_urls, parse_rule
+from .op2_simhash import near_duplicates
+from .op3_bpe import Vocabulary, encode_digests
 from .op4_shards import shard_table
+from .op7_toxicity import score_table
 from .op8_quality import apply_quality
 from .op9_mix import mix_documents
 
@@ -18,15 +22,41 @@ URL_RULES = [parse_rule("com/en/", "block"), parse_rule("example.com/en/7", "all
 BLOCKED_DOMAINS = [f"{name}.example.{top}" for name in ("ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")]
 
 
+@cache
+def default_vocabulary() -> Vocabulary:
+    import public_tokenizers
+
+    return Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def default_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocked = spark.createDataFrame([(d,) for d in BLOCKED_DOMAINS], "domain string")
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), blocked, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"), default_vocabulary(), default_pattern())
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(table(spark, sf_dir, "documents"), [1.0] * 16)
 
 
+def op7_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_table(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted", "rejected")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_quality(table(spark, sf_dir, "documents"))
 
@@ -38,7 +68,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
+    "op2_simhash_groups": op2_simhash_groups,
+    "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_sharding": op4_sharding,
+    "op7_toxicity_scores": op7_toxicity_scores,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mix": op9_source_mix,
 }
