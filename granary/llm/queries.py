@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .op10_lines import dedup_report
 from .op1_url_filter import filter_urls, parse_rule
 from .op2_simhash import near_duplicates
 from .op3_bpe import Vocabulary, encode_digests
@@ -66,6 +67,10 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_simhash_groups": op2_simhash_groups,
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity_scores": op7_toxicity_scores,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mix": op9_source_mix,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 _DOMAINS = ", ".join(f"'{d}'" for d in BLOCKED_DOMAINS)
