@@ -14,6 +14,7 @@ from .op1_url_filter import filter_urls, parse_rule
 from .op2_simhash import near_duplicates
 from .op3_bpe import Vocabulary, encode_digests
 from .op4_shards import shard_table
+from .op5_ann import nearest
 from .op7_toxicity import score_table
 from .op8_quality import apply_quality
 from .op9_mix import mix_documents
@@ -53,6 +54,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_table(table(spark, sf_dir, "documents"), [1.0] * 16)
 
 
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_table(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted", "rejected")
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_groups": op2_simhash_groups,
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_sharding": op4_sharding,
+    "op5_nearest_vectors": op5_nearest_vectors,
     "op7_toxicity_scores": op7_toxicity_scores,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mix": op9_source_mix,
