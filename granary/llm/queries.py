@@ -15,6 +15,7 @@ from .op2_simhash import near_duplicates
 from .op3_bpe import Vocabulary, encode_digests
 from .op4_shards import shard_table
 from .op5_ann import nearest
+from .op6_substrings import substring_dedup
 from .op7_toxicity import score_table
 from .op8_quality import apply_quality
 from .op9_mix import mix_documents
@@ -58,6 +59,10 @@ def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_table(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", "held_out", "score", "predicted", "rejected")
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe_round_trip": op3_bpe_round_trip,
     "op4_sharding": op4_sharding,
     "op5_nearest_vectors": op5_nearest_vectors,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_toxicity_scores": op7_toxicity_scores,
     "op8_quality_rules": op8_quality_rules,
     "op9_source_mix": op9_source_mix,
