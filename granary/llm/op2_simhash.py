@@ -1,9 +1,9 @@
 """SimHash near-duplicates by segment-popcount embedding.
 
 A fingerprint's 64 bits form 32 segments of two bits; the vector of segment popcounts embeds it in a grid, where the Manhattan distance is at
-most the Hamming distance. If two fingerprints differ in at most 4 bits, one of their halves (16 segments) is at Manhattan distance 2 or
-less, so some cell lies within 1 of both. Each fingerprint is therefore put into the cells within 1 of its two half vectors (25 on average
-each), fingerprints that meet in a cell are candidates, and the Hamming distance decides: no link is lost.
+most the Hamming distance. If two fingerprints differ in at most 5 bits, one of their halves (16 segments) is at Manhattan distance 2 or
+less, so some cell lies within 1 of both; for up to 8 bits the same holds of thirds. Each fingerprint is therefore put into the cells within 1 of its bands'
+vectors (50 on average), fingerprints that meet in a cell are candidates, and the Hamming distance decides: no link is lost.
 
 Equal fingerprints are one node, so copies never pair up. Members of a cell arrive sorted; up to ``SMALL`` are compared pair by pair, larger cells
 by a search that compares each reached member with those not yet reached, which gives edges that span the same groups in time
@@ -49,9 +49,19 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def segment_counts(half: np.ndarray) -> np.ndarray:
-    """32 bits: each pair of bits replaced by its popcount."""
-    return half - ((half >> np.uint64(1)) & np.uint64(0x55555555))
+def segment_counts(fps: np.ndarray) -> np.ndarray:
+    """Each pair of bits replaced by its popcount."""
+    return fps - ((fps >> np.uint64(1)) & np.uint64(0x5555555555555555))
+
+
+def _bands(count: int) -> list[tuple[int, int]]:
+    """First bit and width of each band of segments."""
+    cuts = [2 * (32 * i // count) for i in range(count + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _band(v: np.ndarray, first: int, width: int) -> np.ndarray:
+    return (v >> np.uint64(first)) & np.uint64((1 << width) - 1)
 
 
 def _manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -61,15 +71,14 @@ def _manhattan(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def cells(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the cells within 1 of either half's vector, and the fingerprint of each."""
-    keys, owners = [], []
-    for half in (0, 1):
-        v = segment_counts((fps >> np.uint64(32 * half)) & np.uint64(0xFFFFFFFF))
-        top = np.uint64(half << 32)
+def cells(fps: np.ndarray, bands: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the cells within 1 of each band's vector, and the fingerprint of each."""
+    keys, owners, counts = [], [], segment_counts(fps)
+    for k, (first, width) in enumerate(_bands(bands)):
+        v, top = _band(counts, first, width), np.uint64(k << 32)
         keys.append(v | top)
         owners.append(fps)
-        for i in range(0, 32, 2):
+        for i in range(0, width, 2):
             c = (v >> np.uint64(i)) & np.uint64(3)
             one = np.uint64(1 << i)
             keys += [(v[c < 2] + one) | top, (v[c > 0] - one) | top]
@@ -91,7 +100,7 @@ def _spanning(f: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
-def links_in_cells(keys: np.ndarray, fps: np.ndarray, limit: int) -> np.ndarray:
+def links_in_cells(keys: np.ndarray, fps: np.ndarray, limit: int, bands: int) -> np.ndarray:
     """Pairs (n, 2) of linked fingerprints; keys are sorted."""
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     sizes = np.diff(np.r_[first, len(keys)])
@@ -107,8 +116,10 @@ def links_in_cells(keys: np.ndarray, fps: np.ndarray, limit: int) -> np.ndarray:
         near = np.bitwise_count(a ^ b) <= limit
         a, b, k = a[near], b[near], k[near]
         # A pair shares several cells: of those, the one that is the smaller vector, if it is one of both, reports it.
-        shift = k & np.uint64(1 << 32)
-        va, vb = (segment_counts(np.where(shift > 0, x >> np.uint64(32), x & np.uint64(0xFFFFFFFF))) for x in (a, b))
+        ca, cb, va, vb = segment_counts(a), segment_counts(b), np.zeros_like(a), np.zeros_like(b)
+        for i, (first_bit, width) in enumerate(_bands(bands)):
+            here = (k >> np.uint64(32)) == i
+            va[here], vb[here] = _band(ca[here], first_bit, width), _band(cb[here], first_bit, width)
         own = (_manhattan(va, vb) > 1) | ((k & np.uint64(0xFFFFFFFF)) == np.minimum(va, vb))
         found.append(np.stack([a[own], b[own]], axis=1))
     for i, n in zip(first[sizes > SMALL], sizes[sizes > SMALL], strict=True):
@@ -131,14 +142,15 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
 
 def near_links(fps: DataFrame, limit: int = 4) -> DataFrame:
     """Links a, b between distinct fingerprints (column fp) at limit or fewer differing bits; spanning in crowded cells."""
-    if not 0 <= limit <= 4:
-        raise ValueError("the grid's radius answers for up to 4 bits")
+    if not 0 <= limit <= 8:
+        raise ValueError("the grid's radius answers for up to 8 bits")
+    bands = 2 if limit <= 5 else 3
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             all_ = x["fp"].to_numpy(np.int64).view(np.uint64)
             for i in range(0, len(all_), 4096):
-                k, f = cells(all_[i : i + 4096])
+                k, f = cells(all_[i : i + 4096], bands)
                 yield pd.DataFrame({"cell": k.view(np.int64), "fp": f.view(np.int64)})
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,12 +165,12 @@ def near_links(fps: DataFrame, limit: int = 4) -> DataFrame:
                 continue
             held.append((k[:cut], f[:cut]))
             held_k, held_f = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-            e = links_in_cells(held_k, held_f, limit).view(np.int64)
+            e = links_in_cells(held_k, held_f, limit, bands).view(np.int64)
             yield pd.DataFrame({"a": e[:, 0], "b": e[:, 1]})
             held = [(k[cut:], f[cut:])]
         if held:
             held_k, held_f = (np.concatenate([h[i] for h in held]) for i in (0, 1))
-            e = links_in_cells(held_k, held_f, limit).view(np.int64)
+            e = links_in_cells(held_k, held_f, limit, bands).view(np.int64)
             yield pd.DataFrame({"a": e[:, 0], "b": e[:, 1]})
 
     in_cells = fps.select("fp").mapInPandas(spread, "cell long, fp long")
