@@ -18,7 +18,7 @@ def vote(members: DataFrame, group: str, lineage: str, depth: int, fraction: flo
     """
     base = members.groupBy(group, lineage).agg(F.count("*").alias("_c"))
     base = base.withColumn("n", F.sum("_c").over(W.partitionBy(group)))
-    each = base.select(group, "n", "_c", lineage, F.explode(F.sequence(F.lit(1), F.lit(depth))).alias("level")).where(F.expr(f"{X"))
+    each = base.select(group, "n", "_c", lineage, F.explode(F.sequence(F.lit(1), F.lit(depth))).alias("level")).where(F.expr(f"get({lineage}, level - 1) != '?'"))
     each = each.groupBy(group, "n", "level", F.array_join(F.slice(lineage, F.lit(1), F.col("level")), ";").alias("name")).agg(F.sum("_c").alias("votes"))
     won = each.where(F.col("votes") >= F.ceil(fraction * F.col("n"))).withColumn("_k", F.count("*").over(W.partitionBy(group, "level")))
     won = won.where("_k = 1").withColumn("_i", F.row_number().over(W.partitionBy(group).orderBy("level")))
