@@ -31,8 +31,8 @@ def elementwise(df: DataFrame, keys: list[str], vector: str, how=F.avg, name: st
 
 def pearson(df: DataFrame, keys: list[str], x: str, y: str, digits: int = 4, name: str = "r") -> DataFrame:
     """Correlation by group, 0 where it is not defined."""
-    r = F.corr(x, y)
-    return df.groupBy(*keys).agg(F.round(F.when(r.isNull() | F.isnan(r), 0.0).otherwise(r), digits).alias(name))
+    r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    return df.groupBy(*keys).agg(F.round(F.coalesce(F.nanvl(r, F.lit(0.0)), F.lit(0.0)), digits).alias(name))
 
 
 def average_rank(df: DataFrame, keys: list[str], x: str, name: str) -> DataFrame:

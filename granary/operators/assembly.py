@@ -21,9 +21,9 @@ def n_descending(df: DataFrame, group: str, length: str, share: float = 0.5, gen
     """group, n, l: the first length, longest first, whose running total passes int(share * total), and its place; genome replaces the total."""
     s = _by_length(df, group, length, True)
     goal = F.floor(F.lit(share) * (F.lit(genome) if genome else F.col("total")))
-    hit = s.where(F.col("run") > goal).groupBy(group).agg(F.max("len").alias("n"), F.max(F.struct("len", "run", "seen", "w", "c")).alias("h"), F.max(goal).alias("g"))
-    before = F.col("h.run") - F.col("h.w")
-    place = F.col("h.seen") - F.col("h.c") + F.floor((F.col("g") - before) / F.greatest(F.col("h.len"), F.lit(1))) + 1
+    hit = s.where(F.col("run") > goal).groupBy(group).agg(F.max("len").alias("n"), F.max(F.struct("len", "run", "seen", "w", "c")).alias("_h"), F.max(goal).alias("_goal"))
+    before = F.col("_h.run") - F.col("_h.w")
+    place = F.col("_h.seen") - F.col("_h.c") + F.floor((F.col("_goal") - before) / F.greatest(F.col("_h.len"), F.lit(1))) + 1
     return hit.select(group, "n", place.cast("long").alias("l"))
 
 
