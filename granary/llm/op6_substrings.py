@@ -115,7 +115,7 @@ def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def _bits(keys: DataFrame):
-    return build_level(keys.select(F.xxhash64("doc", "th").alias("key")).distinct(), 1, 0.01, 1 << 23)
+    return build_level(keys.select(F.xxhash64("doc", "th").alias("key")).distinct(), 1, 0.01, 1 << 22)
 
 
 def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -157,7 +157,8 @@ def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     streamed = streamed.select(F.pmod(F.xxhash64("anchor", "chunk"), F.lit(shards)).cast("int").alias("shard"), (F.col("own") == F.col("chunk")).alias("index"), "anchor", "seg", "doc", "words")
     found = streamed.groupBy("shard").applyInPandas(lambda x: search_shard(x, window), "anchor long, seg long, a int, b int")
     found = found.groupBy("anchor", "seg").agg(F.collect_set(F.struct("a", "b")).alias("parts"))
-    kinds = kinds.select("anchor", "seg", F.col("doc").alias("f_doc")).join(found, ["anchor", "seg"], "left")
+    # Written, so that the join below stands alone and a segment that very many documents hold can be split.
+    kinds = materialize(kinds.select("anchor", "seg", F.col("doc").alias("f_doc")).join(found, ["anchor", "seg"], "left"))
     hits = every.join(kinds, ["anchor", "seg"]).where("doc > f_doc or parts is not null")
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("len").alias("b")))
     hits = hits.select("doc", "th", "start", F.explode(F.when(F.col("doc") > F.col("f_doc"), whole).otherwise(F.col("parts"))).alias("p"))
