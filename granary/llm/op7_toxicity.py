@@ -72,16 +72,24 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30)))) if self.trained else 0.0
 
 
-def train(docs: list[list[str]], labels: list[int], epochs: int = EPOCHS, seed: int = 7, rate: float = 0.1) -> Model:
+def encode(texts: list[str | None], most: int = MAX_FIT_WORDS) -> list[np.ndarray | None]:
+    """Feature rows (words, 3) of each text; None for texts of more words. Strings are let go one text at a time."""
+    memo: dict[str, tuple[int, int, int]] = {}
+    out = []
+    for t in texts:
+        w = words(t)
+        out.append(np.array([memo.get(x) or memo.setdefault(x, features(x)) for x in w], np.int32).reshape(-1, 3) if len(w) <= most else None)
+        if len(memo) > MEMO // 4:
+            memo.clear()
+    return out
+
+
+def train(ids: list[np.ndarray], labels: list[int], epochs: int = EPOCHS, seed: int = 7, rate: float = 0.1) -> Model:
     """Adagrad over single texts; gradients reach the words that a maximum came from."""
     rng = np.random.default_rng(seed)
     m, y = Model(), np.asarray(labels)
     if len(set(labels)) < 2:
         return m
-    memo: dict[str, tuple[int, int, int]] = {}
-    ids = []
-    for d in docs:
-        ids.append(np.array([memo.get(w) or memo.setdefault(w, features(w)) for w in d], np.int64).reshape(-1, 3))
     # The first dimension starts as the bucket's log odds by documents, the others as small noise.
     seen = np.zeros((2, BUCKETS), np.float32)
     for x, t in zip(ids, y, strict=True):
@@ -190,8 +198,10 @@ def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str,
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_fit_rows: int = MAX_FIT_ROWS) -> tuple[Model, dict[str, float]]:
     """The model, and thresholds by language ('' for the rest)."""
     got = _sample(docs, labels, key, text, label, 0, max_fit_rows)
-    pairs = [(w, r["y"]) for r in got for w in [words(r["_t"])] if len(w) <= MAX_FIT_WORDS]
-    model = train([w for w, _ in pairs], [y for _, y in pairs])
+    pairs = [(x, r["y"]) for x, r in zip(encode([r["_t"] for r in got]), got, strict=True) if x is not None]
+    del got
+    model = train([x for x, _ in pairs], [y for _, y in pairs])
+    del pairs
     check = _sample(docs, labels, key, text, label, 2, max_fit_rows // 3)
     s = Scorer(model)
     scores, y = np.array([s.score(r["_t"]) for r in check]), np.array([r["y"] for r in check])
