@@ -102,10 +102,10 @@ def build_level(keys: DataFrame, seed: int, rate: float, max_bits: int) -> Level
     hashes = max(1, round(bits / max(n, 1) * math.log(2))) if n else 1
     hashes = min(hashes, 16)
     at = keys.select(F.explode(F.array(*_positions(F.col("key"), seed, bits, hashes))).alias("p"))
-    rows = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).collect()
+    found = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).toArrow()
     words = [0] * (bits // 64)
-    for r in rows:
-        words[r["w"]] = r["b"]
+    for w, b in zip(found["w"].to_pylist(), found["b"].to_pylist(), strict=True):
+        words[w] = b
     return Level(seed, bits, hashes, tuple(words))
 
 
