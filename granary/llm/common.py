@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -59,6 +60,12 @@ def drop(df: DataFrame) -> None:
         _delete(df.sparkSession, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the shuffle files of finished plans go now; Spark deletes them when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -16,11 +16,12 @@ ids count as one document; rows without an id keep all their lines; an empty tab
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import SPACE_CLASS, drop, materialize, words_of
+from .common import SPACE_CLASS, materialize, release, words_of
 from .op1_url_filter import build_level, level_holds
 
 COUNTERS = 1 << 18
@@ -31,80 +32,118 @@ def rarity_classes(docs: DataFrame, text: str = "text", counters: int = COUNTERS
     """For each hash range the class (0 to 63) of its frequency over all words; ``counters`` numbers at most reach the driver."""
     at = docs.select(F.explode(words_of(F.col(text))).alias("w")).select((F.xxhash64("w").bitwiseAND(F.lit(counters - 1))).cast("int").alias("i"))
     level = F.least(F.lit(63), F.floor(F.log2("n") * 2).cast("int"))
-    out = [0] * counters
-    for r in at.groupBy("i").agg(F.count("*").alias("n")).select("i", level.alias("c")).collect():
-        out[r["i"]] = r["c"]
-    return out
+    found = at.groupBy("i").agg(F.count("*").alias("n")).select("i", level.alias("c")).toArrow()
+    out = np.zeros(counters, np.int64)
+    out[found["i"].to_numpy()] = found["c"].to_numpy()
+    return out.tolist()
 
 
-def line_sets(docs: DataFrame, classes: list[int], key: str, text: str, min_tokens: int) -> DataFrame:
-    """key, line, toks (sorted distinct tokens), n, set, sig of each line with at least min_tokens."""
+def _tokens(docs: DataFrame, classes: list[int], key: str, text: str, wanted=None) -> DataFrame:
+    """key, line_no, toks (sorted distinct tokens) of lines; wanted: a condition on key and line_no."""
     t = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line"))
+    t = t if wanted is None else t.where(wanted)
     table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
     mask = F.lit(len(classes) - 1)
     hashes = F.transform(F.expr(WORDS), lambda w: F.xxhash64(w))
     toks = F.transform(hashes, lambda h: F.shiftleft(F.get(table, h.bitwiseAND(mask).cast("int")), 57).bitwiseOR(F.shiftrightunsigned(h, 7)))
-    t = t.select("key", "line_no", F.sort_array(F.array_distinct(toks)).alias("toks"))
-    t = t.where(F.size("toks") >= min_tokens)
+    return t.select("key", "line_no", F.sort_array(F.array_distinct(toks)).alias("toks"))
+
+
+def line_sets(docs: DataFrame, classes: list[int], key: str, text: str, num: int, den: int, min_tokens: int) -> DataFrame:
+    """key, line_no, n, set, sig and prefix (32-bit names of the rarest tokens) of each line with at least min_tokens."""
+    # No partition has a negative number: this keeps the filter on n from being pushed down and the tokens from being made twice.
+    n = F.when(F.spark_partition_id() < 0, F.lit(0)).otherwise(F.size("toks"))
+    t = _tokens(docs, classes, key, text).withColumn("n", n).where(F.col("n") >= min_tokens)
     parity = F.expr("aggregate(toks, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))")
-    return t.select("key", "line_no", "toks", F.size("toks").alias("n"), F.xxhash64("toks").alias("set"), parity.alias("sig"))
+    prefix = F.expr(f"transform(slice(toks, 1, n - (({num} * n + {den - 1}) div {den}) + 1), x -> hash(x))")
+    return t.select("key", "line_no", "n", F.xxhash64("toks").alias("set"), parity.alias("sig"), prefix.alias("prefix"))
 
 
 def _fits(a: str, b: str, num: int, den: int) -> Column:
-    need = f"(({num} * ({a}.n + {b}.n) + {num + den - 1}) div {num + den})"
+    """Length, positional and parity filters on payloads key, sig, n << 32 | line_no, pos."""
+    n = {x: f"cast(shiftright({x}[2], 32) as int)" for x in (a, b)}
+    need = f"(({num} * ({n[a]} + {n[b]}) + {num + den - 1}) div {num + den})"
     return F.expr(
-        f"{den} * least({a}.n, {b}.n) >= {num} * greatest({a}.n, {b}.n) and 1 + least({a}.n - {a}.pos - 1, {b}.n - {b}.pos - 1) >= {need} "
-        f"and bit_count({a}.sig ^ {b}.sig) <= {a}.n + {b}.n - 2 * {need}"
+        f"{den} * least({n[a]}, {n[b]}) >= {num} * greatest({n[a]}, {n[b]}) and 1 + least({n[a]} - {a}[3] - 1, {n[b]} - {b}[3] - 1) >= {need} "
+        f"and bit_count({a}[1] ^ {b}[1]) <= {n[a]} + {n[b]} - 2 * {need}"
     )
 
 
-def _pairs_verified(pairs: DataFrame, lines: DataFrame, num: int, den: int) -> DataFrame:
-    """Of pairs (key, line_no, o_key, o_line), those whose token sets reach num/den."""
+def _line(x: str) -> Column:
+    return F.expr(f"cast({x}[2] & 4294967295L as int)")
+
+
+def _before(a: str, b: str) -> Column:
+    return F.expr(f"{a}[0] < {b}[0] or ({a}[0] = {b}[0] and ({a}[2] & 4294967295L) < ({b}[2] & 4294967295L))")
+
+
+def _pair(b: str, a: str) -> list[Column]:
+    """The probe b, the earlier line a, and how many parities they share beyond chance: the likeliest pairs have most."""
+    near = F.expr(f"64 - bit_count({a}[1] ^ {b}[1])").alias("near")
+    return [F.expr(f"{b}[0]").alias("key"), _line(b).alias("line_no"), F.expr(f"{a}[0]").alias("o_key"), _line(a).alias("o_line"), near]
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, classes: list[int], key: str, text: str, num: int, den: int) -> DataFrame:
+    """key and line_no of pairs (key, line_no, o_key, o_line) whose token sets reach num/den."""
     ends = pairs.select("key", "line_no").union(pairs.select("o_key", "o_line")).distinct()
-    level = build_level(ends.select(F.xxhash64("key", "line_no").alias("key")), 1, 0.01, 1 << 23)
-    near = lines if level is None else lines.where(level_holds(level, F.xxhash64("key", "line_no")))  # only spares the shuffle most lines
-    toks = materialize(near.select("key", "line_no", "toks").join(ends, ["key", "line_no"], "left_semi").dropDuplicates(["key", "line_no"]))
+    level = build_level(ends.select(F.xxhash64("key", "line_no").alias("key")), 1, 0.01, 1 << 22)
+    near = None if level is None else level_holds(level, F.xxhash64("key", "line_no"))  # only spares other lines the work
+    toks = _tokens(docs, classes, key, text, near).repartition("key", "line_no").dropDuplicates(["key", "line_no"])
     other = toks.select(F.col("key").alias("o_key"), F.col("line_no").alias("o_line"), F.col("toks").alias("o_toks"))
     both = pairs.join(toks, ["key", "line_no"]).join(other, ["o_key", "o_line"])
     shared = F.size(F.array_intersect("toks", "o_toks"))
-    return both.where(den * shared >= num * (F.size("toks") + F.size("o_toks") - shared)).select("key", "line_no", "o_key", "o_line")
+    return both.where(den * shared >= num * (F.size("toks") + F.size("o_toks") - shared)).select("key", "line_no").distinct()
 
 
 def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5, min_tokens: int = 5) -> DataFrame:
-    """key and line_no (from 0) of every line that an earlier line makes redundant."""
-    lines = line_sets(docs.select(key, text), rarity_classes(docs, text), key, text, min_tokens)
-    prefix = F.expr(f"slice(toks, 1, n - (({num} * n + {den - 1}) div {den}) + 1)")
-    first = F.min(F.struct("key", "line_no")).alias("first")
-    sets = lines.select("key", "line_no", "n", "set", "sig", prefix.alias("prefix")).groupBy("set", "sig", "n", "prefix").agg(first)
-    sets = materialize(sets.select("set", "sig", "n", "prefix", "first.key", "first.line_no"))
+    """key and line_no (from 0) of every line that an earlier line makes redundant; key is an integer."""
+    classes = rarity_classes(docs, text)
+    slim = docs.select(F.col(key).cast("long").alias(key), text)
+    lines = materialize(line_sets(slim, classes, key, text, num, den, min_tokens))
+    place = (F.col("key").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(18,0)")).cast("decimal(38,0)") + F.col("line_no")
+    at = F.min(place.cast("decimal(38,0)")).alias("at")  # a decimal keeps the aggregate in a hash table
+    line_no = F.expr("cast(pmod(at, cast(4294967296 as decimal(38,0))) as int)")
+    first = [F.expr("cast(floor((at - pmod(at, cast(4294967296 as decimal(38,0)))) / 4294967296) as bigint)").alias("key"), line_no.alias("line_no")]
+    sets = lines.groupBy("set", "sig", "n", "prefix").agg(at).select("sig", "n", "prefix", *first)
     rows = sets.select("key", "line_no", "n", "sig", "prefix", F.posexplode("prefix").alias("pos", "token"))
-    rows = rows.select("key", "line_no", "n", "sig", "pos", "token", F.coalesce(F.hash(F.expr("get(prefix, pos + 1)")), F.lit(0)).alias("nxt")).repartition("token")
-    own = F.struct("key", "line_no", "n", "sig", "pos")
-    rows = rows.withColumn("lead", F.min(own).over(W.partitionBy("token", "nxt"))).withColumn("cnt", F.count("*").over(W.partitionBy("token"))).where("cnt > 1")
-    rows = rows.withColumn("me", own).drop("cnt")
-    rows = rows.withColumn("held", (F.struct("lead.key", "lead.line_no") < F.struct("key", "line_no")) & _fits("me", "lead", num, den))
+    # One array of longs a row: every use below asks for the same columns, and none may be null, so they share one exchange.
+    me = F.expr("array(key, sig, shiftleft(cast(n as bigint), 32) | line_no, cast(pos as bigint), cast(coalesce(get(prefix, pos + 1), 0) & 65535 as bigint))")
+    rows = rows.select(F.coalesce("token", F.lit(0)).alias("token"), me.alias("me")).repartition("token").withColumn("nxt", F.expr("me[4]"))
+    order = F.struct(F.expr("me[0]"), F.expr("me[2] & 4294967295L"), "me")
+    rows = rows.withColumn("lead", F.min(order).over(W.partitionBy("token", "nxt"))).withColumn("cnt", F.count("*").over(W.partitionBy("token"))).where("cnt > 1")
+    rows = rows.select("token", "me", F.col("lead.me").alias("lead"))
+    rows = rows.withColumn("held", _before("lead", "me") & _fits("me", "lead", num, den))
 
     def joined(probes: DataFrame) -> DataFrame:
         a = rows.select("token", F.col("me").alias("a"))
-        b = probes.select("token", F.col("me").alias("b"))
-        hit = b.join(a, (a["token"] == b["token"]) & F.expr("struct(a.key, a.line_no) < struct(b.key, b.line_no)") & _fits("b", "a", num, den))
-        return hit.select(F.col("b.key").alias("key"), F.col("b.line_no").alias("line_no"), F.col("a.key").alias("o_key"), F.col("a.line_no").alias("o_line"))
+        b = probes.select(F.col("token").alias("t"), F.col("me").alias("b"))
+        return b.join(a, (F.col("t") == F.col("token")) & _before("a", "b") & _fits("b", "a", num, den)).select(*_pair("b", "a"))
 
-    led = rows.where("held").select("key", "line_no", F.col("lead.key").alias("o_key"), F.col("lead.line_no").alias("o_line"))
+    led = rows.where("held").select(*_pair("me", "lead"))
+    probe, pair = ["key", "line_no"], ["key", "line_no", "o_key", "o_line"]
     pairs = materialize(led.union(joined(rows.where("not held"))).distinct())
-    matched = materialize(_pairs_verified(pairs, lines, num, den).select("key", "line_no").distinct())
-    refuted = materialize(pairs.select("key", "line_no").distinct().join(matched, ["key", "line_no"], "left_anti"))
+    release(docs.sparkSession)
+
+    def settle(found: DataFrame) -> DataFrame:
+        """Probes of found that a pair proves: the likeliest pair of each first, the other pairs of those that it does not prove then."""
+        best = found.groupBy(*probe).agg(F.max_by(F.struct("o_key", "o_line"), "near").alias("o")).select(*probe, "o.*")
+        sure = materialize(_verified(best, slim, classes, key, text, num, den))
+        release(docs.sparkSession)
+        rest = materialize(found.select(*pair).join(sure, probe, "left_anti").join(best, pair, "left_anti"))
+        return sure if rest.isEmpty() else materialize(sure.union(_verified(rest, slim, classes, key, text, num, den)).distinct())
+
+    matched = settle(pairs)
+    refuted = materialize(pairs.select(*probe).distinct().join(matched, probe, "left_anti"))
     if not refuted.isEmpty():
-        again = joined(rows.where("held").join(refuted, ["key", "line_no"], "left_semi")).join(pairs, ["key", "line_no", "o_key", "o_line"], "left_anti")
-        again = materialize(again.distinct())
+        held = rows.where("held").withColumn("key", F.expr("me[0]")).withColumn("line_no", _line("me"))
+        again = materialize(joined(held.join(refuted, probe, "left_semi")).join(pairs, pair, "left_anti").distinct())
+        release(docs.sparkSession)
         if not again.isEmpty():
-            matched = materialize(matched.union(_pairs_verified(again, lines, num, den).select("key", "line_no")).distinct())
-    placed = sets.select("set", "sig", "key", "line_no").join(matched.withColumn("gone", F.lit(True)), ["key", "line_no"], "left")
-    placed = placed.select("set", "sig", F.col("key").alias("f_key"), F.col("line_no").alias("f_line"), F.coalesce("gone", F.lit(False)).alias("gone"))
-    every = lines.select("key", "line_no", "set", "sig").join(placed, ["set", "sig"])
-    out = every.where("gone or key != f_key or line_no != f_line").select(F.col("key").alias(key), "line_no").distinct()
-    drop(pairs)
-    return out
+            matched = materialize(matched.union(settle(again)).distinct())
+    placed = lines.groupBy("set", "sig", "n").agg(at).select("set", "sig", "n", *first).join(matched.withColumn("gone", F.lit(True)), probe, "left")
+    placed = placed.select("set", "sig", "n", F.col("key").alias("f_key"), F.col("line_no").alias("f_line"), F.coalesce("gone", F.lit(False)).alias("gone"))
+    every = lines.select("key", "line_no", "set", "sig", "n").join(placed, ["set", "sig", "n"])
+    return every.where("gone or key != f_key or line_no != f_line").select(F.col("key").alias(key), "line_no").distinct()
 
 
 def _by_document(docs: DataFrame, key: str, text: str, **kw) -> DataFrame:
