@@ -20,12 +20,18 @@ def reverse_complement(s: Column, iupac: bool = False) -> Column:
     return F.translate(F.reverse(s), IUPAC if iupac else DNA, IUPAC_COMPLEMENT if iupac else DNA_COMPLEMENT)
 
 
+def _each_place(s: Column, size: Column, of) -> Column:
+    """of(characters, i) for i from 0 to size - 1. The characters are split once and bound to a name; substring() by place would walk a long text again and again."""
+    chars = F.array(F.slice(F.split(s, ""), F.lit(1), F.greatest(F.length(s), F.lit(1))))
+    return F.get(F.transform(chars, lambda c: F.transform(F.sequence(F.lit(0), size - 1), lambda i: of(c, i))), F.lit(0))
+
+
 def translate_codons(s: Column) -> Column:
     """Trailing Ns and bases beyond a multiple of three are dropped; unknown codons become X."""
     t = F.regexp_replace(F.upper(s), "N+$", "")
     codes = F.create_map(*[F.lit(x) for kv in sorted(codon_table().items()) for x in kv])
     n = F.floor(F.length(t) / 3).cast("int")
-    each = F.transform(F.sequence(F.lit(1), n), lambda i: F.coalesce(F.try_element_at(codes, F.substring(t, i * 3 - 2, F.lit(3))), F.lit("X")))
+    each = _each_place(t, n, lambda c, i: F.coalesce(F.try_element_at(codes, F.array_join(F.slice(c, i * 3 + 1, F.lit(3)), "")), F.lit("X")))
     return F.when(s.isNull(), None).when(n < 1, "").otherwise(F.array_join(each, ""))
 
 
@@ -41,7 +47,7 @@ def gc_percent(s: Column) -> Column:
 
 def every_third(s: Column) -> Column:
     n = F.floor(F.length(s) / 3).cast("int")
-    return F.when(n < 1, "").otherwise(F.array_join(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(s, i * 3, F.lit(1))), ""))
+    return F.when(n < 1, "").otherwise(F.array_join(_each_place(s, n, lambda c, i: F.get(c, i * 3 + 2)), ""))
 
 
 def gc3_percent(s: Column) -> Column:
@@ -51,7 +57,7 @@ def gc3_percent(s: Column) -> Column:
 
 def kmers(s: Column, k: int) -> Column:
     n = F.length(s)
-    return F.when(n < k, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(F.lit(1), n - k + 1), lambda i: F.substring(s, i, F.lit(k))))
+    return F.when(n < k, F.array().cast("array<string>")).otherwise(_each_place(s, n - k + 1, lambda c, i: F.array_join(F.slice(c, i + 1, F.lit(k)), "")))
 
 
 def chunks(s: Column, size: int) -> Column:
