@@ -187,10 +187,10 @@ def m16_lca(spark, d):
 WITH x AS (SELECT o_orderpriority AS g, r_name, n_name, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 m AS (SELECT g, 0 AS k, max(v) / sum(v) AS s FROM (SELECT g, r_name, count(*) AS v FROM x GROUP BY ALL) GROUP BY 1 UNION ALL SELECT g, 1, max(v) / sum(v) FROM (SELECT g, n_name, count(*) AS v FROM x GROUP BY ALL) GROUP BY 1
   UNION ALL SELECT g, 2, max(v) / sum(v) FROM (SELECT g, c_mktsegment, count(*) AS v FROM x GROUP BY ALL) GROUP BY 1)
-SELECT g, round(sum((3 - k) * s) / sum(3 - k), 6) AS score FROM m GROUP BY 1""")
+SELECT g, round(sum((3 - k) * s) / sum(3 - k), 10) AS score FROM m GROUP BY 1""")
 def a21_congruence(spark, d):
     x = _lineages(spark, d).select(F.col("o_orderpriority").alias("g"), "lineage")
-    return taxonomy.congruence(x, "g", "lineage", 3).withColumn("score", F.round("score", 6))
+    return taxonomy.congruence(x, "g", "lineage", 3).withColumn("score", F.round("score", 10))
 
 
 @query("""
