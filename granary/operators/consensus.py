@@ -55,3 +55,36 @@ def watterson(msa: DataFrame, gene: str, species: str, seq: str) -> DataFrame:
 def merge_identities(pairs: DataFrame, a: str, b: str, identity: str, length: str) -> DataFrame:
     """Identity of each pair over genes, weighted by length."""
     return pairs.groupBy(a, b).agg((F.sum(F.col(identity) * F.col(length)) / F.sum(length)).alias(identity))
+
+
+def codon_sites(msa: DataFrame, gene: str, species: str, seq: str, outgroup: list | None = None) -> DataFrame:
+    """gene, codon (from 1), kind: constant, synonymous or nonsynonymous over the species' known codons (outgroup ignored; gaps and Ns tolerated)."""
+    from ..functions.sequence import codon_table
+
+    codes = F.create_map(*[F.lit(x) for kv in sorted(codon_table().items()) for x in kv])
+    m = msa if not outgroup else msa.where(~F.col(species).isin(outgroup))
+    c = m.select(gene, F.posexplode(F.regexp_extract_all(F.upper(F.col(seq)), F.lit("(...)"), F.lit(1))).alias("i", "codon")).where("codon rlike '^[ACGT]{3}$'")
+    n = c.withColumn("aa", F.try_element_at(codes, F.col("codon"))).groupBy(gene, (F.col("i") + 1).alias("codon_no")).agg(F.countDistinct("codon").alias("k"), F.countDistinct("aa").alias("a"))
+    return n.select(gene, F.col("codon_no").alias("codon"), F.when(F.col("k") == 1, "constant").when(F.col("a") == 1, "synonymous").otherwise("nonsynonymous").alias("kind"))
+
+
+def fill_consensus(calls: DataFrame, contig: str, length: str, gap: str = "n") -> DataFrame:
+    """contig, seq: called bases (pos from 1, base) in place, gap elsewhere; positions beyond length are left out."""
+    pieces = calls.where(f"pos between 1 and {length}").groupBy(contig, F.col(length).alias("_n")).agg(F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("x"))
+    # Between two calls a repeat fills the gap, so the work follows the calls and not the map of every place.
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("s"))
+    built = F.aggregate("x", start, lambda a, e: F.struct(e["pos"].cast("int").alias("at"), F.concat(a["s"], F.repeat(F.lit(gap), e["pos"].cast("int") - a["at"] - 1), e["base"]).alias("s")))
+    return pieces.select(contig, F.concat(built["s"], F.repeat(F.lit(gap), (F.col("_n") - built["at"]).cast("int"))).alias("seq"))
+
+
+def conspecific_score(freqs: Column, bases: Column, below: float = 0.8, low: int = 20, high: int = 80) -> Column:
+    """Share of alternative frequencies below ``below`` times the percentage of frequencies between low and high percent, by 100 over the sequence's bases."""
+    mid = F.size(F.filter(freqs, lambda f: (f * 100 >= low) & (f * 100 < high)))
+    few = F.size(F.filter(freqs, lambda f: f < below))
+    return F.when((F.size(freqs) >= 5) & (bases > 0), few * (100.0 * mid / F.size(freqs)) * 100.0 / bases).otherwise(0.0)
+
+
+def merge_variants(a: DataFrame, b: DataFrame) -> DataFrame:
+    """chrom, pos, alts, qual: both tables' variants by position, alleles in order, highest quality."""
+    u = a.select("chrom", "pos", "alt", "qual").unionByName(b.select("chrom", "pos", "alt", "qual"))
+    return u.groupBy("chrom", "pos").agg(F.array_join(F.sort_array(F.collect_set("alt")), ",").alias("alts"), F.max("qual").alias("qual"))

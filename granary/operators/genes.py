@@ -124,3 +124,52 @@ def shared_vectors(df: DataFrame, group: str, vector: str, digits: int = 3) -> D
     each = df.select(group, F.posexplode(vector).alias("i", "x")).groupBy(group, "i").agg(F.sum("x").alias("s"))
     total = F.sum("s").over(W.partitionBy(group))
     return each.select(group, "i", F.round(F.when(total == 0, 0.0).otherwise(100.0 * F.col("s") / total), digits).alias("value"))
+
+
+def segments(df: DataFrame, by: list[str], order: list[str], sentinel: Column) -> DataFrame:
+    """Adds segment: how many sentinel rows stand at or before each row; sentinel rows go."""
+    w = W.partitionBy(*by).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    return df.withColumn("segment", F.sum(F.when(sentinel, 1).otherwise(0)).over(w)).where(~sentinel)
+
+
+def replicate_by_coverage(contigs: DataFrame, coverage: str, size: int, most: int) -> DataFrame:
+    """Each contig's pieces of ``size``, repeated by its rounded coverage (at most ``most`` times). contigs: id, seq."""
+    from ..functions.sequence import chunks
+
+    times = F.least(F.greatest(F.round(F.col(coverage)).cast("int"), F.lit(1)), F.lit(most))
+    p = contigs.withColumn("_k", times).select("id", "_k", F.explode(chunks(F.col("seq"), size)).alias("c"))
+    return p.select("id", F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("copy"), "c.start", "c.end", "c.seq")
+
+
+def rename_contigs(contigs: DataFrame, tag: str, circular: Column) -> DataFrame:
+    """old, new (``tag__C<n>_L=<length>=``, longest first) and circular; lengths are counted from the sequence for every contig. One sample at a time."""
+    w = W.partitionBy(F.lit(0)).orderBy(F.desc(F.length("seq")), "id")
+    return contigs.select(F.col("id").alias("old"), F.format_string(f"{tag}__C%d_L=%d=", F.row_number().over(w), F.length("seq")).alias("new"), circular.alias("circular"))
+
+
+def interleave(first: DataFrame, second: DataFrame) -> DataFrame:
+    """id, seq, qual: mate one, a separator N, and the reverse complement of mate two."""
+    from ..functions.sequence import reverse_complement
+
+    b = second.select("id", F.col("seq").alias("_s"), F.col("qual").alias("_q"))
+    return first.join(b, "id").select("id", F.concat("seq", F.lit("N"), reverse_complement(F.col("_s"))).alias("seq"), F.concat("qual", F.lit("!"), F.reverse("_q")).alias("qual"))
+
+
+def nearest(distances: DataFrame, k: int = 10, beyond: float = 0.01) -> DataFrame:
+    """Of a, b, distance the k nearest b of each a farther than ``beyond`` (ties to the smaller b)."""
+    w = W.partitionBy("a").orderBy("distance", "b")
+    return distances.where(F.col("distance") > beyond).withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+
+
+def resistance_hits(hits: DataFrame, subjects: DataFrame) -> DataFrame:
+    """query, classes, drugs of hits with evalue < 1e-5 that reach their subject's lowest identity threshold. subjects: subject, min_id, class, drug."""
+    low = subjects.groupBy("subject").agg(F.min("min_id").alias("min_id"), F.collect_set("class").alias("c"), F.collect_set("drug").alias("d"))
+    ok = hits.join(low, "subject").where("evalue < 1e-5 and pident >= min_id")
+    flat = lambda x: F.array_join(F.sort_array(F.array_distinct(F.flatten(F.collect_list(x)))), ",")
+    return ok.groupBy("query").agg(flat("c").alias("classes"), flat("d").alias("drugs"))
+
+
+def chimeric_contigs(alignments: DataFrame, contig: str, length: str, aln_len: str, share: float = 0.995, slack: int = 10) -> DataFrame:
+    """contig, covered, chimeric: whether its alignments add up to less than share * length - slack."""
+    s = alignments.groupBy(contig).agg(F.sum(aln_len).alias("covered"), F.max(length).alias("_l"))
+    return s.select(contig, "covered", (F.col("covered") < share * F.col("_l") - slack).alias("chimeric"))

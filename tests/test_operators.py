@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from granary.functions import sequence as seq
 from granary.functions import stats
-from granary.operators import assembly, bins, consensus, hits, intervals, matrix, taxonomy
+from granary.operators import assembly, bins, consensus, genes, hits, intervals, matrix, taxonomy
 
 
 def one(spark, expr, **cols):
@@ -123,3 +123,37 @@ def test_empty_tables(spark):
     e = spark.createDataFrame([], "g string, len int")
     assert assembly.n_descending(e, "g", "len").count() == 0
     assert matrix.normalize(spark.createDataFrame([], "feature string, sample string, value double")).count() == 0
+
+
+def test_codon_sites(spark):
+    df = spark.createDataFrame([("g", "a", "TTTATGGAA"), ("g", "b", "TTCATGGAC"), ("g", "o", "AAAAAAAAA")], "gene string, species string, s string")
+    assert rows(consensus.codon_sites(df, "gene", "species", "s", ["o"]), "codon", "kind") == [(1, "synonymous"), (2, "constant"), (3, "nonsynonymous")]
+
+
+def test_filled_consensus_and_score(spark):
+    df = spark.createDataFrame([("c", 2, "A", 6), ("c", 4, "g", 6), ("c", 9, "T", 6)], "contig string, pos int, base string, len int")
+    assert rows(consensus.fill_consensus(df, "contig", "len"), "seq") == [("nAngnn",)]
+    f = spark.createDataFrame([([0.1, 0.5, 0.5, 0.9, 1.0],)], "f array<double>")
+    assert f.select(consensus.conspecific_score(F.col("f"), F.lit(100)).alias("x")).first()["x"] == 120.0
+
+
+def test_reads_and_contigs(spark):
+    r = lambda s, q: one(spark, genes.read_passes(F.col("s"), F.col("q"), least=4, homopolymer=3), s=s, q=q)
+    assert r("ACGTA", "IIIII") and not r("ACG", "III") and not r("ACGTA", "!!!!!") and not r("AAAAC", "IIIII") and not r("NNNAC", "IIIII")
+    a = spark.createDataFrame([("r", "AC", "AB")], "id string, seq string, qual string")
+    assert tuple(genes.interleave(a, a).first()) == ("r", "ACNGT", "AB!BA")
+    c = spark.createDataFrame([("c", "ACGTA", 2.4)], "id string, seq string, cov double")
+    assert rows(genes.replicate_by_coverage(c, "cov", 3, 5), "copy", "start", "seq") == [(1, 1, "ACG"), (1, 4, "TA"), (2, 1, "ACG"), (2, 4, "TA")]
+
+
+def test_resistance_hits(spark):
+    h = spark.createDataFrame([("q", "s", 1e-9, 91.0), ("q", "t", 1e-9, 50.0), ("p", "s", 1e-3, 99.0)], "query string, subject string, evalue double, pident double")
+    s = spark.createDataFrame([("s", 90.0, "c1", "d1"), ("s", 95.0, "c2", "d1"), ("t", 90.0, "c3", "d3")], "subject string, min_id double, class string, drug string")
+    assert rows(genes.resistance_hits(h, s), "query", "classes", "drugs") == [("q", "c1,c2", "d1")]
+
+
+def test_missing_cluster_raises(spark):
+    g, i = spark.createDataFrame([("a",)], "m string"), spark.createDataFrame([("b", 1)], "m string, cluster int")
+    with pytest.raises(Exception, match="no cluster for a"):
+        genes.to_clusters(g, i, "m").collect()
+    assert genes.to_clusters(g, i, "m", strict=False).count() == 0
