@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample (``fit_rows`` vectors, by hash order) with ``branching`` children a node down to about ``leaves`` leaves; every
+The tree is fitted on a bounded sample (``fit_rows`` vectors, by hash order) with ``branching`` children a node down to about ``leaves`` leaves (one for 512 rows, 4096 at most); every
 row is then put into its leaf. A query walks the tree best-bin-first: a priority queue holds the branches not taken by how near their centres are, and
 the best is opened next, until ``visits`` leaves are reached. Visits are calibrated: a sample of queries is answered exactly (in blocks, each with a
 running top list) and visits double from a few leaves until the wanted recall is reached; all leaves is exact.
@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 
 from .common import materialize
 
-FIT_ROWS, BRANCHING, TILE, CALIBRATE = 20_000, 8, 4096, 64
+FIT_ROWS, BRANCHING, TILE, CALIBRATE, MAX_LEAVES = 20_000, 8, 4096, 64, 4096
 
 
 @dataclass
@@ -37,6 +37,9 @@ class Node:
     children: list[Node]
     leaf: int = -1
 
+    def __post_init__(self) -> None:
+        self.centres = np.stack([n.centre for n in self.children]) if self.children else None
+
 
 @dataclass
 class Tree:
@@ -50,7 +53,7 @@ class Tree:
         while queue and len(out) < visits:
             _, _, node = heapq.heappop(queue)
             while node.leaf < 0:
-                near = self._scores(node, q)
+                near = node.centres @ q
                 best = int(near.argmax())
                 for i, child in enumerate(node.children):
                     if i != best:
@@ -69,15 +72,11 @@ class Tree:
             if node.leaf >= 0:
                 out[at] = node.leaf
                 continue
-            c = np.stack([n.centre for n in node.children])
+            c = node.centres
             best = (x[at] @ c.T - 0.5 * (c * c).sum(axis=1)).argmax(axis=1)
             stack += [(n, at[best == i]) for i, n in enumerate(node.children) if (best == i).any()]
         return out
 
-    @staticmethod
-    def _scores(node: Node, q: np.ndarray) -> np.ndarray:
-        return np.stack([n.centre for n in node.children]) @ q
-
 
 def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) -> tuple[np.ndarray, np.ndarray]:
     c = x[rng.choice(len(x), k, replace=False)]
@@ -204,7 +203,7 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
         return empty
     base = base.where(F.size("vec") == wide["d"])
     n = wide["n"]
-    leaves = leaves or int(min(4096, max(8, 2 * n**0.5)))
+    leaves = leaves or int(min(MAX_LEAVES, max(8, n // 512)))
     fit = base.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("vec").toPandas()
     tree = fit_tree(_matrix(fit["vec"]), leaves)
     shared = spark.sparkContext.broadcast(tree)
