@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by a hierarchical k-means tree.
 
-The tree is fitted on a bounded sample (``fit_rows`` vectors, by hash order) with ``branching`` children a node down to about ``leaves`` leaves (one for 512 rows, 4096 at most); every
+The tree is fitted on a bounded sample (``fit_rows`` vectors, by hash order) with ``branching`` children a node down to about ``leaves`` leaves (one for 1024 rows, 4096 at most); every
 row is then put into its leaf. A query walks the tree best-bin-first: a priority queue holds the branches not taken by how near their centres are, and
 the best is opened next, until ``visits`` leaves are reached. Visits are calibrated: a sample of queries is answered exactly (in blocks, each with a
 running top list) and visits double from a few leaves until the wanted recall is reached; all leaves is exact.
@@ -203,7 +203,7 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
         return empty
     base = base.where(F.size("vec") == wide["d"])
     n = wide["n"]
-    leaves = leaves or int(min(MAX_LEAVES, max(8, n // 512)))
+    leaves = leaves or int(min(MAX_LEAVES, max(8, n // 1024)))
     fit = base.orderBy(F.xxhash64("id"), "id").limit(fit_rows).select("vec").toPandas()
     tree = fit_tree(_matrix(fit["vec"]), leaves)
     shared = spark.sparkContext.broadcast(tree)
