@@ -62,3 +62,29 @@ def test_pipeline(spark, folder):
         t = want[r["doc_id"]] or ""
         assert r["n_tokens"] == len(enc.encode_ordinary(t)) and r["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
     assert sorted(map(tuple, corpus_pipeline.run(spark, folder).collect())) == sorted(map(tuple, out[4]))
+
+
+def test_near_copies_against_all_pairs(spark):
+    """Copies at a similarity of 0.8 and somewhat above go, those just below stay, whatever their fingerprints say."""
+    rng = np.random.default_rng(12)
+    texts = [[f"v{x}" for x in rng.integers(0, 500, 20 + 3 * i)] for i in range(60)]
+    for i in range(60):
+        for k in range(4):
+            w = list(texts[i])
+            for at in rng.choice(len(w), 1 + (i + k) % 4, replace=False):
+                w[at] = f"new{i}x{k}"
+            texts.append(w[: len(w) - k % 2 * (i % 12)])
+    rows = [(i, " ".join(w).upper() if i % 3 else " ".join(w), "en", "s", 1) for i, w in enumerate(texts)] + [(500, "a b", "en", "s", 1), (501, "A  b", "en", "s", 1), (502, "a b c", "en", "s", 1)]
+    sets = [{tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} for _, t, *_ in rows]
+    label, linked, far = [r[0] for r in rows], 0, 0
+    for i in range(len(rows)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                linked += 1
+                far += (op2_simhash.fingerprint(rows[i][1], 5) ^ op2_simhash.fingerprint(rows[j][1], 5)).bit_count() > corpus_pipeline.NEAR_BITS
+                lo, hi = sorted((label[i], label[j]))
+                label = [lo if x == hi else x for x in label]
+    assert linked > 50 and far > 10
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()}
+    assert got == {r[0] for r, x in zip(rows, label, strict=True) if r[0] == x}
