@@ -5,8 +5,8 @@ several widths slide over the whole text, each filter's maximum goes through tan
 contribution to every filter once, so a text costs gathers and maxima only; long texts are walked in overlapping blocks.
 
 Training uses a bounded sample (``max_fit_rows`` labelled rows, half of them positive, each of at most ``max_fit_words`` words; longer rows are left out of the
-fit only) of rows whose crc32(id as text) mod 3 is 0. Rows with remainder 2 calibrate a threshold for each language; remainder 1 is held out. Labels,
-language, source and id are never inputs of a score.
+fit only) of rows whose crc32(id as text) mod 3 is 0. All labelled rows with remainder 2, whole, calibrate a threshold for each language: they are scored
+in Spark, and only counts by language, label and grid step reach the driver. Remainder 1 is held out. Labels, language, source and id are never inputs of a score.
 
 Defined cases: a null or empty text is scored like any other (its filters see padding); a row without an id is scored and never learned from;
 repeated labels of a document count as their maximum; without labels of both kinds every score is 0; repeated rows repeat; an empty table
@@ -170,45 +170,73 @@ class Scorer:
         return self.model.score(top)
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray, default: float = 0.7) -> float:
-    """The threshold with the highest F1, at most the default; the default where there is too little to tell."""
-    if labels.sum() < 5 or (1 - labels).sum() < 5:
-        return default
-    grid = np.linspace(0.3, default, 9)[::-1]
-    f1 = [2 * ((scores >= t) & (labels == 1)).sum() / max(1, (scores >= t).sum() + labels.sum()) for t in grid]
-    return float(grid[int(np.argmax(f1))])
+GRID = np.linspace(0.3, 0.7, 9)  # ascending; the last is the default
+
+
+def best_threshold(counts: np.ndarray) -> float:
+    """The threshold with the highest F1, the highest of equals; the default where there is too little to tell. counts: by label, and by how many thresholds a score reaches."""
+    if min(counts.sum(axis=1)) < 5:
+        return float(GRID[-1])
+    clean, hits = counts[:, ::-1].cumsum(axis=1)[:, :-1]  # from the highest threshold down
+    f1 = 2 * hits / np.maximum(1, clean + hits + counts[1].sum())
+    return float(GRID[::-1][int(np.argmax(f1))])
 
 
 def fold(key: str):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3
 
 
-def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, remainder: int, rows: int) -> list:
-    """At most rows labelled documents of a fold, half of each label, by hash order of the id."""
-    own = labels.groupBy(key).agg(F.max(label).cast("int").alias("y")).where((fold(key) == remainder) & F.col("y").isin(0, 1))
+def _labelled(labels: DataFrame, key: str, label: str, remainder: int) -> DataFrame:
+    """key and y, its label, of a fold."""
+    return labels.groupBy(key).agg(F.max(label).cast("int").alias("y")).where((fold(key) == remainder) & F.col("y").isin(0, 1))
+
+
+def _lang(docs: DataFrame):
+    return (F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")).alias("_lang")
+
+
+def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int) -> list:
+    """At most rows labelled documents of the fit's fold, half of each label, by hash order of the id."""
+    own = _labelled(labels, key, label, 0)
     order = F.xxhash64(F.col(key).cast("string"))
     few = [own.where(F.col("y") == y).orderBy(order, key).limit(rows // 2) for y in (0, 1)]
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    picked = docs.select(key, F.col(text).alias("_t"), lang.alias("_lang")).join(F.broadcast(few[0].union(few[1])), key)  # at most `rows` rows
+    picked = docs.select(key, F.col(text).alias("_t")).join(F.broadcast(few[0].union(few[1])), key)  # at most `rows` rows
     picked = picked.where(F.length(F.coalesce("_t", F.lit(""))) <= 8 * MAX_FIT_WORDS)
-    got = picked.select(key, "_t", "_lang", "y").limit(2 * rows).collect()
+    got = picked.select(key, "_t", "y").limit(2 * rows).collect()
     return sorted(got, key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r["_t"] or ""))
 
 
+def _counts(docs: DataFrame, labels: DataFrame, model: Model, key: str, text: str, label: str) -> dict[str, np.ndarray]:
+    """For each language ('' without one) best_threshold's counts over all labelled rows of the calibration fold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * DIM floats
+    scorer: list[Scorer] = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not scorer:
+            scorer.append(Scorer(shared.value))
+        for x in batches:
+            step = np.searchsorted(GRID, [scorer[0].score(t.as_py()) for t in x["_t"]], side="right")
+            yield pa.RecordBatch.from_arrays([x["_lang"], x["y"], pa.array(step.astype(np.int32))], ["lang", "y", "step"])
+
+    rows = docs.select(key, F.col(text).alias("_t"), _lang(docs)).join(_labelled(labels, key, label, 2), key)
+    rows = rows.select(F.coalesce("_lang", F.lit("")).alias("_lang"), "y", "_t")
+    out: dict[str, np.ndarray] = {}
+    for lang, y, step, n in rows.mapInArrow(run, "lang string, y int, step int").groupBy("lang", "y", "step").count().collect():
+        out.setdefault(lang, np.zeros((2, len(GRID) + 1), np.int64))[y, step] = n
+    shared.unpersist()
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_fit_rows: int = MAX_FIT_ROWS) -> tuple[Model, dict[str, float]]:
     """The model, and thresholds by language ('' for the rest)."""
-    got = _sample(docs, labels, key, text, label, 0, max_fit_rows)
+    got = _sample(docs, labels, key, text, label, max_fit_rows)
     pairs = [(x, r["y"]) for x, r in zip(encode([r["_t"] for r in got]), got, strict=True) if x is not None]
     del got
     model = train([x for x, _ in pairs], [y for _, y in pairs])
     del pairs
-    check = _sample(docs, labels, key, text, label, 2, max_fit_rows // 3)
-    s = Scorer(model)
-    scores, y = np.array([s.score(r["_t"]) for r in check]), np.array([r["y"] for r in check])
-    langs = np.array([r["_lang"] or "" for r in check])
-    cut = {"": best_threshold(scores, y) if len(check) else 0.7}
-    for g in sorted(set(langs) - {""}):
-        cut[g] = best_threshold(scores[langs == g], y[langs == g])
+    counts = _counts(docs, labels, model, key, text, label) if model.trained else {}
+    cut = {"": best_threshold(sum(counts.values(), np.zeros((2, len(GRID) + 1), np.int64)))}
+    cut |= {g: best_threshold(c) for g, c in sorted(counts.items()) if g}
     return model, cut
 
 

@@ -356,3 +356,33 @@ def test_op10_refuted_leaders(spark):
     got = {r["doc_id"]: bool(r["n_removed"]) for r in op10_lines.dedup_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     want = brute_lines(rows)
     assert got == {i: bool(want[i]) for i in range(60)}
+
+
+def test_op7_thresholds_use_all_labelled_rows(spark):
+    """Thresholds are those of every labelled row of the calibration fold, at its class mix and with long texts."""
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(2400):
+        toxic, strong = i % 10 == 0, rng.random()
+        t = prose(rng, 30)
+        if toxic and strong < 0.5:
+            t = t.replace(" ", " grumbleplex ", 1)
+        elif toxic or strong < 0.4:  # at the true mix one in eight is toxic, in a sample of halves more than one in two
+            t = t.replace(" ", " mumbleplex ", 1)
+        if i % 40 == 0:
+            t += " " + " ".join(["calm"] * 4000)
+        rows.append((i, t, ("en", "de", None)[i % 3]))
+        labels.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, cut = op7_toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), max_fit_rows=300)
+    import zlib
+
+    scorer, y = op7_toxicity.Scorer(model), dict(labels)
+    check = [(g or "", y[i], scorer.score(t)) for i, t, g in rows if zlib.crc32(str(i).encode()) % 3 == 2]
+    assert len(check) > 300 and any(len(t) > 16000 for _, t, _ in rows)
+    want = {}
+    for g in ("", "de", "en"):
+        s = [(a, b) for x, a, b in check if not g or x == g]
+        f1 = {t: 2 * sum(a for a, b in s if b >= t) / (sum(b >= t for _, b in s) + sum(a for a, _ in s)) for t in np.linspace(0.3, 0.7, 9)}
+        want[g] = max(f1, key=lambda t: (f1[t], t)) if 5 <= sum(a for a, _ in s) <= len(s) - 5 else 0.7
+    assert cut == want
