@@ -10,7 +10,9 @@ pass the filters that row proposes no other pair. If such a proposal is refuted,
 round, so no match is lost. A line is removed if an earlier line (by id, then place) has an equal set or one that
 reaches the threshold, whether or not that earlier line is itself kept.
 
-Defined cases: null or empty texts have no lines to remove; lines of under ``min_tokens`` distinct words are kept and remove nothing; rows with equal
+Sets too small to reach the threshold with a set of another size (at 4/5 those of under four tokens) only need the equal-set path and have no prefix.
+
+Defined cases: null or empty texts have no lines to remove; lines of under ``min_tokens`` distinct words (by default those without a word) are kept and remove nothing; rows with equal
 ids count as one document; rows without an id keep all their lines; an empty table gives no rows; extra columns pass through.
 """
 
@@ -55,7 +57,8 @@ def line_sets(docs: DataFrame, classes: list[int], key: str, text: str, num: int
     n = F.when(F.spark_partition_id() < 0, F.lit(0)).otherwise(F.size("toks"))
     t = _tokens(docs, classes, key, text).withColumn("n", n).where(F.col("n") >= min_tokens)
     parity = F.expr("aggregate(toks, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))")
-    prefix = F.expr(f"transform(slice(toks, 1, n - (({num} * n + {den - 1}) div {den}) + 1), x -> hash(x))")
+    other = f"{den} * n >= {num} * (n + 1)"  # the closest set of another size has one token more
+    prefix = F.expr(f"transform(slice(toks, 1, if({other}, n - (({num} * n + {den - 1}) div {den}) + 1, 0)), x -> hash(x))")
     return t.select("key", "line_no", "n", F.xxhash64("toks").alias("set"), parity.alias("sig"), prefix.alias("prefix"))
 
 
@@ -95,7 +98,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: list[int], key: str, t
     return both.where(den * shared >= num * (F.size("toks") + F.size("o_toks") - shared)).select("key", "line_no").distinct()
 
 
-def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5, min_tokens: int = 5) -> DataFrame:
+def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5, min_tokens: int = 1) -> DataFrame:
     """key and line_no (from 0) of every line that an earlier line makes redundant; key is an integer."""
     classes = rarity_classes(docs, text)
     slim = docs.select(F.col(key).cast("long").alias(key), text)

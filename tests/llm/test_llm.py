@@ -386,3 +386,21 @@ def test_op7_thresholds_use_all_labelled_rows(spark):
         f1 = {t: 2 * sum(a for a, b in s if b >= t) / (sum(b >= t for _, b in s) + sum(a for a, _ in s)) for t in np.linspace(0.3, 0.7, 9)}
         want[g] = max(f1, key=lambda t: (f1[t], t)) if 5 <= sum(a for a, _ in s) <= len(s) - 5 else 0.7
     assert cut == want
+
+
+def test_op10_short_lines(spark):
+    """Lines of one to six distinct words against brute force: equal sets below four, and four words against five."""
+    rng = np.random.default_rng(11)
+    rows = [(i, "\n".join(" ".join(f"q{x}" for x in rng.integers(0, 9, rng.integers(0, 7))) for _ in range(6))) for i in range(120)]
+    rows += [(200, "Les.\n\nLes."), (201, "Les.\n  \nLes. Les."), (202, "z1 z2 z3 z4 z5\nz1 z2 z3 z4"), (203, "y1 y2 y3 y4"), (204, "y5 y4 y3 y2 y1\nx1 x2 x3"), (205, "x1 x2 x3 x4"), (None, "Les.")]
+    want, seen = collections.defaultdict(set), []
+    for d, t in rows[:-1]:
+        for i, line in enumerate(t.split("\n")):
+            if s := frozenset(SPLIT.findall(line)):
+                if any(5 * len(s & o) >= 4 * len(s | o) for o in seen):
+                    want[d].add(i)
+                seen.append(s)
+    assert want[200] == {2} and want[201] == {0, 2} and want[202] == {1} and want[204] == {0} and not want[205]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: set(r["removed_lines"]) for r in op10_lines.dedup_report(docs).collect()}
+    assert got == {d: want[d] if d is not None else set() for d, _ in rows}
