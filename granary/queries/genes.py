@@ -40,7 +40,7 @@ def p14_conspecific_filter(spark, d):
 
 @query()
 def p17_read_quality(spark, d):
-    x = table(spark, d, "documents").selectExpr("doc_id", "substring(upper(translate(text, ' ', 'N')), 1, 300) as seq")
+    x = table(spark, d, "documents").selectExpr("doc_id", "upper(translate(text, ' ', 'N')) as seq")
     return x.select("doc_id", genes.read_passes(F.col("seq"), F.col("seq"), ambiguous=60).alias("passes"))
 
 
