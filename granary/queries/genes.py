@@ -69,6 +69,13 @@ def a28_markers_per_group(spark, d):
     return genes.marker_table(table(spark, d, "lineitem").where("l_suppkey <= 40"), "l_suppkey", "l_returnflag", "l_partkey", ["A", "N", "R"])
 
 
+@query("""
+WITH n AS (SELECT l_suppkey, l_returnflag AS c, count(DISTINCT l_partkey) AS k, string_agg(DISTINCT CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS g FROM lineitem GROUP BY ALL)
+SELECT l_suppkey, max(g) FILTER (c = 'A') AS "A", max(g) FILTER (c = 'N') AS "N", max(g) FILTER (c = 'R') AS "R", round(avg(k), 4) AS copies FROM n GROUP BY 1""")
+def a28_markers_every_group(spark, d):
+    return genes.marker_table(table(spark, d, "lineitem"), "l_suppkey", "l_returnflag", "l_partkey", ["A", "N", "R"])
+
+
 @query("SELECT user_id, count(*) AS places, round(avg(value), 4) AS mean, median(value) AS median, round(count(*) FILTER (value > 0) / count(*), 4) AS covered FROM events GROUP BY 1")
 def a34_coverage_summary(spark, d):
     return genes.coverage_summary(table(spark, d, "events"), ["user_id"], "value")
@@ -108,6 +115,13 @@ def f29_extracted_genes(spark, d):
     return genes.extract_genes(docs.selectExpr("doc_id", "text as seq"), g, "doc_id").select("doc_id", "seq")
 
 
+@query("SELECT doc_id, substr(text, 11, 90) AS seq FROM documents WHERE n_chars >= 100")
+def f29_genes_every_document(spark, d):
+    docs = table(spark, d, "documents").where("n_chars >= 100")
+    g = docs.selectExpr("doc_id", "concat('g', doc_id) as gene", "11 as start", "100 as end", "'+' as strand")
+    return genes.extract_genes(docs.selectExpr("doc_id", "text as seq"), g, "doc_id").select("doc_id", "seq")
+
+
 @query("""
 WITH r AS (SELECT l_partkey AS gene, l_suppkey AS target, max(l_discount) AS r FROM lineitem GROUP BY ALL), t AS (SELECT *, max(r) OVER (PARTITION BY gene) AS m FROM r) SELECT gene, min(target) AS target FROM t WHERE r >= m - 0.015 GROUP BY 1""")
 def m10_disentangled_genes(spark, d):

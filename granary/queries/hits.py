@@ -114,6 +114,11 @@ def j06_interleaved_mates(spark, d):
     return h.groupBy("query", "subject").agg(F.sum("bitscore").alias("bits"), F.sum("aln_len").alias("aln_len"), F.round(F.avg("pident"), 6).alias("pident"))
 
 
+@query(f"SELECT query, subject, sum(bitscore) AS bits, sum(aln_len) AS aln_len, round(avg(pident), 6) AS pident FROM {_HITS} GROUP BY ALL")
+def j06_mates_every_query(spark, d):
+    return hit_table(spark, d).groupBy("query", "subject").agg(F.sum("bitscore").alias("bits"), F.sum("aln_len").alias("aln_len"), F.round(F.avg("pident"), 6).alias("pident"))
+
+
 @query("""
 WITH s AS (SELECT DISTINCT l_suppkey % 20 AS a, l_partkey AS i FROM lineitem), c AS (SELECT DISTINCT o_custkey % 20 AS b, l_partkey AS i FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 p AS (SELECT a, b, count(*) AS shared FROM s JOIN c USING (i) GROUP BY ALL), na AS (SELECT a, count(*) AS n FROM s GROUP BY 1), nb AS (SELECT b, count(*) AS n FROM c GROUP BY 1)

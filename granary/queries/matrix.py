@@ -147,6 +147,21 @@ def s08_matrix_scan(spark, d):
     return matrix.long(k03_matrix_writer(spark, d).drop("total"), "p_brand").where("value > 0")
 
 
+_NATIONS = range(25)
+
+
+@query(f"""
+SELECT p_brand, {", ".join(f"coalesce(sum(q) FILTER (nation = {i}), 0) AS s{i}" for i in _NATIONS)}, coalesce(sum(q), 0) AS total FROM {_SALES} GROUP BY ALL""")
+def k03_matrix_every_nation(spark, d):
+    m = sales(spark, d).groupBy("p_brand", F.concat(F.lit("s"), F.col("nation")).alias("sample")).agg(F.sum("q").alias("q"))
+    return matrix.wide(m, "p_brand", "sample", "q", [f"s{i}" for i in _NATIONS])
+
+
+@query(f"SELECT p_brand, 's' || nation AS sample, sum(q) AS value FROM {_SALES} GROUP BY ALL HAVING sum(q) > 0")
+def s08_scan_every_nation(spark, d):
+    return matrix.long(k03_matrix_every_nation(spark, d).drop("total"), "p_brand").where("value > 0")
+
+
 @query("""
 WITH p AS (SELECT DISTINCT l_partkey % 40 AS f, l_suppkey AS s FROM lineitem), n AS (SELECT f, count(*) AS n FROM p GROUP BY 1),
 b AS (SELECT x.f AS a, y.f AS b, count(*) AS both_n FROM p x JOIN p y ON x.s = y.s AND x.f < y.f GROUP BY ALL)
