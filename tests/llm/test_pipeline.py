@@ -88,3 +88,12 @@ def test_near_copies_against_all_pairs(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"] for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect()}
     assert got == {r[0] for r, x in zip(rows, label, strict=True) if r[0] == x}
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Rows that share the smallest id, and rows without an id, are counted as rows."""
+    t, u, v = ("one two three four five six seven", "other words that make up a text", "a third text of a few words")
+    rows = [(1, t), (1, t), (2, t), (None, t), (None, u), (None, u), (3, v), (3, "an unlike text under one id"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = collections.Counter((r["doc_id"], r["text"] or "") for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect())
+    assert got == collections.Counter([(1, t), (None, u), (3, v), (3, "an unlike text under one id"), (None, "")])
