@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import atexit
-import gc
-import tempfile
 import uuid
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +31,10 @@ def words_of(c: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set (tests)."""
-    sc = spark.sparkContext
-    set_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    """The folder that driver and executors share: spark.checkpoint.dir, or what SparkContext.setCheckpointDir was given."""
+    set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_dir:
-        set_dir = "file://" + tempfile.mkdtemp(prefix="granary-shared-")
-        sc.setCheckpointDir(set_dir)
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return set_dir.rstrip("/")
 
 
@@ -60,12 +59,6 @@ def drop(df: DataFrame) -> None:
         _delete(df.sparkSession, path)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the shuffle files of finished plans go now; Spark deletes them when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
@@ -79,3 +72,67 @@ def _clean_up() -> None:
                 _delete(spark, path)
         except Exception:  # the JVM may have ended first; its folder is then the cluster's to clean
             return
+
+
+class Plain:
+    """A table under positional column names (c0, c1, ...), so that no name of an operator clashes with one of the table's, in whatever case."""
+
+    def __init__(self, df: DataFrame):
+        self.names = df.columns
+        self.df = df.toDF(*[f"c{i}" for i in range(len(self.names))])
+
+    def find(self, name: str) -> str | None:
+        """The positional name of a column: the exact name first, then the first in another case."""
+        same = [i for i, c in enumerate(self.names) if c == name] or [i for i, c in enumerate(self.names) if c.lower() == name.lower()]
+        return f"c{same[0]}" if same else None
+
+    def __getitem__(self, name: str) -> str:
+        found = self.find(name)
+        if found is None:
+            raise ValueError(f"no column {name} among {self.names}")
+        return found
+
+    def back(self, df: DataFrame, *added: str) -> DataFrame:
+        """The table's columns under their own names, but for those that ``added`` replaces, then the added ones."""
+        new = {a.lower() for a in added}
+        kept = [(f"c{i}", c) for i, c in enumerate(self.names) if c.lower() not in new]
+        return df.select(*[i for i, _ in kept], *added).toDF(*[c for _, c in kept], *added)
+
+
+#: Bits of a membership filter: 1 MB whatever it holds. It only spares rows a shuffle; with very many keys it lets more of them through.
+FILTER_BITS, FILTER_HASHES = 1 << 23, 2
+
+
+def one_row(spark: SparkSession, name: str, values: np.ndarray) -> DataFrame:
+    """A table of one row with one array column; plans read it as a scalar subquery and do not hold its values."""
+    return materialize(spark.createDataFrame(pa.table({name: pa.array([values])})))
+
+
+def bit_positions(key: Column, seed: int, bits: int, hashes: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(key, F.lit(seed * 64 + i)), F.lit(bits).cast("long")) for i in range(hashes)]
+
+
+@dataclass(frozen=True)
+class Bits:
+    """A Bloom filter whose words lie in a table of one row."""
+
+    table: DataFrame
+    seed: int
+    bits: int
+    hashes: int
+
+    def holds(self, key: Column, words: Column | None = None) -> Column:
+        """words: a column that already holds the table's array, for use inside of higher-order functions."""
+        words, hit = self.table.scalar() if words is None else words, F.lit(True)
+        for p in bit_positions(key, self.seed, self.bits, self.hashes):
+            hit = hit & (F.getbit(F.get(words, F.shiftright(p, 6).cast("int")), (p % 64).cast("int")) == 1)
+        return hit
+
+
+def bit_filter(keys: DataFrame, seed: int = 0, bits: int = FILTER_BITS, hashes: int = FILTER_HASHES) -> Bits:
+    """A filter of the column ``key``; the driver gets bits / 64 words at most."""
+    at = keys.select(F.explode(F.array(*bit_positions(F.col("key"), seed, bits, hashes))).alias("p"))
+    found = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).toArrow()
+    words = np.zeros(bits // 64, np.int64)
+    words[found["w"].to_numpy()] = found["b"].to_numpy()
+    return Bits(one_row(keys.sparkSession, "words", words), seed, bits, hashes)

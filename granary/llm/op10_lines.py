@@ -5,15 +5,17 @@ on top and 57 bits of XXH64 below, so sorting the longs sorts by rarity. Lines w
 Sets that can reach the threshold share a token of their prefixes; of those that do, length, positional and parity filters (64 bits of
 token parities: their Hamming distance is at most the symmetric difference) leave few, whose tokens are then compared exactly.
 
-Crowded prefixes stay linear: a set is first held against the earliest set with the same two neighbouring prefix tokens, and where those
-pass the filters that row proposes no other pair. If such a proposal is refuted, its set alone goes through the full join in a second
-round, so no match is lost. A line is removed if an earlier line (by id, then place) has an equal set or one that
-reaches the threshold, whether or not that earlier line is itself kept.
+Crowds of near-equal lines stay linear: each set is first held against a few leaders, the earliest sets (one in each of ``LEADERS`` hash ranges of sets)
+with the same smallest or largest token hash of the prefix. Sets that a leader proves need no other partner; only the others probe the full prefix
+join, so no match is lost. A line is removed if an earlier line (by id, then text hash, then place) has an equal set or one
+that reaches the threshold, whether or not that earlier line is itself kept.
 
 Sets too small to reach the threshold with a set of another size (at 4/5 those of under four tokens) only need the equal-set path and have no prefix.
+The class table and the membership filters are tables of one row that plans read as scalar subqueries, so plans stay small.
 
-Defined cases: null or empty texts have no lines to remove; lines of under ``min_tokens`` distinct words (by default those without a word) are kept and remove nothing; rows with equal
-ids count as one document; rows without an id keep all their lines; an empty table gives no rows; extra columns pass through.
+Defined cases: null or empty texts have no lines to remove; lines of under ``min_tokens`` distinct words (by default those without a word) are kept and
+remove nothing; rows of one id and one text count as one document, rows of one id with different texts as several; rows without an id keep all their
+lines and remove none; ids may be of any orderable type; an empty table gives no rows; extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,150 +23,133 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .common import SPACE_CLASS, materialize, release, words_of
-from .op1_url_filter import build_level, level_holds
+from .common import SPACE_CLASS, Plain, bit_filter, drop, materialize, one_row, words_of
 
-COUNTERS = 1 << 18
+COUNTERS, LEADERS = 1 << 18, 4
 WORDS = f"array_remove(split(line, r'{SPACE_CLASS}+'), '')"
+PLACE = ["doc", "th", "line_no"]
 
 
-def rarity_classes(docs: DataFrame, text: str = "text", counters: int = COUNTERS) -> list[int]:
-    """For each hash range the class (0 to 63) of its frequency over all words; ``counters`` numbers at most reach the driver."""
+def rarity_classes(docs: DataFrame, text: str = "text", counters: int = COUNTERS) -> DataFrame:
+    """One row: for each hash range the class (0 to 63) of its frequency over all words; ``counters`` numbers at most reach the driver."""
     at = docs.select(F.explode(words_of(F.col(text))).alias("w")).select((F.xxhash64("w").bitwiseAND(F.lit(counters - 1))).cast("int").alias("i"))
     level = F.least(F.lit(63), F.floor(F.log2("n") * 2).cast("int"))
     found = at.groupBy("i").agg(F.count("*").alias("n")).select("i", level.alias("c")).toArrow()
-    out = np.zeros(counters, np.int64)
+    out = np.zeros(counters, np.int8)
     out[found["i"].to_numpy()] = found["c"].to_numpy()
-    return out.tolist()
+    return one_row(docs.sparkSession, "classes", out)
 
 
-def _tokens(docs: DataFrame, classes: list[int], key: str, text: str, wanted=None) -> DataFrame:
-    """key, line_no, toks (sorted distinct tokens) of lines; wanted: a condition on key and line_no."""
-    t = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("line_no", "line"))
-    t = t if wanted is None else t.where(wanted)
-    table = F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
-    mask = F.lit(len(classes) - 1)
-    hashes = F.transform(F.expr(WORDS), lambda w: F.xxhash64(w))
-    toks = F.transform(hashes, lambda h: F.shiftleft(F.get(table, h.bitwiseAND(mask).cast("int")), 57).bitwiseOR(F.shiftrightunsigned(h, 7)))
-    return t.select("key", "line_no", F.sort_array(F.array_distinct(toks)).alias("toks"))
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc, th, line_no and line of the lines with a word; docs: doc, th, text."""
+    each = docs.where("doc is not null").select("doc", "th", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line_no", "line"))
+    return each.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
-def line_sets(docs: DataFrame, classes: list[int], key: str, text: str, num: int, den: int, min_tokens: int) -> DataFrame:
-    """key, line_no, n, set, sig and prefix (32-bit names of the rarest tokens) of each line with at least min_tokens."""
-    # No partition has a negative number: this keeps the filter on n from being pushed down and the tokens from being made twice.
-    n = F.when(F.spark_partition_id() < 0, F.lit(0)).otherwise(F.size("toks"))
-    t = _tokens(docs, classes, key, text).withColumn("n", n).where(F.col("n") >= min_tokens)
+def line_sets(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """doc, th, line_no, n, set, sig and prefix (32-bit names of the rarest tokens) of each line with a word; docs: doc, th, text."""
+    hashed = _lines(docs).select(*PLACE, F.transform(F.expr(WORDS), lambda w: F.xxhash64(w)).alias("hashes"), classes.scalar().alias("classes"))
+    ranked = F.transform("hashes", lambda h: F.shiftleft(F.get("classes", h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7)))
+    t = hashed.select(*PLACE, F.sort_array(F.array_distinct(ranked)).alias("toks"))
     parity = F.expr("aggregate(toks, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))")
-    other = f"{den} * n >= {num} * (n + 1)"  # the closest set of another size has one token more
-    prefix = F.expr(f"transform(slice(toks, 1, if({other}, n - (({num} * n + {den - 1}) div {den}) + 1, 0)), x -> hash(x))")
-    return t.select("key", "line_no", "n", F.xxhash64("toks").alias("set"), parity.alias("sig"), prefix.alias("prefix"))
-
-
-def _fits(a: str, b: str, num: int, den: int) -> Column:
-    """Length, positional and parity filters on payloads key, sig, n << 32 | line_no, pos."""
-    n = {x: f"cast(shiftright({x}[2], 32) as int)" for x in (a, b)}
-    need = f"(({num} * ({n[a]} + {n[b]}) + {num + den - 1}) div {num + den})"
-    return F.expr(
-        f"{den} * least({n[a]}, {n[b]}) >= {num} * greatest({n[a]}, {n[b]}) and 1 + least({n[a]} - {a}[3] - 1, {n[b]} - {b}[3] - 1) >= {need} "
-        f"and bit_count({a}[1] ^ {b}[1]) <= {n[a]} + {n[b]} - 2 * {need}"
-    )
-
-
-def _line(x: str) -> Column:
-    return F.expr(f"cast({x}[2] & 4294967295L as int)")
-
-
-def _before(a: str, b: str) -> Column:
-    return F.expr(f"{a}[0] < {b}[0] or ({a}[0] = {b}[0] and ({a}[2] & 4294967295L) < ({b}[2] & 4294967295L))")
-
-
-def _pair(b: str, a: str) -> list[Column]:
-    """The probe b, the earlier line a, and how many parities they share beyond chance: the likeliest pairs have most."""
-    near = F.expr(f"64 - bit_count({a}[1] ^ {b}[1])").alias("near")
-    return [F.expr(f"{b}[0]").alias("key"), _line(b).alias("line_no"), F.expr(f"{a}[0]").alias("o_key"), _line(a).alias("o_line"), near]
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, classes: list[int], key: str, text: str, num: int, den: int) -> DataFrame:
-    """key and line_no of pairs (key, line_no, o_key, o_line) whose token sets reach num/den."""
-    ends = pairs.select("key", "line_no").union(pairs.select("o_key", "o_line")).distinct()
-    level = build_level(ends.select(F.xxhash64("key", "line_no").alias("key")), 1, 0.01, 1 << 22)
-    near = None if level is None else level_holds(level, F.xxhash64("key", "line_no"))  # only spares other lines the work
-    toks = _tokens(docs, classes, key, text, near).repartition("key", "line_no").dropDuplicates(["key", "line_no"])
-    other = toks.select(F.col("key").alias("o_key"), F.col("line_no").alias("o_line"), F.col("toks").alias("o_toks"))
-    both = pairs.join(toks, ["key", "line_no"]).join(other, ["o_key", "o_line"])
-    shared = F.size(F.array_intersect("toks", "o_toks"))
-    return both.where(den * shared >= num * (F.size("toks") + F.size("o_toks") - shared)).select("key", "line_no").distinct()
-
-
-def removed_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5, min_tokens: int = 1) -> DataFrame:
-    """key and line_no (from 0) of every line that an earlier line makes redundant; key is an integer."""
-    classes = rarity_classes(docs, text)
-    slim = docs.select(F.col(key).cast("long").alias(key), text)
-    lines = materialize(line_sets(slim, classes, key, text, num, den, min_tokens))
-    place = (F.col("key").cast("decimal(38,0)") * F.lit(1 << 32).cast("decimal(18,0)")).cast("decimal(38,0)") + F.col("line_no")
-    at = F.min(place.cast("decimal(38,0)")).alias("at")  # a decimal keeps the aggregate in a hash table
-    line_no = F.expr("cast(pmod(at, cast(4294967296 as decimal(38,0))) as int)")
-    first = [F.expr("cast(floor((at - pmod(at, cast(4294967296 as decimal(38,0)))) / 4294967296) as bigint)").alias("key"), line_no.alias("line_no")]
-    sets = lines.groupBy("set", "sig", "n", "prefix").agg(at).select("sig", "n", "prefix", *first)
-    rows = sets.select("key", "line_no", "n", "sig", "prefix", F.posexplode("prefix").alias("pos", "token"))
-    # One array of longs a row: every use below asks for the same columns, and none may be null, so they share one exchange.
-    me = F.expr("array(key, sig, shiftleft(cast(n as bigint), 32) | line_no, cast(pos as bigint), cast(coalesce(get(prefix, pos + 1), 0) & 65535 as bigint))")
-    rows = rows.select(F.coalesce("token", F.lit(0)).alias("token"), me.alias("me")).repartition("token").withColumn("nxt", F.expr("me[4]"))
-    order = F.struct(F.expr("me[0]"), F.expr("me[2] & 4294967295L"), "me")
-    rows = rows.withColumn("lead", F.min(order).over(W.partitionBy("token", "nxt"))).withColumn("cnt", F.count("*").over(W.partitionBy("token"))).where("cnt > 1")
-    rows = rows.select("token", "me", F.col("lead.me").alias("lead"))
-    rows = rows.withColumn("held", _before("lead", "me") & _fits("me", "lead", num, den))
-
-    def joined(probes: DataFrame) -> DataFrame:
-        a = rows.select("token", F.col("me").alias("a"))
-        b = probes.select(F.col("token").alias("t"), F.col("me").alias("b"))
-        return b.join(a, (F.col("t") == F.col("token")) & _before("a", "b") & _fits("b", "a", num, den)).select(*_pair("b", "a"))
-
-    led = rows.where("held").select(*_pair("me", "lead"))
-    probe, pair = ["key", "line_no"], ["key", "line_no", "o_key", "o_line"]
-    pairs = materialize(led.union(joined(rows.where("not held"))).distinct())
-    release(docs.sparkSession)
-
-    def settle(found: DataFrame) -> DataFrame:
-        """Probes of found that a pair proves: the likeliest pair of each first, the other pairs of those that it does not prove then."""
-        best = found.groupBy(*probe).agg(F.max_by(F.struct("o_key", "o_line"), "near").alias("o")).select(*probe, "o.*")
-        sure = materialize(_verified(best, slim, classes, key, text, num, den))
-        release(docs.sparkSession)
-        rest = materialize(found.select(*pair).join(sure, probe, "left_anti").join(best, pair, "left_anti"))
-        return sure if rest.isEmpty() else materialize(sure.union(_verified(rest, slim, classes, key, text, num, den)).distinct())
-
-    matched = settle(pairs)
-    refuted = materialize(pairs.select(*probe).distinct().join(matched, probe, "left_anti"))
-    if not refuted.isEmpty():
-        held = rows.where("held").withColumn("key", F.expr("me[0]")).withColumn("line_no", _line("me"))
-        again = materialize(joined(held.join(refuted, probe, "left_semi")).join(pairs, pair, "left_anti").distinct())
-        release(docs.sparkSession)
-        if not again.isEmpty():
-            matched = materialize(matched.union(settle(again)).distinct())
-    placed = lines.groupBy("set", "sig", "n").agg(at).select("set", "sig", "n", *first).join(matched.withColumn("gone", F.lit(True)), probe, "left")
-    placed = placed.select("set", "sig", "n", F.col("key").alias("f_key"), F.col("line_no").alias("f_line"), F.coalesce("gone", F.lit(False)).alias("gone"))
-    every = lines.select("key", "line_no", "set", "sig", "n").join(placed, ["set", "sig", "n"])
-    return every.where("gone or key != f_key or line_no != f_line").select(F.col("key").alias(key), "line_no").distinct()
-
-
-def _by_document(docs: DataFrame, key: str, text: str, **kw) -> DataFrame:
-    return removed_lines(docs, key, text, **kw).groupBy(key).agg(F.sort_array(F.collect_list("line_no")).alias("_removed"))
-
-
-def dedup_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
+    n = "size(toks)"
+    other = f"{den} * {n} >= {num} * ({n} + 1)"  # the closest set of another size has one token more
+    prefix = F.expr(f"transform(slice(toks, 1, if({other}, {n} - (({num} * {n} + {den - 1}) div {den}) + 1, 0)), x -> hash(x))")
+    return t.select(*PLACE, F.expr(n).alias("n"), F.xxhash64("toks").alias("set"), parity.alias("sig"), prefix.alias("prefix"))
+
+
+def _need(num: int, den: int) -> str:
+    """The overlap that sets of n and o_n tokens need."""
+    return f"(({num} * (n + o_n) + {num + den - 1}) div {num + den})"
+
+
+def _near(num: int, den: int) -> Column:
+    """Length and parity filters on n, o_n, sig, o_sig."""
+    return F.expr(f"{den} * least(n, o_n) >= {num} * greatest(n, o_n) and bit_count(sig ^ o_sig) <= n + o_n - 2 * {_need(num, den)}")
+
+
+def _led(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """set and o_set: pairs of a set and an earlier leader that pass the filters."""
+    keys = F.explode(F.array_distinct(F.array(F.array_min("prefix"), F.array_max("prefix")))).alias("k")
+    rows = sets.where("size(prefix) > 0").select("set", "first", "n", "sig", keys)
+    lead = F.min(F.struct("first", "set", "n", "sig")).alias("lead")
+    leads = rows.groupBy("k", F.pmod("set", F.lit(LEADERS)).alias("part")).agg(lead)
+    leads = leads.select("k", F.col("lead.first").alias("o_first"), F.col("lead.set").alias("o_set"), F.col("lead.n").alias("o_n"), F.col("lead.sig").alias("o_sig"))
+    return rows.join(leads, "k").where((F.col("o_first") < F.col("first")) & _near(num, den)).select("set", "o_set").distinct()
+
+
+def _joined(probes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """set and o_set: pairs of a probe and another set that share a token of their prefixes and pass all filters."""
+    b = probes.select("set", "n", "sig", F.posexplode("prefix").alias("pos", "token"))
+    a = sets.select(F.col("set").alias("o_set"), F.col("n").alias("o_n"), F.col("sig").alias("o_sig"), F.posexplode("prefix").alias("o_pos", "token"))
+    placed = F.expr(f"1 + least(n - pos - 1, o_n - o_pos - 1) >= {_need(num, den)}")
+    return b.join(a, "token").where((F.col("set") != F.col("o_set")) & placed & _near(num, den)).select("set", "o_set").distinct()
+
+
+def _proven(pairs: DataFrame, sets: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
+    """set: those of pairs (set, o_set) whose partner is earlier and reaches num/den."""
+    ends = materialize(pairs.select("set").union(pairs.select("o_set")).distinct())
+    held = bit_filter(ends.select(F.col("set").alias("key")))
+    at = materialize(sets.where(held.holds(F.col("set"))).join(ends, "set", "left_semi").select("set", "first"))
+    name = F.xxhash64(*PLACE)
+    held = bit_filter(at.select(F.expr("xxhash64(first.doc, first.th, first.line_no)").alias("key")))
+    text = _lines(docs).where(held.holds(name)).dropDuplicates(PLACE)
+    toks = text.join(at.select("set", "first", "first.*"), PLACE).select("set", "first", F.array_distinct(F.transform(F.expr(WORDS), lambda w: F.xxhash64(w))).alias("toks"))
+    toks = materialize(toks)
+    earlier = at.select(F.col("set").alias("o_set"), F.col("first").alias("o_first"))
+    pairs = pairs.join(at, "set").join(earlier, "o_set").where("o_first < first").select("set", "o_set")
+    other = toks.select(F.col("set").alias("o_set"), F.col("toks").alias("o_toks"))
+    both = pairs.join(toks.select("set", "toks"), "set").join(other, "o_set").withColumn("shared", F.size(F.array_intersect("toks", "o_toks")))
+    out = materialize(both.where(f"{den} * shared >= {num} * (size(toks) + size(o_toks) - shared)").select("set").distinct())
+    for t in (ends, at, toks):
+        drop(t)
+    return out
+
+
+def _removed(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
+    """doc, th and removed (line numbers from 0, ascending); docs: doc, th, text."""
+    classes = rarity_classes(docs)
+    lines = materialize(line_sets(docs, classes, num, den).where(F.col("n") >= min_tokens) if min_tokens > 1 else line_sets(docs, classes, num, den))
+    first = F.min(F.struct(*PLACE)).alias("first")
+    sets = materialize(lines.groupBy("set").agg(first, F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")))
+    pairs = materialize(_led(sets, num, den))
+    proven = _proven(pairs, sets, docs, num, den)
+    drop(pairs)
+    held = bit_filter(proven.select(F.col("set").alias("key"))).holds(F.col("set"))
+    probes = sets.where(~held).union(sets.where(held).join(proven, "set", "left_anti"))
+    pairs = materialize(_joined(probes, sets, num, den))
+    found = proven.union(_proven(pairs, sets, docs, num, den))
+    drop(pairs)
+    held = bit_filter(found.select(F.col("set").alias("key"))).holds(F.col("set"))
+    maybe = sets.where(held).join(found.withColumn("gone", F.lit(True)), "set", "left").select("set", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
+    placed = sets.where(~held).select("set", "first", F.lit(False).alias("gone")).union(maybe)
+    every = lines.select(*PLACE, "set").join(placed, "set").where(F.col("gone") | (F.struct(*PLACE) != F.col("first")))
+    out = materialize(every.groupBy("doc", "th").agg(F.array_sort(F.collect_set("line_no")).alias("removed")))
+    for t in (lines, sets, classes):
+        drop(t)
+    return out
+
+
+def dedup_report(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5, min_tokens: int = 1) -> DataFrame:
     """One row a document: key, n_lines, n_removed, removed_lines."""
-    slim = docs.select(key, F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n")).alias("n_lines"))
-    out = slim.join(_by_document(docs, key, text, **kw), key, "left")
-    removed = F.coalesce("_removed", F.array().cast("array<int>"))
-    return out.select(key, F.col("n_lines").cast("long").alias("n_lines"), F.size(removed).cast("long").alias("n_removed"), removed.alias("removed_lines"))
+    p = Plain(docs)
+    k, t = p[key], p[text]
+    body = p.df.select(F.col(k).alias("doc"), F.xxhash64(F.coalesce(F.col(t), F.lit(""))).alias("th"), F.col(t).alias("text"))
+    found = _removed(body, num, den, min_tokens)
+    slim = body.select("doc", "th", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
+    removed = F.coalesce("removed", F.array().cast("array<int>"))
+    return slim.join(found, ["doc", "th"], "left").select(F.col("doc").alias(key), "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed_lines"))
 
 
-def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **kw) -> DataFrame:
+def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5, min_tokens: int = 1) -> DataFrame:
     """docs with the redundant lines taken out of the text; every document stays."""
-    found = _by_document(docs, key, text, **kw)
-    parts = F.split(F.col(text), "\n")
-    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_removed"))
-    new = F.when(F.col("_removed").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
-    return docs.join(found, key, "left").withColumn(text, new).select(*[f"`{c}`" for c in docs.columns])
+    p = Plain(docs)
+    k, t = p[key], p[text]
+    th = F.xxhash64(F.coalesce(F.col(t), F.lit("")))
+    found = _removed(p.df.select(F.col(k).alias("doc"), th.alias("th"), F.col(t).alias("text")), num, den, min_tokens)
+    parts = F.split(F.col(t), "\n")
+    kept = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("removed"))
+    new = F.when(F.col("removed").isNull(), F.col(t)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(parts, i)), "\n"))
+    rows = p.df.withColumn("th", th).join(found.withColumnRenamed("doc", k), [k, "th"], "left")
+    return p.back(rows.withColumn(t, new))
