@@ -108,6 +108,34 @@ def read_hmmer(spark: SparkSession, path: str, least: float = 0.0) -> DataFrame:
     return p.select(F.get("p", F.lit(0)).alias("target"), F.get("p", F.lit(3)).alias("query"), F.get("p", F.lit(7)).cast("double").alias("score")).where(F.col("score") >= least)
 
 
+def read_cutoffs(spark: SparkSession, path: str, calibrated: bool = True) -> DataFrame:
+    """marker, cutoff of a cut-off table; its first line tells whether it was calibrated, and a table of the other kind raises."""
+    lines = spark.read.text(path)
+    if not lines.where(F.col("value").startswith("#CALIBRATED" if calibrated else "#UNCALIBRATED")).limit(1).count():
+        raise ValueError(f"{path} is not {'a' if calibrated else 'an un'}calibrated cut-off table")
+    p = lines.where(~F.col("value").startswith("#")).select(F.split("value", "\t").alias("p"))
+    return p.select(F.get("p", F.lit(0)).alias("marker"), F.get("p", F.lit(1)).try_cast("double").alias("cutoff"))
+
+
+def read_bin_quality(spark: SparkSession, path: str) -> DataFrame:
+    """bin, compl, conta, hetero of a quality report; reports whose name holds ``.cm2`` have them in columns 2 and 3 (hetero 0), others in 12 to 14."""
+    p = spark.read.text(path).select(F.split("value", "\t").alias("p")).where(~F.get("p", F.lit(0)).isin("Bin Id", "Name"))
+    at = (1, 2, None) if ".cm2" in path else (11, 12, 13)
+    number = lambda i: F.lit(0.0) if i is None else F.get("p", F.lit(i)).try_cast("double")
+    return p.select(F.get("p", F.lit(0)).alias("bin"), *[number(i).alias(c) for i, c in zip(at, ("compl", "conta", "hetero"), strict=True)])
+
+
+def read_bins(spark: SparkSession, path: str) -> DataFrame:
+    """contig, bin of an assignment table; bin 0 is none."""
+    return spark.read.csv(path, sep="\t", schema="contig string, bin string").where("bin != '0'")
+
+
+def read_gene_sets(spark: SparkSession, path: str) -> DataFrame:
+    """group, gene and line, the place of the row in its file by file and offset order, for rules where the last one wins."""
+    t = spark.read.csv(path, sep="\t", schema="group string, gene string")
+    return t.withColumn("line", F.monotonically_increasing_id())
+
+
 def read_matrix(spark: SparkSession, path: str, keep: DataFrame | None = None) -> DataFrame:
     """feature, sample, value of a matrix with samples in the header; keep (feature) restricts rows and never the header."""
     from ..operators.matrix import long, rows_of

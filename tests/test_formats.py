@@ -79,3 +79,19 @@ def test_streaming_windows(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert [(r["event_type"], r["start"], r["end"], r["n"]) for r in spark.sql("select * from r").collect()] == [("a", 0, 2, 3)]
+
+
+def test_bins_cutoffs_and_gene_sets(spark, tmp_path):
+    from granary.operators import annotation
+
+    cut = put(tmp_path, "cut.txt", "#CALIBRATED CUTOFFS FILE - ALL HITS\nM1\t120\t0.9\t0.8\nM2\t60.5\t1\t1\n")
+    assert {tuple(r) for r in fmt.read_cutoffs(spark, cut).collect()} == {("M1", 120.0), ("M2", 60.5)}
+    with pytest.raises(ValueError):
+        fmt.read_cutoffs(spark, cut, calibrated=False)
+    old = put(tmp_path, "q.cm", "Bin Id\t" + "\t".join("abcdefghijklm") + "\nb1\t" + "\t".join(["x"] * 10) + "\t97.5\t1.5\t20\n")
+    new = put(tmp_path, "q.cm2", "Name\tCompleteness\tContamination\nb1\t88\t2\textra\n")
+    assert tuple(fmt.read_bin_quality(spark, old).first()) == ("b1", 97.5, 1.5, 20.0)
+    assert tuple(fmt.read_bin_quality(spark, new).first()) == ("b1", 88.0, 2.0, 0.0)
+    assert [tuple(r) for r in fmt.read_bins(spark, put(tmp_path, "bins", "c1\t0\nc2\t3\n")).collect()] == [("c2", "3")]
+    sets = fmt.read_gene_sets(spark, put(tmp_path, "sets", "g1\ta\ng2\tb\ng2\ta\n"))
+    assert {tuple(r) for r in annotation.last_wins(sets, "gene", "group", "line").collect()} == {("a", "g2", 1), ("b", "g2", 0)}

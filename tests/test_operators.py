@@ -157,3 +157,44 @@ def test_missing_cluster_raises(spark):
     with pytest.raises(Exception, match="no cluster for a"):
         genes.to_clusters(g, i, "m").collect()
     assert genes.to_clusters(g, i, "m", strict=False).count() == 0
+
+
+def plain_fold(rows, better):
+    """The ordered fold in plain Python."""
+    best, ever = rows[0], rows[0][0]
+    for x in rows[1:]:
+        if better(x, best, ever):
+            best, ever = x, max(ever, x[0])
+    return best
+
+
+def test_convincing_hit_and_best_identity(spark):
+    import random
+
+    from granary.operators import selection
+
+    rng = random.Random(4)
+    rows = [(q, s, rng.choice([80.0, 84.0, 90.0, 93.0, 99.0]), rng.randrange(50, 200), 1e-9, float(rng.randrange(100, 300))) for q in range(60) for s in range(rng.randrange(1, 9))]
+    hits = spark.createDataFrame(rows, "query int, subject int, pident double, aln_len int, evalue double, bitscore double")
+    convincing = lambda x, b, ever: x[0] > b[0] - 5 and ((x[0] >= b[0] * 0.97 and x[0] >= ever * 0.9 and x[1] >= b[1] * 1.15) or (x[0] >= b[0] * 1.03 and x[1] >= b[1] * 0.9) or x[2] > b[2] * 0.8)
+    longer = lambda x, b, _: (x[0] > b[0] and x[1] > b[1]) or (x[1] > b[1] * 1.4 and x[0] > b[0] * 0.9)
+    want, held = {}, {}
+    for q in range(60):
+        own = [r for r in rows if r[0] == q]
+        want[q] = plain_fold([(r[2], r[3], r[5], r[1]) for r in sorted(own, key=lambda r: (-r[5], r[4], r[1]))], convincing)
+        held[q] = plain_fold([(r[2], r[3]) for r in sorted(own, key=lambda r: r[1])], longer)
+    got = {r["query"]: (r["pident"], r["aln_len"], r["bitscore"], r["subject"]) for r in selection.fold_convincing(hits, "query").collect()}
+    assert got == want
+    assert {r["query"]: (r["pident"], r["aln_len"]) for r in selection.best_identity(hits, "query", "subject").collect()} == held
+
+
+def test_consensus_header_and_submatrix_files(spark, tmp_path):
+    from granary.operators import annotation, reports
+
+    h = spark.createDataFrame([("c1", 10, 2, 1), ("c2", 5, 0, 0)], "c string, a int, b int, d int").select(reports.consensus_header(F.col("c"), F.col("a"), F.col("b"), F.col("d")).alias("h"))
+    assert [r["h"] for r in h.collect()] == ["c1 COV=10 REPL=2 CONFL=1", "c2 COV=5 REPL=0 CONFL=0"]
+    assert tuple(reports.consensus_totals(h, "h").first()) == (2, 15, 2)
+    m = spark.createDataFrame([("f", "s", 1.0), ("g", "s", 2.0)], "feature string, sample string, value double")
+    members = spark.createDataFrame([("f", "a"), ("g", "a"), ("g", "b")], "feature string, g string")
+    annotation.submatrices(m, members).write.partitionBy("g").parquet(f"{tmp_path}/sub")
+    assert spark.read.parquet(f"{tmp_path}/sub/g=b").count() == 1 and spark.read.parquet(f"{tmp_path}/sub/g=a").count() == 2

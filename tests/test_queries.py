@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from granary.plans import registry
-from granary.queries import genes, hits, matrix, more, strings  # noqa: F401
+from granary.queries import annotation, genes, hits, matrix, more, strings  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
