@@ -1,7 +1,7 @@
 """Line dedup by an exact set-similarity join (Jaccard of line tokens, num/den or more), in DataFrame operations only.
 
 A line's tokens are ordered by rarity: frequencies of all words, counted by hash range, give each token a class, and a token is a long with its class
-on top and 57 bits of XXH64 below, so sorting the longs sorts by rarity. Lines with equal token sets are one set, placed at their first line.
+in the upper 7 and 57 bits of XXH64 in the lower bits, so sorting the longs sorts by rarity. Lines with equal token sets are one set, placed at their first line.
 Sets that can reach the threshold share a token of their prefixes; of those that do, length, positional and parity filters (64 bits of
 token parities: their Hamming distance is at most the symmetric difference) leave few, whose tokens are then compared exactly.
 
@@ -24,21 +24,38 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, Plain, bit_filter, drop, materialize, one_row, words_of
+from .common import SPACE_CLASS, Plain, bit_filter, drop, materialize, one_row
 
-COUNTERS, LEADERS = 1 << 18, 4
-WORDS = f"array_remove(split(line, r'{SPACE_CLASS}+'), '')"
+COUNTER_BITS, LEADERS = 18, 4
 PLACE = ["doc", "th", "line_no"]
 
 
-def rarity_classes(docs: DataFrame, text: str = "text", counters: int = COUNTERS) -> DataFrame:
-    """One row: for each hash range the class (0 to 63) of its frequency over all words; ``counters`` numbers at most reach the driver."""
-    at = docs.select(F.explode(words_of(F.col(text))).alias("w")).select((F.xxhash64("w").bitwiseAND(F.lit(counters - 1))).cast("int").alias("i"))
+def _parts(line: Column) -> Column:
+    """The words of a line and empty strings; only lines with a rarer white-space character need the pattern."""
+    odd = F.lit(False)
+    for c in "\t\x0b\f\r":
+        odd = odd | F.contains(line, F.lit(c))
+    return F.when(odd, F.split(line, SPACE_CLASS)).otherwise(F.split(line, " "))
+
+
+def _hashes(line: Column) -> Column:
+    """XXH64 of the distinct words of a line."""
+    return F.array_remove(F.array_distinct(F.transform(_parts(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+
+
+def rarity_classes(docs: DataFrame, bits: int = COUNTER_BITS) -> DataFrame:
+    """One row: what turns a hash into a token, for each range of hashes with equal upper ``bits``.
+
+    The class (0 to 63) of the range's frequency over all words replaces a hash's upper seven bits. 2^bits numbers at most reach the driver.
+    """
+    lines = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
+    at = lines.select(F.explode(_parts(F.col("line"))).alias("w")).where("w != ''").select(F.shiftrightunsigned(F.xxhash64("w"), 64 - bits).cast("int").alias("i"))
     level = F.least(F.lit(63), F.floor(F.log2("n") * 2).cast("int"))
     found = at.groupBy("i").agg(F.count("*").alias("n")).select("i", level.alias("c")).toArrow()
-    out = np.zeros(counters, np.int8)
-    out[found["i"].to_numpy()] = found["c"].to_numpy()
-    return one_row(docs.sparkSession, "classes", out)
+    i = np.arange(1 << bits)
+    classes = np.zeros(1 << bits, np.int64)
+    classes[found["i"].to_numpy()] = found["c"].to_numpy()
+    return one_row(docs.sparkSession, "classes", (i >> (bits - 7) ^ classes) << 57)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -49,9 +66,9 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def line_sets(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """doc, th, line_no, n, set, sig and prefix (32-bit names of the rarest tokens) of each line with a word; docs: doc, th, text."""
-    hashed = _lines(docs).select(*PLACE, F.transform(F.expr(WORDS), lambda w: F.xxhash64(w)).alias("hashes"), classes.scalar().alias("classes"))
-    ranked = F.transform("hashes", lambda h: F.shiftleft(F.get("classes", h.bitwiseAND(F.lit(COUNTERS - 1)).cast("int")).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7)))
-    t = hashed.select(*PLACE, F.sort_array(F.array_distinct(ranked)).alias("toks"))
+    hashed = _lines(docs).select(*PLACE, _hashes(F.col("line")).alias("hashes"), classes.scalar().alias("classes"))
+    token = F.transform("hashes", lambda h: F.get("classes", F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int")).bitwiseXOR(h))
+    t = hashed.select(*PLACE, F.sort_array(token).alias("toks"))
     parity = F.expr("aggregate(toks, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))")
     n = "size(toks)"
     other = f"{den} * {n} >= {num} * ({n} + 1)"  # the closest set of another size has one token more
@@ -59,9 +76,9 @@ def line_sets(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFr
     return t.select(*PLACE, F.expr(n).alias("n"), F.xxhash64("toks").alias("set"), parity.alias("sig"), prefix.alias("prefix"))
 
 
-def _need(num: int, den: int) -> str:
+def _need(num: int, den: int, n: str = "n", o_n: str = "o_n") -> str:
     """The overlap that sets of n and o_n tokens need."""
-    return f"(({num} * (n + o_n) + {num + den - 1}) div {num + den})"
+    return f"(({num} * ({n} + {o_n}) + {num + den - 1}) div {num + den})"
 
 
 def _near(num: int, den: int) -> Column:
@@ -70,37 +87,41 @@ def _near(num: int, den: int) -> Column:
 
 
 def _led(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """set and o_set: pairs of a set and an earlier leader that pass the filters."""
+    """set and o_set: pairs of a set and a leader from an earlier document that pass the filters."""
     keys = F.explode(F.array_distinct(F.array(F.array_min("prefix"), F.array_max("prefix")))).alias("k")
-    rows = sets.where("size(prefix) > 0").select("set", "first", "n", "sig", keys)
-    lead = F.min(F.struct("first", "set", "n", "sig")).alias("lead")
-    leads = rows.groupBy("k", F.pmod("set", F.lit(LEADERS)).alias("part")).agg(lead)
-    leads = leads.select("k", F.col("lead.first").alias("o_first"), F.col("lead.set").alias("o_set"), F.col("lead.n").alias("o_n"), F.col("lead.sig").alias("o_sig"))
-    return rows.join(leads, "k").where((F.col("o_first") < F.col("first")) & _near(num, den)).select("set", "o_set").distinct()
+    rows = sets.where("size(prefix) > 0").select("set", F.col("first.doc").alias("doc"), "n", "sig", keys)
+    leads = rows.groupBy("k", F.pmod("set", F.lit(LEADERS)).alias("part")).agg(F.min(F.struct("doc", "set", "n", "sig")).alias("lead"))
+    leads = leads.select("k", *[F.col(f"lead.{c}").alias(f"o_{c}") for c in ("doc", "set", "n", "sig")])
+    return rows.join(leads, "k").where((F.col("o_doc") < F.col("doc")) & _near(num, den)).select("set", "o_set").distinct()
 
 
 def _joined(probes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """set and o_set: pairs of a probe and another set that share a token of their prefixes and pass all filters."""
-    b = probes.select("set", "n", "sig", F.posexplode("prefix").alias("pos", "token"))
-    a = sets.select(F.col("set").alias("o_set"), F.col("n").alias("o_n"), F.col("sig").alias("o_sig"), F.posexplode("prefix").alias("o_pos", "token"))
-    placed = F.expr(f"1 + least(n - pos - 1, o_n - o_pos - 1) >= {_need(num, den)}")
-    return b.join(a, "token").where((F.col("set") != F.col("o_set")) & placed & _near(num, den)).select("set", "o_set").distinct()
-
-
-def _proven(pairs: DataFrame, sets: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
-    """set: those of pairs (set, o_set) whose partner is earlier and reaches num/den."""
+    at = "shiftleft(cast(n as bigint), 32) | pos"
+    b = probes.select("set", "n", "sig", F.posexplode("prefix").alias("pos", "token")).select("token", "set", "sig", F.expr(at).alias("at"))
+    a = sets.select("set", "n", "sig", F.posexplode("prefix").alias("pos", "token")).select("token", F.col("set").alias("o_set"), F.col("sig").alias("o_sig"), F.expr(at).alias("o_at"))
+    n, o_n = "cast(shiftright(at, 32) as int)", "cast(shiftright(o_at, 32) as int)"
+    fits = (
+        f"set != o_set and {den} * least({n}, {o_n}) >= {num} * greatest({n}, {o_n}) and bit_count(sig ^ o_sig) <= {n} + {o_n} - 2 * {_need(num, den, n, o_n)} "
+        f"and 1 + least({n} - cast(at & 4294967295L as int) - 1, {o_n} - cast(o_at & 4294967295L as int) - 1) >= {_need(num, den, n, o_n)}"
+    )
+    return b.join(a, "token").where(fits).select("set", "o_set").distinct()
+
+
+def _proven(pairs: DataFrame, sets: DataFrame, docs: DataFrame, num: int, den: int, ordered: bool) -> DataFrame:
+    """set: those of pairs (set, o_set) whose partner reaches num/den and is earlier; ordered: all partners are."""
     ends = materialize(pairs.select("set").union(pairs.select("o_set")).distinct())
     held = bit_filter(ends.select(F.col("set").alias("key")))
     at = materialize(sets.where(held.holds(F.col("set"))).join(ends, "set", "left_semi").select("set", "first"))
-    name = F.xxhash64(*PLACE)
     held = bit_filter(at.select(F.expr("xxhash64(first.doc, first.th, first.line_no)").alias("key")))
-    text = _lines(docs).where(held.holds(name)).dropDuplicates(PLACE)
-    toks = text.join(at.select("set", "first", "first.*"), PLACE).select("set", "first", F.array_distinct(F.transform(F.expr(WORDS), lambda w: F.xxhash64(w))).alias("toks"))
-    toks = materialize(toks)
-    earlier = at.select(F.col("set").alias("o_set"), F.col("first").alias("o_first"))
-    pairs = pairs.join(at, "set").join(earlier, "o_set").where("o_first < first").select("set", "o_set")
+    text = _lines(docs).where(held.holds(F.xxhash64(*PLACE)))
+    toks = text.join(at.select("set", "first.*"), PLACE).select("set", _hashes(F.col("line")).alias("toks"))
+    toks = materialize(toks.dropDuplicates(["set"]))
+    if not ordered:
+        earlier = at.select(F.col("set").alias("o_set"), F.col("first").alias("o_first"))
+        pairs = pairs.join(at, "set").join(earlier, "o_set").where("o_first < first").select("set", "o_set")
     other = toks.select(F.col("set").alias("o_set"), F.col("toks").alias("o_toks"))
-    both = pairs.join(toks.select("set", "toks"), "set").join(other, "o_set").withColumn("shared", F.size(F.array_intersect("toks", "o_toks")))
+    both = pairs.join(toks, "set").join(other, "o_set").withColumn("shared", F.size(F.array_intersect("toks", "o_toks")))
     out = materialize(both.where(f"{den} * shared >= {num} * (size(toks) + size(o_toks) - shared)").select("set").distinct())
     for t in (ends, at, toks):
         drop(t)
@@ -114,12 +135,12 @@ def _removed(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
     first = F.min(F.struct(*PLACE)).alias("first")
     sets = materialize(lines.groupBy("set").agg(first, F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")))
     pairs = materialize(_led(sets, num, den))
-    proven = _proven(pairs, sets, docs, num, den)
+    proven = _proven(pairs, sets, docs, num, den, True)
     drop(pairs)
     held = bit_filter(proven.select(F.col("set").alias("key"))).holds(F.col("set"))
     probes = sets.where(~held).union(sets.where(held).join(proven, "set", "left_anti"))
     pairs = materialize(_joined(probes, sets, num, den))
-    found = proven.union(_proven(pairs, sets, docs, num, den))
+    found = proven.union(_proven(pairs, sets, docs, num, den, False))
     drop(pairs)
     held = bit_filter(found.select(F.col("set").alias("key"))).holds(F.col("set"))
     maybe = sets.where(held).join(found.withColumn("gone", F.lit(True)), "set", "left").select("set", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
