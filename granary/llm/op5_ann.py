@@ -2,15 +2,15 @@
 
 The tree is fitted on a bounded sample (``fit_rows`` vectors, by hash order) with ``branching`` children a node down to about ``leaves`` leaves (one for 1024 rows, 4096 at most); every
 row is then put into its leaf. A query walks the tree best-bin-first: a priority queue holds the branches not taken by how near their centres are, and
-the best is opened next, until ``visits`` leaves are reached. Visits are calibrated: a sample of queries is answered exactly (in blocks, each with a
-running top list) and visits double from a few leaves until the wanted recall is reached; all leaves is exact.
+the best is opened next, until ``visits`` leaves are reached. Visits are calibrated: a sample of ``CALIBRATE`` queries is answered exactly (in blocks, each
+with a running top list), and visits widen from one leaf on until the wanted share of their true neighbours lies in leaves that they reach; all leaves is exact.
 
 Leaves are dealt in tiles: a leaf of many vectors is cut into chunks of at most about ``tile`` rows by hash of the id, and so are the queries that visit it; each
 (vectors, queries) tile is one group, scores are double precision and each tile keeps k a query, so no group grows with a leaf and no pair leaves a tile
 that cannot be among the k nearest found. Ties go to the smaller id.
 
 Defined cases: null vectors, zero vectors and those holding null or non-finite components, or of another length than most, take no part, nor do rows without an
-id; repeated ids are separate candidates (a query skips rows with its own id and is answered once); fewer candidates than k: all of them; an empty table gives
+id; repeated ids are separate candidates (a query skips rows with its own id and is answered once, by the smallest of its vectors in their order as arrays); fewer candidates than k: all of them; an empty table gives
 no rows; extra columns are ignored.
 """
 
@@ -115,30 +115,34 @@ def usable(v: Column) -> Column:
 
 
 def _top(q_ids: np.ndarray, q: np.ndarray, v_ids: np.ndarray, v: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best of v for each q without its own id; ties to the smaller id."""
-    rows = []
-    for i in range(0, len(q), 512):
-        s = exact_products(q[i : i + 512], v)
-        s[q_ids[i : i + 512, None] == v_ids[None, :]] = -np.inf
-        for j in range(len(s)):
-            r = s[j]
-            if len(r) > k:
-                cut = np.partition(r, len(r) - k)[len(r) - k]
-                at = np.flatnonzero(r >= cut)
-            else:
-                at = np.arange(len(r))
-            at = at[np.lexsort((v_ids[at], -r[at]))][:k]
-            at = at[r[at] > -np.inf]
-            rows.append((np.full(len(at), q_ids[i + j]), v_ids[at], r[at]))
-    a, b, c = (np.concatenate([r[n] for r in rows]) if rows else np.zeros(0, t) for n, t in ((0, np.int64), (1, np.int64), (2, np.float64)))
-    return pd.DataFrame({"query_id": a, "vec_id": b, "score": c})
+    """The k best of v for each q without its own id; ties to the smaller id.
+
+    A matrix product makes the shortlist, wide enough for its rounding; the shortlist is then scored component by component.
+    """
+    parts = []
+    slack = 1e-12 * q.shape[1] * np.linalg.norm(q, axis=1) * (np.linalg.norm(v, axis=1).max() if len(v) else 0)
+    for i in range(0, len(q), 256):
+        s = q[i : i + 256] @ v.T
+        s[q_ids[i : i + 256, None] == v_ids[None, :]] = -np.inf
+        if len(v_ids) > k:
+            cut = np.partition(s, len(v_ids) - k, axis=1)[:, len(v_ids) - k] - slack[i : i + 256]
+            a, b = np.nonzero((s >= cut[:, None]) & (s > -np.inf))
+        else:
+            a, b = np.nonzero(s > -np.inf)
+        exact = exact_products(q[i + a], v[b])
+        at = np.lexsort((v_ids[b], -exact, a))
+        a, b, exact = a[at], b[at], exact[at]
+        rank = np.arange(len(a)) - np.searchsorted(a, a)
+        keep = rank < k
+        parts.append(pd.DataFrame({"query_id": q_ids[i + a[keep]], "vec_id": v_ids[b[keep]], "score": exact[keep]}))
+    return pd.concat(parts) if parts else pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 
 
 def exact_products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Inner products, summed component by component in double precision: the same bits for equal vectors whatever the tile."""
-    out = np.zeros((len(q), len(v)))
+    """Inner products of rows, summed component by component in double precision: the same bits for equal vectors whatever the tile."""
+    out = np.zeros(len(q))
     for d in range(q.shape[1]):
-        out += q[:, d, None] * v[None, :, d]
+        out += q[:, d] * v[:, d]
     return out
 
 
@@ -191,7 +195,13 @@ def search_tree(tree: Tree, queries: DataFrame, indexed: DataFrame, k: int, visi
     return _best(v.unionByName(q).groupBy("leaf", "tv", "tq").applyInPandas(tile, _TOP), k)
 
 
-def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20, recall: float = 0.95, fit_rows: int = FIT_ROWS, leaves: int | None = None) -> DataFrame:
+def needed_visits(places: list[int], recall: float) -> int:
+    """The fewest leaves that reach the recall; places: where in its query's walk the leaf of each true neighbour stands."""
+    ordered = sorted(places)
+    return 1 + (ordered[min(len(ordered), int(np.ceil(recall * len(ordered)))) - 1] if ordered else 0)
+
+
+def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20, recall: float = 0.96, fit_rows: int = FIT_ROWS, leaves: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score of the k nearest found by largest inner product."""
     v = F.col(vector).cast("array<double>")
     base = vectors.select(F.col(key).cast("long").alias("id"), v.alias("vec"), F.coalesce(is_query, F.lit(False)).alias("ask")).where(F.col("id").isNotNull() & usable(F.col("vec")))
@@ -213,17 +223,11 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
             yield pd.DataFrame({"id": x["id"], "vec": x["vec"], "leaf": shared.value.assign(_matrix(x["vec"])) if len(x) else np.zeros(0, np.int32)})
 
     indexed = materialize(base.select("id", "vec").mapInPandas(place, "id long, vec array<double>, leaf int"))
-    asked = materialize(base.where("ask").select("id", "vec").dropDuplicates(["id"]))
-    few = asked.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(CALIBRATE)
-    known = few.toPandas()
+    asked = materialize(base.where("ask").groupBy("id").agg(F.min("vec").alias("vec")))
+    known = asked.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(CALIBRATE).toPandas()
     if not len(known):
         return empty
-    truth = exact_search(known, indexed, k).toPandas()
-    probes = spark.createDataFrame([(int(i), [float(c) for c in x]) for i, x in zip(known["id"], known["vec"], strict=True)], "id long, vec array<double>")
-    visits, want = max(1, tree.leaves // 16), set(zip(truth["query_id"], truth["vec_id"], strict=True))
-    while visits < tree.leaves:
-        got = search_tree(tree, probes, indexed, k, visits).select("query_id", "vec_id").toPandas()
-        if len(want & set(zip(got["query_id"], got["vec_id"], strict=True))) >= recall * len(want):
-            break
-        visits *= 2
-    return search_tree(tree, asked, indexed, k, min(visits, tree.leaves))
+    truth = materialize(exact_search(known, indexed, k))
+    truth = truth.join(indexed.select(F.col("id").alias("vec_id"), "leaf"), "vec_id").select("query_id", "vec_id", "leaf").distinct().toPandas()
+    walks = {i: {leaf: at for at, leaf in enumerate(tree.order(np.asarray(x, np.float64), tree.leaves))} for i, x in zip(known["id"], known["vec"], strict=True)}
+    return search_tree(tree, asked, indexed, k, needed_visits([walks[i][leaf] for i, leaf in zip(truth["query_id"], truth["leaf"], strict=True)], recall))
