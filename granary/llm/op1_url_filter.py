@@ -5,11 +5,12 @@ universe that level 1 lets through, level 3 the listed keys that level 2 lets th
 slips. For every key of the universe the answer is exact, and a probe is a few bit tests on literals: no join.
 
 The universe is complete: every domain suffix of every host of the table. Levels are built with DataFrame
-aggregates (one row for each 64-bit word); what reaches the driver is at most ``max_bits / 8`` bytes a level. A level
-that would be larger is not built: membership then comes from a shuffled semi-join on the key, as exact.
+aggregates (one row for each 64-bit word) and lie in tables of one row that plans read as scalar subqueries. Their size
+follows the list of blocked domains, not the pages: about 1.5 * log2(universe / listed) + 6 bits for each listed domain that occurs.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path and is allowed; rows repeat as in the
-input; an empty table gives no rows; an empty list allows all; null entries of the list are skipped.
+input; an empty table gives no rows; an empty list allows all; null entries of the list are skipped; columns named like host, path, rule
+or verdict, in whatever case, are replaced.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, drop, materialize
+from .common import Bits, Plain, ascii_lower, bit_filter, drop, materialize
 
 
 @dataclass(frozen=True)
@@ -40,14 +41,6 @@ def parse_rule(text: str, verdict: str) -> Rule:
     return Rule(host, slash + path, verdict)
 
 
-@dataclass(frozen=True)
-class Level:
-    seed: int
-    bits: int
-    hashes: int
-    words: tuple[int, ...]
-
-
 def url_host(url: Column) -> Column:
     return ascii_lower(F.coalesce(F.regexp_extract(url, "://([^/?#]*)", 1), F.lit("")))
 
@@ -73,86 +66,66 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> tuple[Column, Colu
     return name, verdict
 
 
-def _positions(key: Column, seed: int, bits: int, hashes: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(seed * 64 + i)), F.lit(bits).cast("long")) for i in range(hashes)]
-
-
-def level_holds(level: Level, key: Column) -> Column:
-    words = F.split(F.lit(",".join(map(str, level.words))), ",").cast("array<bigint>")
-    hit = F.lit(True)
-    for p in _positions(key, level.seed, level.bits, level.hashes):
-        word = F.get(words, F.shiftright(p, 6).cast("int"))
-        hit = hit & (F.getbit(word, (p % 64).cast("int")) == 1)
-    return hit
-
-
-def cascade_holds(levels: list[Level], key: Column) -> Column:
+def cascade_holds(levels: list[Bits], key: Column, words: list[Column] | None = None) -> Column:
+    """words: columns that already hold the levels' arrays, for use inside of higher-order functions."""
     held = F.lit(False)
-    for level in reversed(levels):
-        held = level_holds(level, key) & ~held
+    for i in reversed(range(len(levels))):
+        held = levels[i].holds(key, None if words is None else words[i]) & ~held
     return held
 
 
-def build_level(keys: DataFrame, seed: int, rate: float, max_bits: int) -> Level | None:
-    """A Bloom filter of the column ``key`` with about this rate of false positives; None: it would be too large."""
+def build_level(keys: DataFrame, seed: int, rate: float) -> Bits:
+    """A Bloom filter of the column ``key`` with about this rate of false positives."""
     n = keys.count()
     bits = max(64, 64 * math.ceil(n * -math.log(rate) / math.log(2) ** 2 / 64))
-    if bits > max_bits:
-        return None
     hashes = max(1, round(bits / max(n, 1) * math.log(2))) if n else 1
-    hashes = min(hashes, 16)
-    at = keys.select(F.explode(F.array(*_positions(F.col("key"), seed, bits, hashes))).alias("p"))
-    found = at.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("b")).toArrow()
-    words = [0] * (bits // 64)
-    for w, b in zip(found["w"].to_pylist(), found["b"].to_pylist(), strict=True):
-        words[w] = b
-    return Level(seed, bits, hashes, tuple(words))
+    return bit_filter(keys, seed, bits, min(hashes, 16))
 
 
-def build_cascade(universe: DataFrame, listed: DataFrame, first_rate: float = 0.02, next_rate: float = 0.5, max_bits: int = 1 << 23, max_levels: int = 40) -> list[Level] | None:
-    """Levels that answer exactly for every ``key`` of universe; None where a level would be over max_bits.
+def build_cascade(universe: DataFrame, listed: DataFrame, first_rate: float | None = None, next_rate: float = 0.5, max_levels: int = 64) -> list[Bits]:
+    """Levels that answer exactly for every ``key`` of universe.
 
     Only the build joins: keys that slipped a level are told apart from listed ones by a semi- or anti-join on what
-    is left, which shrinks by the rate from level to level.
+    is left, which shrinks by the rate from level to level. first_rate: by default the share of listed keys in the universe, so
+    that level 2 gets about as many keys as level 1 and all levels' size follows the list, not the universe.
     """
     here = materialize(universe.join(listed, "key", "left_semi"))
-    levels: list[Level] = []
+    if first_rate is None:
+        first_rate = min(0.5, max(here.count(), 1) / max(universe.count(), 2))
+    levels: list[Bits] = []
     encoded, other, kept = here, None, [here]
     try:
         for seed in range(1, max_levels + 1):
-            level = build_level(encoded, seed, first_rate if seed == 1 else next_rate, max_bits)
-            if level is None:
-                return None
+            level = build_level(encoded, seed, first_rate if seed == 1 else next_rate)
             levels.append(level)
             if other is None:  # unlisted keys that pass level 1
-                slipped = universe.where(level_holds(level, F.col("key"))).join(listed, "key", "left_anti")
+                slipped = universe.where(level.holds(F.col("key"))).join(listed, "key", "left_anti")
             else:
-                slipped = other.where(level_holds(level, F.col("key")))
+                slipped = other.where(level.holds(F.col("key")))
             slipped = materialize(slipped)
             kept.append(slipped)
             if slipped.isEmpty():
                 return levels
             encoded, other = slipped, encoded
-        return None
+        raise RuntimeError("the cascade did not end")
     finally:
         for df in kept:
             drop(df)
 
 
-def filter_urls(pages: DataFrame, blocked: DataFrame, rules: list[Rule], url: str = "url", max_bits: int = 1 << 23) -> DataFrame:
+def filter_urls(pages: DataFrame, blocked: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:
     """pages with host, path, rule and verdict; ``blocked`` has one column, domains that are blocked with their subdomains."""
-    names = {"host", "path", "rule", "verdict"}
-    base = pages.select(*[F.col(f"`{c}`") for c in pages.columns if c not in names], url_host(F.col(url)).alias("host"), url_path(F.col(url)).alias("path"))
+    p = Plain(pages)
+    at = F.col(p[url])
     listed = blocked.select(ascii_lower(F.col(blocked.columns[0])).alias("key")).where("key is not null and key != ''").distinct()
-    hosts = pages.select(url_host(F.col(url)).alias("host")).distinct()
+    hosts = p.df.select(url_host(at).alias("host")).distinct()
     universe = materialize(hosts.select(F.explode(domain_suffixes(F.col("host"))).alias("key")).distinct())
-    levels = build_cascade(universe, listed, max_bits=max_bits)
+    levels = build_cascade(universe, listed)
+    drop(universe)
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    out = base.withColumn("rule", rule).withColumn("_ruled", verdict)
-    if levels is None:
-        bad = hosts.select("host", F.explode(domain_suffixes(F.col("host"))).alias("key")).join(listed, "key", "left_semi").select("host").distinct()
-        out = out.join(bad.withColumn("_bad", F.lit(True)), "host", "left")
-    else:
-        out = out.withColumn("_bad", F.exists(domain_suffixes(F.col("host")), lambda k: cascade_holds(levels, k)))
-    out = out.withColumn("verdict", F.coalesce("_ruled", F.when(F.col("_bad"), "block").otherwise("allow")))
-    return out.select(*[f"`{c}`" for c in base.columns], "rule", "verdict")
+    base = p.df.withColumns({"host": url_host(at), "path": url_path(at)}).withColumns({"rule": rule, "ruled": verdict})
+    base = base.withColumns({f"words{i}": level.table.scalar() for i, level in enumerate(levels)})
+    # Each array is named once, so that plans keep it as a subquery's value and never copy it into rows.
+    words = F.array(F.struct(*[f"words{i}" for i in range(len(levels))]))
+    bad = F.exists(words, lambda w: F.exists(domain_suffixes(F.col("host")), lambda k: cascade_holds(levels, k, [w[f"words{i}"] for i in range(len(levels))])))
+    return p.back(base.withColumn("verdict", F.coalesce("ruled", F.when(bad, "block").otherwise("allow"))), "host", "path", "rule", "verdict")
