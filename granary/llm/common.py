@@ -41,11 +41,15 @@ def shared_dir(spark: SparkSession) -> str:
 _written: list[tuple[SparkSession, str]] = []
 
 
+#: Tasks that write a table, for each core: more partitions are written one after another, into few files.
+FILES_A_CORE = 4
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder; it lives until drop() or the driver's exit."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/granary/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.coalesce(FILES_A_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
     _written.append((spark, path))
     out = spark.read.schema(df.schema).parquet(path)
     out._granary_path = path
