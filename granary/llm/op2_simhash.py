@@ -7,7 +7,8 @@ vectors (50 on average), fingerprints that meet in a cell are candidates, and th
 
 Equal fingerprints are one node, so copies never pair up. Members of a cell arrive sorted; up to ``SMALL`` are compared pair by pair, larger cells
 by a search that compares each reached member with those not yet reached, which gives edges that span the same groups in time
-linear in a group of near copies. Components come from graph.components.
+linear in a group of near copies. Cells of over ``CROWD`` members are first cut into groups that agree in one of limit + 1 runs of bits,
+so that members far apart are not compared. Components come from graph.components.
 
 Defined cases: a null text has no words; no words: fingerprint 0, linked like any other; under four words: one shingle, the whole sequence;
 repeated rows and ids share fingerprint and component; a row without an id takes part with its fingerprint and gets the component
@@ -24,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import Plain, drop, materialize
 from .graph import components
 
-SHINGLE, SEED, BLOCK, SMALL = 4, 42, 1 << 15, 48
+SHINGLE, SEED, BLOCK, SMALL, CROWD = 4, 42, 1 << 15, 48, 2048
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
@@ -100,6 +101,17 @@ def _spanning(f: np.ndarray, limit: int) -> list[tuple[int, int]]:
     return out
 
 
+def _blocks(f: np.ndarray, limit: int) -> Iterator[np.ndarray]:
+    """Groups of f that agree in one of limit + 1 runs of bits: fingerprints that differ in at most limit bits share one."""
+    cuts = [64 * i // (limit + 1) for i in range(limit + 2)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        own = _band(f, a, b - a)
+        order = np.argsort(own, kind="stable")
+        for part in np.split(f[order], np.flatnonzero(np.diff(own[order])) + 1):
+            if len(part) > 1:
+                yield part
+
+
 def links_in_cells(keys: np.ndarray, fps: np.ndarray, limit: int, bands: int) -> np.ndarray:
     """Pairs (n, 2) of linked fingerprints; keys are sorted."""
     first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
@@ -123,8 +135,9 @@ def links_in_cells(keys: np.ndarray, fps: np.ndarray, limit: int, bands: int) ->
         own = (_manhattan(va, vb) > 1) | ((k & np.uint64(0xFFFFFFFF)) == np.minimum(va, vb))
         found.append(np.stack([a[own], b[own]], axis=1))
     for i, n in zip(first[sizes > SMALL], sizes[sizes > SMALL], strict=True):
-        if pairs := _spanning(fps[i : i + n], limit):
-            found.append(np.array(pairs, np.uint64))
+        for part in _blocks(fps[i : i + n], limit) if n > CROWD else [fps[i : i + n]]:
+            if pairs := _spanning(part, limit):
+                found.append(np.array(pairs, np.uint64))
     return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.uint64)
 
 
@@ -136,7 +149,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", shing
             fp = np.array([fingerprint(t.as_py(), shingle) for t in x["text"]], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([x["doc_id"], pa.array(fp)], ["doc_id", "fp"])
 
-    slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    p = Plain(docs)
+    slim = p.df.select(F.col(p[key]).cast("long").alias("doc_id"), F.col(p[text]).alias("text"))
     return slim.mapInArrow(run, "doc_id long, fp long")
 
 

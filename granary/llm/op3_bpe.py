@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from .common import Plain
+
 MASK = (1 << 64) - 1
 MEMO = 1 << 19
 
@@ -189,7 +191,8 @@ def encode_table(docs: DataFrame, vocabulary: Vocabulary, pattern: str, key: str
             ids = pa.array([np.asarray(e.encode(t.as_py() or ""), np.int32) for t in x["text"]], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([x["doc_id"], ids], ["doc_id", "token_ids"])
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, token_ids array<int>")
+    p = Plain(docs)
+    return p.df.select(F.col(p[key]).cast("long").alias("doc_id"), F.col(p[text]).alias("text")).mapInArrow(run, "doc_id long, token_ids array<int>")
 
 
 def decode_table(rows: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", ids: str = "token_ids") -> DataFrame:
@@ -220,5 +223,6 @@ def encode_digests(docs: DataFrame, vocabulary: Vocabulary, pattern: str, key: s
                 d.append(hashlib.sha256(e.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([x["doc_id"], pa.array(n, pa.int64()), pa.array(i, pa.string()), pa.array(d, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    p = Plain(docs)
+    slim = p.df.select(F.col(p[key]).cast("long").alias("doc_id"), F.col(p[text]).alias("text"))
     return slim.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -4,11 +4,12 @@ Words are lower-cased runs of letters. A word's embedding is the sum of hashed r
 several widths slide over the whole text, each filter's maximum goes through tanh and a logistic unit. Inference stores every word's
 contribution to every filter once, so a text costs gathers and maxima only; long texts are walked in overlapping blocks.
 
-Training uses a bounded sample (``max_fit_rows`` labelled rows, half of them positive, each of at most ``max_fit_words`` words; longer rows are left out of the
-fit only) of rows whose crc32(id as text) mod 3 is 0. All labelled rows with remainder 2, whole, calibrate a threshold for each language: they are scored
+Training uses a bounded sample (``max_fit_rows`` labelled rows, half of them positive, each of at most ``MAX_FIT_WORDS`` words and ``MAX_FIT_CHARS`` characters; longer rows are left
+out of the fit only) of rows whose crc32(id as text) mod 3 is 0. All labelled rows with remainder 2, whole, calibrate a threshold for each language: they are scored
 in Spark, and only counts by language, label and grid step reach the driver. Remainder 1 is held out. Labels, language, source and id are never inputs of a score.
 
 Defined cases: a null or empty text is scored like any other (its filters see padding); a row without an id is scored and never learned from;
+of rows that share an id the smallest text is learned from; columns named like a result, in whatever case, are replaced;
 repeated labels of a document count as their maximum; without labels of both kinds every score is 0; repeated rows repeat; an empty table
 gives no rows.
 """
@@ -26,8 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import Plain
+
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 8, 8, (1, 2, 3)
-MAX_FIT_ROWS, MAX_FIT_WORDS, EPOCHS, BLOCK, MEMO = 6000, 2000, 4, 1 << 15, 1 << 19
+MAX_FIT_ROWS, MAX_FIT_WORDS, MAX_FIT_CHARS, EPOCHS, BLOCK, MEMO = 6000, 2000, 16_000, 4, 1 << 15, 1 << 19
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -186,27 +189,30 @@ def fold(key: str):
     return F.crc32(F.col(key).cast("string").cast("binary")) % 3
 
 
-def _labelled(labels: DataFrame, key: str, label: str, remainder: int) -> DataFrame:
-    """key and y, its label, of a fold."""
-    return labels.groupBy(key).agg(F.max(label).cast("int").alias("y")).where((fold(key) == remainder) & F.col("y").isin(0, 1))
+def _slim(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
+    """id, text and lang (null without such a column) of a table with whatever other columns."""
+    p = Plain(docs)
+    lang = p.find(lang)
+    return p.df.select(F.col(p[key]).alias("id"), F.col(p[text]).alias("text"), (F.col(lang) if lang else F.lit(None)).cast("string").alias("lang"))
 
 
-def _lang(docs: DataFrame):
-    return (F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")).alias("_lang")
+def _labelled(labels: DataFrame, key: str, label: str, remainder: int) -> DataFrame:
+    """id and y, its label, of a fold."""
+    p = Plain(labels)
+    own = p.df.select(F.col(p[key]).alias("id"), F.col(p[label]).alias("y"))
+    return own.groupBy("id").agg(F.max("y").cast("int").alias("y")).where((fold("id") == remainder) & F.col("y").isin(0, 1))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, rows: int) -> list:
-    """At most rows labelled documents of the fit's fold, half of each label, by hash order of the id."""
-    own = _labelled(labels, key, label, 0)
-    order = F.xxhash64(F.col(key).cast("string"))
-    few = [own.where(F.col("y") == y).orderBy(order, key).limit(rows // 2) for y in (0, 1)]
-    picked = docs.select(key, F.col(text).alias("_t")).join(F.broadcast(few[0].union(few[1])), key)  # at most `rows` rows
-    picked = picked.where(F.length(F.coalesce("_t", F.lit(""))) <= 8 * MAX_FIT_WORDS)
-    got = picked.select(key, "_t", "y").limit(2 * rows).collect()
-    return sorted(got, key=lambda r: (zlib.crc32(str(r[0]).encode()), r[0], r["_t"] or ""))
+def _sample(docs: DataFrame, labelled: DataFrame, rows: int) -> list:
+    """At most rows labelled documents, half of each label, by hash order of the id."""
+    few = [labelled.where(F.col("y") == y).orderBy(F.xxhash64(F.col("id").cast("string")), "id").limit(rows // 2) for y in (0, 1)]
+    picked = docs.join(F.broadcast(few[0].union(few[1])), "id")  # at most `rows` rows
+    picked = picked.where(F.length(F.coalesce("text", F.lit(""))) <= MAX_FIT_CHARS)
+    got = picked.groupBy("id", "y").agg(F.min("text").alias("text")).collect()  # of rows with one id the smallest text
+    return sorted(got, key=lambda r: (zlib.crc32(str(r["id"]).encode()), r["id"]))
 
 
-def _counts(docs: DataFrame, labels: DataFrame, model: Model, key: str, text: str, label: str) -> dict[str, np.ndarray]:
+def _counts(docs: DataFrame, labelled: DataFrame, model: Model) -> dict[str, np.ndarray]:
     """For each language ('' without one) best_threshold's counts over all labelled rows of the calibration fold."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * DIM floats
     scorer: list[Scorer] = []
@@ -215,11 +221,10 @@ def _counts(docs: DataFrame, labels: DataFrame, model: Model, key: str, text: st
         if not scorer:
             scorer.append(Scorer(shared.value))
         for x in batches:
-            step = np.searchsorted(GRID, [scorer[0].score(t.as_py()) for t in x["_t"]], side="right")
-            yield pa.RecordBatch.from_arrays([x["_lang"], x["y"], pa.array(step.astype(np.int32))], ["lang", "y", "step"])
+            step = np.searchsorted(GRID, [scorer[0].score(t.as_py()) for t in x["text"]], side="right")
+            yield pa.RecordBatch.from_arrays([x["lang"], x["y"], pa.array(step.astype(np.int32))], ["lang", "y", "step"])
 
-    rows = docs.select(key, F.col(text).alias("_t"), _lang(docs)).join(_labelled(labels, key, label, 2), key)
-    rows = rows.select(F.coalesce("_lang", F.lit("")).alias("_lang"), "y", "_t")
+    rows = docs.join(labelled, "id").select(F.coalesce("lang", F.lit("")).alias("lang"), "y", "text")
     out: dict[str, np.ndarray] = {}
     for lang, y, step, n in rows.mapInArrow(run, "lang string, y int, step int").groupBy("lang", "y", "step").count().collect():
         out.setdefault(lang, np.zeros((2, len(GRID) + 1), np.int64))[y, step] = n
@@ -227,40 +232,40 @@ def _counts(docs: DataFrame, labels: DataFrame, model: Model, key: str, text: st
     return out
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_fit_rows: int = MAX_FIT_ROWS) -> tuple[Model, dict[str, float]]:
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_fit_rows: int = MAX_FIT_ROWS, lang: str = "lang", label_key: str | None = None) -> tuple[Model, dict[str, float]]:
     """The model, and thresholds by language ('' for the rest)."""
-    got = _sample(docs, labels, key, text, label, max_fit_rows)
-    pairs = [(x, r["y"]) for x, r in zip(encode([r["_t"] for r in got]), got, strict=True) if x is not None]
+    slim, label_key = _slim(docs, key, text, lang), label_key or key
+    got = _sample(slim, _labelled(labels, label_key, label, 0), max_fit_rows)
+    pairs = [(x, r["y"]) for x, r in zip(encode([r["text"] for r in got]), got, strict=True) if x is not None]
     del got
     model = train([x for x, _ in pairs], [y for _, y in pairs])
     del pairs
-    counts = _counts(docs, labels, model, key, text, label) if model.trained else {}
+    counts = _counts(slim, _labelled(labels, label_key, label, 2), model) if model.trained else {}
     cut = {"": best_threshold(sum(counts.values(), np.zeros((2, len(GRID) + 1), np.int64)))}
     cut |= {g: best_threshold(c) for g, c in sorted(counts.items()) if g}
     return model, cut
 
 
-def score_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_fit_rows: int = MAX_FIT_ROWS) -> DataFrame:
+def score_table(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", max_fit_rows: int = MAX_FIT_ROWS, lang: str = "lang", label_key: str | None = None) -> DataFrame:
     """docs' columns with held_out, score, predicted (score >= 0.7) and rejected (score at the language's threshold or above)."""
-    model, cut = fit(docs, labels, key, text, label, max_fit_rows)
+    model, cut = fit(docs, labels, key, text, label, max_fit_rows, lang, label_key)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * DIM floats
     scorer: list[Scorer] = []
-    extra = [c for c in docs.columns if c not in ("held_out", "score", "predicted", "rejected")]
-    rows = docs.select(*[f"`{c}`" for c in extra])
-    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
+    p = Plain(docs)
+    body, lang = p[text], p.find(lang)
+    schema = T.StructType([*p.df.schema.fields, T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not scorer:
             scorer.append(Scorer(shared.value))
         for x in batches:
-            s = [scorer[0].score(t.as_py()) for t in x[text]]
+            s = [scorer[0].score(t.as_py()) for t in x[body]]
             yield pa.RecordBatch.from_arrays([*x.columns, pa.array(s, pa.float64())], [*x.schema.names, "score"])
 
-    out = rows.mapInArrow(run, schema)
     threshold = F.lit(cut[""])
-    if "lang" in extra:
+    if lang:
         for g, t in cut.items():
             if g:
-                threshold = F.when(F.col("lang") == g, t).otherwise(threshold)
-    held = F.coalesce(fold(key) == 1, F.lit(False))
-    return out.select(*[f"`{c}`" for c in extra], held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), (F.col("score") >= threshold).alias("rejected"))
+                threshold = F.when(F.col(lang) == g, t).otherwise(threshold)
+    out = p.df.mapInArrow(run, schema).withColumns({"held_out": F.coalesce(fold(p[key]) == 1, F.lit(False)), "predicted": (F.col("score") >= 0.7).cast("int"), "rejected": F.col("score") >= threshold})
+    return p.back(out, "held_out", "score", "predicted", "rejected")
