@@ -2,14 +2,16 @@
 
 Documents are aggregated by membership pattern (the set of sources that they belong to). A flow network leads words from patterns to
 source quotas: the first use of a word costs nothing, every repetition more than the one before (convex), so the cheapest flow that
-fills the quotas repeats as little as it can. Only the patterns' totals reach the driver: at most ``max_patterns`` rows, which is checked.
+fills the quotas repeats as little as it can. Sources that share no document with another need no flow: their one pattern fills the quota. Only the
+patterns' totals reach the driver, a row a pattern; tables of more than ``max_patterns`` patterns are joined, not broadcast.
 
 Each copy of a pattern is cut after the flow's words in seeded order. The cut's place comes from a histogram over ``buckets`` hash
 ranges of each pattern, then running sums inside the one range that it falls into, so no task holds a pattern; the documents themselves are
 not shuffled. Whole documents are taken, so what a source takes misses its quota by less than one document for each copy.
 
-Defined cases: null text has size 0; null sources are a source of their own, last in order; a document of size 0 is taken 0 words; ties of the seeded
-order (repeated ids) are taken together; an empty table gives no rows. Reruns agree: the order hashes id and seed only.
+Defined cases: null text has size 0; null sources are a source of their own, last in order; a document of size 0 is taken 0 words; the seeded order
+hashes id, seed and the whole row, so only wholly equal rows tie: they are counted, and of those at a cut as many are taken as
+begin within the room; an empty table gives no rows; columns named like a result, in whatever case, are replaced. Reruns agree.
 """
 
 from __future__ import annotations
@@ -22,7 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import drop, materialize, words_of
+from .common import Plain, drop, materialize, words_of
+
+#: Copies of one row that are written out together.
+RUN = 10_000
 
 
 def share_targets(sizes: dict[str | None, int], weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5, cap: float = 2.0) -> dict[str | None, float]:
@@ -110,21 +115,41 @@ def min_cost_flow(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int]
     return shares
 
 
+def route(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int], copies: int = 2) -> list[Share]:
+    """min_cost_flow, solved at once for sources that no document shares with another: their only pattern fills the quota use after use."""
+    tied = {s for members, _ in patterns if len(members) > 1 for s in members}
+    out, rest = [], []
+    for p, (members, words) in enumerate(patterns):
+        if tied.intersection(members):
+            rest.append(p)
+            continue
+        for s in members:
+            left = quotas[s]
+            for c in range(copies):
+                if took := min(left, words):
+                    out.append(Share(p, s, c, took))
+                    left -= took
+    return out + [Share(rest[x.pattern], x.source, x.copy, x.words) for x in min_cost_flow([patterns[p] for p in rest], quotas, copies)]
+
+
 def mix_sources(docs: DataFrame, members: Column, size: Column, key: str = "doc_id", seed: str = "mix", weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5, copies: int = 2, buckets: int = 4096, max_patterns: int = 4096) -> DataFrame:
     """docs with _members (sorted array of source names), size, source_size, target, copies and taken.
 
     With one source a document, source_size and target are that source's; with several they are sums over its sources.
     """
-    extra = [c for c in docs.columns if c not in ("_members", "size", "source_size", "target", "taken", "copies")]
-    name = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("null"))
-    own = [size.cast("long").alias("size"), F.to_json(F.struct(F.array_sort(F.array_distinct(members)).alias("m")), {"ignoreNullFields": "false"}).alias("_k"), F.conv(F.substring(F.md5(F.concat(name, F.lit("|" + seed))), 1, 15), 16, 10).cast("long").alias("_h")]
-    bucket = F.shiftright("_h", 60 - (buckets - 1).bit_length()).cast("int")
-    slim = materialize(docs.select(*own).withColumn("_bucket", bucket))
-    sums = slim.groupBy("_k", "_bucket").agg(F.sum("size").alias("n"))
-    totals = sums.groupBy("_k").agg(F.sum("n").alias("words")).limit(max_patterns + 1).collect()
-    if len(totals) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns; raise max_patterns or merge sources")
-    patterns = sorted((([(m is None, m or "") for m in x], x, r["_k"], int(r["words"])) for r in totals for x in [json.loads(r["_k"])["m"]]), key=lambda x: x[0])
+    spark, p = docs.sparkSession, Plain(docs)
+    own = p.df.columns
+    body = docs.select("*", members.alias("members"), size.cast("long").alias("size")).toDF(*own, "members", "size")
+    name = F.coalesce(F.col(p[key]).cast("string"), F.lit("null"))
+    row = F.xxhash64(F.to_json(F.struct(*own))) if "map<" in p.df.schema.simpleString() else F.xxhash64(*own)  # maps have no hash
+    h = F.conv(F.substring(F.md5(F.concat(name, F.lit(f"|{seed}|"), row.cast("string"))), 1, 15), 16, 10).cast("long")
+    k = F.to_json(F.struct(F.array_sort(F.array_distinct("members")).alias("m")), {"ignoreNullFields": "false"})
+    keyed = body.withColumns({"k": k, "h": h})
+    bucket = F.shiftright("h", 60 - (buckets - 1).bit_length()).cast("int")
+    slim = materialize(keyed.select("k", "h", "size", bucket.alias("bucket")))
+    sums = slim.groupBy("k", "bucket").agg(F.sum("size").alias("n"))
+    totals = sums.groupBy("k").agg(F.sum("n").alias("words")).collect()
+    patterns = sorted((([(m is None, m or "") for m in x], x, r["k"], int(r["words"])) for r in totals for x in [json.loads(r["k"])["m"]]), key=lambda x: x[0])
     sizes: dict[str | None, int] = {}
     for _, m, _, words in patterns:
         for s in m:
@@ -133,29 +158,51 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, key: str = "doc_
     targets = share_targets(sizes, weights, total_share * all_words / max(1, sum(sizes.values())), copies)
     order = list(targets)
     at = {s: i for i, s in enumerate(order)}
-    shares = min_cost_flow([(tuple(at[s] for s in m), words) for _, m, _, words in patterns], [round(targets[s]) for s in order], copies)
-    room = [[sum(x.words for x in shares if x.pattern == p and x.copy == c) for c in range(copies)] for p in range(len(patterns))]
-    spark = docs.sparkSession
-    flow = spark.createDataFrame([(k, c, room[p][c]) for p, (_, _, k, _) in enumerate(patterns) for c in range(copies)], "_k string, copy int, room long")
-    # The range that each cut falls into, then the last hash before the cut inside that range: a row a pattern and copy.
-    upto = F.sum("n").over(W.partitionBy("_k").orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0))
-    ranges = sums.select("_k", "_bucket", "n", upto.alias("_upto")).join(F.broadcast(flow), "_k")  # at most max_patterns * copies rows
-    ranges = ranges.where("_upto >= room and _upto - n < room").select("_k", "copy", "room", "_bucket", (F.col("_upto") - F.col("n")).alias("_offset"))
-    inside = slim.join(F.broadcast(ranges), ["_k", "_bucket"])  # as many rows at most
-    start = F.sum("size").over(W.partitionBy("_k", "_bucket", "copy").orderBy("_h").rangeBetween(W.unboundedPreceding, -1))
-    inside = inside.withColumn("_start", F.col("_offset") + F.coalesce(start, F.lit(0)))
-    last = {(r["_k"], r["copy"]): r["h"] for r in inside.where("_start < room").groupBy("_k", "copy").agg(F.max("_h").alias("h")).collect()}
+    room = [[0] * copies for _ in patterns]
+    for x in route([(tuple(at[s] for s in m), words) for _, m, _, words in patterns], [round(targets[s]) for s in order], copies):
+        room[x.pattern][x.copy] += x.words
+
+    def few(df: DataFrame) -> DataFrame:
+        """A table of a few rows a pattern: broadcast up to max_patterns, beyond that Spark decides."""
+        return F.broadcast(df) if len(patterns) <= max_patterns else df
+
+    flow = spark.createDataFrame([(k, c, room[i][c]) for i, (_, _, k, _) in enumerate(patterns) for c in range(copies)], "k string, copy int, room long")
+    # The range that each cut falls into, then the hash inside that range at which the room ends: a row a pattern and copy.
+    upto = F.sum("n").over(W.partitionBy("k").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0))
+    ranges = sums.select("k", "bucket", "n", upto.alias("upto")).join(few(flow), "k")
+    ranges = ranges.where("upto >= room and upto - n < room").select("k", "copy", "room", "bucket", (F.col("upto") - F.col("n")).alias("offset"))
+    inside = slim.join(few(ranges), ["k", "bucket"]).groupBy("k", "bucket", "copy", "room", "offset", "h").agg(F.count("*").alias("rows"), F.sum("size").alias("words"))
+    start = F.sum("words").over(W.partitionBy("k", "bucket", "copy").orderBy("h").rowsBetween(W.unboundedPreceding, -1))
+    inside = inside.withColumn("start", F.col("offset") + F.coalesce(start, F.lit(0))).where("start < room")
+    cuts = {(r["k"], r["copy"]): r["cut"] for r in inside.groupBy("k", "copy").agg(F.max(F.struct("h", "rows", "words", "start", "room")).alias("cut")).collect()}
     drop(slim)
+    # Of equal rows at a cut, as many are taken as begin within the room.
+    parted = []
+    for (name_, c), x in cuts.items():
+        taken = x["rows"] if not x["words"] else min(x["rows"], -(-(x["room"] - x["start"]) * x["rows"] // x["words"]))
+        if taken < x["rows"]:
+            parted.append((name_, x["h"], c, taken))
+    split = {(name_, c): t for name_, _, c, t in parted}
     plan = spark.createDataFrame(
-        [(k, float(sum(targets[s] for s in m)), sum(sizes[s] for s in m), [last.get((k, c), -1) for c in range(copies)]) for _, m, k, _ in patterns],
-        "_k string, target double, source_size long, _last array<long>",
+        [(k, float(sum(targets[s] for s in m)), sum(sizes[s] for s in m), [cuts[k, c]["h"] if (k, c) in cuts else -1 for c in range(copies)], [split.get((k, c)) for c in range(copies)]) for _, m, k, _ in patterns],
+        "k string, target double, source_size long, last array<long>, first_rows array<long>",
     )
-    rows = docs.select(*[F.col(f"`{c}`") for c in extra], *own).join(F.broadcast(plan), "_k")  # at most max_patterns rows
-    uses = F.size(F.filter("_last", lambda h: F.col("_h") <= h))
-    rows = rows.withColumn("copies", uses).withColumn("taken", F.col("size") * F.col("copies"))
-    return rows.select(*[f"`{c}`" for c in extra], F.from_json("_k", "m array<string>")["m"].alias("_members"), "size", "source_size", "target", "copies", "taken")
+    rows = keyed.join(few(plan), "k")
+    uses = F.expr("size(filter(last, x -> h <= x))")
+    out = rows.withColumn("copies", uses)
+    if parted:
+        equal = F.expr("exists(arrays_zip(last, first_rows), x -> x.last = h and x.first_rows is not null)")
+        one = rows.where(equal).groupBy("k", "h").agg(F.first(F.struct(*[c for c in rows.columns if c not in ("k", "h")])).alias("row"), F.count("*").alias("rows"))
+        one = one.select("k", "h", "rows", "row.*").withColumn("run", F.explode(F.expr(f"sequence(0L, (rows - 1) div {RUN})")))
+        one = one.withColumn("i", F.explode(F.expr(f"sequence(run * {RUN}, least((run + 1) * {RUN}, rows) - 1)")))
+        uses = F.expr("size(filter(arrays_zip(last, first_rows), x -> h < x.last or (h = x.last and (x.first_rows is null or i < x.first_rows))))")
+        out = out.where(~equal).unionByName(one.withColumn("copies", uses).select(*out.columns))
+    out = out.withColumns({"taken": F.col("size") * F.col("copies"), "_members": F.from_json("k", "m array<string>")["m"]})
+    return p.back(out, "_members", "size", "source_size", "target", "copies", "taken")
 
 
 def mix_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **kw) -> DataFrame:
     """mix_sources for documents of one source each."""
-    return mix_sources(docs, F.array(F.col(source)), F.size(words_of(F.col(text))), key, **kw)
+    p = Plain(docs)
+    mixed = mix_sources(p.df, F.array(F.col(p[source])), F.size(words_of(F.col(p[text]))), p[key], **kw)
+    return p.back(mixed, "_members", "size", "source_size", "target", "copies", "taken")
