@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Complements of the nucleotide codes and of the IUPAC codes.
@@ -55,9 +55,24 @@ def gc3_percent(s: Column) -> Column:
     return F.when(F.length(s) % 3 == 0, gc_percent(every_third(s)))
 
 
-def kmers(s: Column, k: int) -> Column:
-    n = F.length(s)
-    return F.when(n < k, F.array().cast("array<string>")).otherwise(_each_place(s, n - k + 1, lambda c, i: F.array_join(F.slice(c, i + 1, F.lit(k)), "")))
+def kmer_counts(df: DataFrame, by: str, seq: str, k: int, size: int = 256) -> DataFrame:
+    """by, kmer, n: every window of k letters. A sequence is cut once into chunks that overlap by k - 1, so no place is reached by walking a long text."""
+    cut = df.where(F.length(seq) >= k).select(by, F.regexp_extract_all(seq, F.lit(f"(?s)(.{{1,{size}}})"), F.lit(1)).alias("_c"))
+    tail = F.slice("_c", F.lit(2), F.greatest(F.size("_c"), F.lit(1)))
+    parts = cut.select(by, F.explode(F.zip_with("_c", tail, lambda a, b: F.concat(a, F.substring(F.coalesce(b, F.lit("")), 1, k - 1)))).alias("_p")).where(F.length("_p") >= k)
+    each = parts.select(by, "_p", F.explode(F.sequence(F.lit(1), F.length("_p") - k + 1)).alias("_i"))
+    return each.groupBy(by, F.substring("_p", F.col("_i"), F.lit(k)).alias("kmer")).agg(F.count("*").alias("n"))
+
+
+def kmer_table(df: DataFrame, by: str, seq: str, k: int = 4, least: int = 0) -> DataFrame:
+    """by, kmer, n for all 4^k k-mers (0 where absent): windows of both strands of sequences of at least ``least`` letters; windows with other letters do not count."""
+    from itertools import product
+
+    long = df.where(F.length(seq) >= least)
+    n = kmer_counts(long, by, seq, k).where(f"kmer rlike '^[ACGT]{{{k}}}$'")
+    both = n.union(n.select(by, reverse_complement(F.col("kmer")), "n")).groupBy(by, "kmer").agg(F.sum("n").alias("n"))
+    every = F.split(F.lit(",".join("".join(x) for x in product("ACGT", repeat=k))), ",")  # 4^k names
+    return long.select(by).distinct().select(by, F.explode(every).alias("kmer")).join(both, [by, "kmer"], "left").fillna(0, ["n"])
 
 
 def chunks(s: Column, size: int) -> Column:
@@ -68,9 +83,8 @@ def chunks(s: Column, size: int) -> Column:
 
 
 def common_prefix(a: Column, b: Column) -> Column:
-    n = F.least(F.length(a), F.length(b))
-    same = F.aggregate(F.sequence(F.lit(0), n), F.lit(0), lambda acc, i: F.when(F.substring(a, F.lit(1), i) == F.substring(b, F.lit(1), i), F.greatest(acc, i)).otherwise(acc))
-    return F.substring(a, F.lit(1), same)
+    same = F.array_position(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.coalesce(x == y, F.lit(False)).cast("int")), 0)
+    return F.when(a == b, a).otherwise(F.substring(a, F.lit(1), (same - 1).cast("int")))
 
 
 def is_integer(s: Column) -> Column:
@@ -122,10 +136,7 @@ def newick_safe(name: Column, width: int = 40) -> Column:
 
 
 def pair_identity(a: Column, b: Column, skip: str = "-N") -> Column:
-    """Identical columns in percent over those where neither is a gap or unknown; null without any."""
-    n = F.least(F.length(a), F.length(b))
-    at = F.sequence(F.lit(1), n)
-    ok = lambda i: ~F.substring(a, i, F.lit(1)).isin(*skip) & ~F.substring(b, i, F.lit(1)).isin(*skip)
-    both = F.size(F.filter(at, ok))
-    same = F.size(F.filter(at, lambda i: ok(i) & (F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1)))))
-    return F.when((n > 0) & (both > 0), 100.0 * same / both)
+    """Identical columns in percent over those where neither is a gap or unknown; null without any. Both are split once."""
+    known = lambda x: F.coalesce((x != "") & ~x.isin(*skip), F.lit(False))
+    columns = F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(known(x) & known(y), x == y)), lambda x: x.isNotNull())
+    return F.when(F.size(columns) > 0, 100.0 * F.size(F.filter(columns, lambda x: x)) / F.size(columns))

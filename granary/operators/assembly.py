@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -52,3 +52,15 @@ def length_tier(df: DataFrame, group: str, length: str, tiers: tuple[int, ...] =
     j = df.join(n.select(group, tier.alias("tier")), group).where(F.col(length) > F.col("tier"))
     w = W.partitionBy(group).orderBy(F.desc(length), key)
     return j.withColumn("place", F.row_number().over(w)).where(F.col("place") <= top)
+
+
+def numbered(df: DataFrame, value: Column, ties: list[str], name: str) -> DataFrame:
+    """df with name: places from 1 in order of an integer value, then of ties, over the whole table.
+
+    Counts by value give each value its first place; only they are ordered in one task, and rows are numbered within a value.
+    """
+    t = df.withColumn("_v", value.cast("long"))
+    n = t.groupBy("_v").agg(F.count("*").alias("_c"))
+    n = n.select("_v", F.coalesce(F.sum("_c").over(W.orderBy("_v").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    own = F.row_number().over(W.partitionBy("_v").orderBy(*ties))
+    return t.withColumn("_own", own).join(n, "_v").withColumn(name, F.col("_before") + F.col("_own")).drop("_v", "_own", "_before")

@@ -58,14 +58,30 @@ def merge_identities(pairs: DataFrame, a: str, b: str, identity: str, length: st
 
 
 def codon_sites(msa: DataFrame, gene: str, species: str, seq: str, outgroup: list | None = None) -> DataFrame:
-    """gene, codon (from 1), kind: constant, synonymous or nonsynonymous over the species' known codons (outgroup ignored; gaps and Ns tolerated)."""
-    from ..functions.sequence import codon_table
+    """gene, codon (from 1), kind (constant, synonymous or nonsynonymous) and fourfold over the species' known codons; outgroup ignored, gaps and Ns tolerated.
 
-    codes = F.create_map(*[F.lit(x) for kv in sorted(codon_table().items()) for x in kv])
+    A site is fourfold if its codons share their first two bases and any third one gives the same amino acid.
+    """
+    from ..functions.sequence import BASES, codon_table
+
+    table = codon_table()
+    codes = F.create_map(*[F.lit(x) for kv in sorted(table.items()) for x in kv])
+    free = sorted({c[:2] for c in table if len({table[c[:2] + x] for x in BASES}) == 1})
     m = msa if not outgroup else msa.where(~F.col(species).isin(outgroup))
     c = m.select(gene, F.posexplode(F.regexp_extract_all(F.upper(F.col(seq)), F.lit("(...)"), F.lit(1))).alias("i", "codon")).where("codon rlike '^[ACGT]{3}$'")
-    n = c.withColumn("aa", F.try_element_at(codes, F.col("codon"))).groupBy(gene, (F.col("i") + 1).alias("codon_no")).agg(F.countDistinct("codon").alias("k"), F.countDistinct("aa").alias("a"))
-    return n.select(gene, F.col("codon_no").alias("codon"), F.when(F.col("k") == 1, "constant").when(F.col("a") == 1, "synonymous").otherwise("nonsynonymous").alias("kind"))
+    head = F.substring("codon", 1, 2)
+    n = c.withColumn("aa", F.try_element_at(codes, F.col("codon"))).groupBy(gene, (F.col("i") + 1).alias("codon_no"))
+    n = n.agg(F.countDistinct("codon").alias("k"), F.countDistinct("aa").alias("a"), F.min(head).alias("lo"), F.max(head).alias("hi"))
+    kind = F.when(F.col("k") == 1, "constant").when(F.col("a") == 1, "synonymous").otherwise("nonsynonymous")
+    return n.select(gene, F.col("codon_no").alias("codon"), kind.alias("kind"), (F.col("lo").isin(*free) & (F.col("lo") == F.col("hi"))).alias("fourfold"))
+
+
+def fourfold_alignment(msa: DataFrame, gene: str, species: str, seq: str, outgroup: list | None = None) -> DataFrame:
+    """gene, species, seq: the third bases of the fourfold sites, in place order; species without any site are left out."""
+    sites = codon_sites(msa, gene, species, seq, outgroup).where("fourfold").select(gene, "codon")
+    c = msa.select(gene, species, F.posexplode(F.regexp_extract_all(F.upper(F.col(seq)), F.lit("(...)"), F.lit(1))).alias("i", "c")).withColumn("codon", F.col("i") + 1)
+    got = c.join(sites, [gene, "codon"]).groupBy(gene, species).agg(F.array_sort(F.collect_list(F.struct("codon", F.substring("c", 3, 1).alias("base")))).alias("x"))
+    return got.select(gene, species, F.array_join(F.transform("x", lambda e: e["base"]), "").alias("seq"))
 
 
 def fill_consensus(calls: DataFrame, contig: str, length: str, gap: str = "n") -> DataFrame:

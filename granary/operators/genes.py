@@ -143,8 +143,10 @@ def replicate_by_coverage(contigs: DataFrame, coverage: str, size: int, most: in
 
 def rename_contigs(contigs: DataFrame, tag: str, circular: Column) -> DataFrame:
     """old, new (``tag__C<n>_L=<length>=``, longest first) and circular; lengths are counted from the sequence for every contig. One sample at a time."""
-    w = W.partitionBy(F.lit(0)).orderBy(F.desc(F.length("seq")), "id")
-    return contigs.select(F.col("id").alias("old"), F.format_string(f"{tag}__C%d_L=%d=", F.row_number().over(w), F.length("seq")).alias("new"), circular.alias("circular"))
+    from .assembly import numbered
+
+    c = numbered(contigs.withColumn("_len", F.length("seq")), -F.col("_len"), ["id"], "_place")
+    return c.select(F.col("id").alias("old"), F.format_string(f"{tag}__C%d_L=%d=", F.col("_place"), F.col("_len")).alias("new"), circular.alias("circular"))
 
 
 def interleave(first: DataFrame, second: DataFrame) -> DataFrame:

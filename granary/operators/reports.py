@@ -129,3 +129,19 @@ def sorted_hits(hits: DataFrame, query: str, order: list[Column]) -> DataFrame:
 def hit_pieces(hits: DataFrame, query: str, pieces: int) -> DataFrame:
     """hits with piece: about equal parts that never cut a query, by a hash of it."""
     return hits.withColumn("piece", F.pmod(F.xxhash64(query), F.lit(pieces)).cast("int"))
+
+
+def union_summaries(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """All tables under one header, their name in a column; a column that a table lacks is null there."""
+    out = None
+    for k, t in tables.items():
+        t = t.withColumn(name, F.lit(k))
+        out = t if out is None else out.unionByName(t, allowMissingColumns=True)
+    return out
+
+
+def frequency_list(df: DataFrame, lineage: str) -> DataFrame:
+    """lineage, n, place: distinct lineages, the most frequent first, equal ones by name."""
+    from .assembly import numbered
+
+    return numbered(df.groupBy(lineage).agg(F.count("*").alias("n")), -F.col("n"), [lineage], "place").select(lineage, "n", "place")

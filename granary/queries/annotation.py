@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sequence
-from ..operators import annotation, reports, selection
+from ..operators import annotation, bins, reports, selection, similarity
 from ..plans.registry import query, table
 
-_HITS = "(SELECT l_orderkey AS query, l_suppkey AS subject, l_quantity * 2 AS pident, l_linenumber * 40 + l_partkey % 50 AS aln_len, l_discount / 1e13 AS evalue, round(l_extendedprice / 100, 2) AS bitscore, l_partkey FROM lineitem) h"
+_HITS = "(SELECT l_orderkey AS query, l_suppkey AS subject, l_quantity * 2 AS pident, l_linenumber * 40 + l_partkey % 50 AS aln_len, l_discount / 1e13 AS evalue, l_extendedprice / 100 AS bitscore, l_partkey FROM lineitem) h"
 
 
 def hits(spark, d):
-    return table(spark, d, "lineitem").selectExpr("l_orderkey as query", "l_suppkey as subject", "l_quantity * 2 as pident", "l_linenumber * 40 + l_partkey % 50 as aln_len", "l_discount / 1e13D as evalue", "round(l_extendedprice / 100, 2) as bitscore", "l_partkey")
+    return table(spark, d, "lineitem").selectExpr("l_orderkey as query", "l_suppkey as subject", "l_quantity * 2 as pident", "l_linenumber * 40 + l_partkey % 50 as aln_len", "l_discount / 1e13D as evalue", "l_extendedprice / 100 as bitscore", "l_partkey")
 
 
 @query("SELECT term, count(*) AS n FROM (SELECT DISTINCT p_partkey, unnest(string_split(p_type || ' ' || p_name, ' ')) AS term FROM part) WHERE term != '' GROUP BY 1")
@@ -294,12 +294,20 @@ def x23_hit_pieces(spark, d):
     return reports.hit_pieces(hits(spark, d), "query", 16).groupBy("query").agg(F.count("*").alias("n"), F.countDistinct("piece").alias("pieces"))
 
 
-@query()
+_LIST = "list({'p': pident, 'l': aln_len, 'b': bitscore, 's': subject, 'ever': pident} ORDER BY bitscore DESC, evalue, subject, pident, aln_len)"
+_CONVINCING = "x.p > a.p - 5 AND ((x.p >= a.p * 0.97 AND x.p >= a.ever * 0.9 AND x.l >= a.l * 1.15) OR (x.p >= a.p * 1.03 AND x.l >= a.l * 0.9) OR x.b > a.b * 0.8)"
+
+
+@query(f"""
+WITH f AS (SELECT query, list_reduce({_LIST}, lambda a, x: CASE WHEN {_CONVINCING} THEN {{'p': x.p, 'l': x.l, 'b': x.b, 's': x.s, 'ever': greatest(a.ever, x.p)}} ELSE a END) AS f FROM {_HITS} GROUP BY 1)
+SELECT query, f.s AS subject, f.p AS pident, f.l AS aln_len, f.b AS bitscore FROM f""")
 def w05_convincing_hit(spark, d):
     return selection.fold_convincing(hits(spark, d), "query")
 
 
-@query()
+@query(f"""
+WITH f AS (SELECT query, list_reduce(list({{'s': subject, 'p': pident, 'l': aln_len}} ORDER BY subject, pident, aln_len), lambda a, x: CASE WHEN (x.p > a.p AND x.l > a.l) OR (x.l > a.l * 1.4 AND x.p > a.p * 0.9) THEN x ELSE a END) AS f FROM {_HITS} GROUP BY 1)
+SELECT query, f.p AS pident, f.l AS aln_len FROM f""")
 def x24_best_identity(spark, d):
     return selection.best_identity(hits(spark, d), "query", "subject")
 
@@ -413,3 +421,31 @@ def x25_assigned_reads(spark, d):
 @query(f"SELECT count(*) AS n, count(DISTINCT query) AS queries FROM {_HITS}")
 def l02_sorted_hits(spark, d):
     return reports.sorted_hits(hits(spark, d), "query", [F.desc("bitscore"), F.asc("subject")]).agg(F.count("*").alias("n"), F.countDistinct("query").alias("queries"))
+
+
+@query()
+def m12_tiered_groups(spark, d):
+    """Bins are orders of a customer's nation, their marker genes parts of a small range."""
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    li = table(spark, d, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    members = li.select(F.col("c_nationkey").alias("block"), F.col("l_orderkey").alias("name"), (F.col("l_partkey") % 12).alias("item"))
+    quality = o.selectExpr("c_nationkey as block", "o_orderkey as name", "60 + cast(o_orderkey % 41 as double) as compl", "cast(o_orderkey % 11 as double) as conta", "0.9D + (o_orderkey % 10) / 100D as agreement")
+    return bins.tiered_groups(members, quality, "block", "name", "item")
+
+
+@query()
+def m15_similar_sequences(spark, d):
+    return similarity.similar_groups(table(spark, d, "benchmark"), "item_id", "text")
+
+
+@query("SELECT 'a' AS profile, level, name, sample, value FROM (SELECT 1::INT AS level, c_mktsegment AS name, 's' || c_nationkey AS sample, sum(c_acctbal) AS value FROM customer WHERE c_nationkey < 12 GROUP BY ALL UNION ALL SELECT 1, c_mktsegment, 's' || c_nationkey, sum(c_acctbal) FROM customer WHERE c_nationkey >= 12 GROUP BY ALL)")
+def a07_merged_profiles(spark, d):
+    c = table(spark, d, "customer").selectExpr("c_mktsegment as lineage", "concat('s', c_nationkey) as sample", "c_acctbal as value", "c_nationkey")
+    files = {"a": c.where("c_nationkey < 12").drop("c_nationkey"), "b": c.where("c_nationkey >= 12").drop("c_nationkey")}
+    return reports.rank_matrix(reports.union_summaries(files, "file"), "lineage", "sample", "value").select(F.lit("a").alias("profile"), "level", "name", "sample", "value")
+
+
+@query("SELECT l_partkey AS feature, coalesce(max(q) FILTER (f = 'A'), 0) AS \"A\", coalesce(max(q) FILTER (f = 'N'), 0) AS \"N\", coalesce(max(q) FILTER (f = 'R'), 0) AS \"R\", 'depth' AS measure FROM (SELECT l_partkey, l_returnflag AS f, median(l_quantity) AS q FROM lineitem GROUP BY ALL) GROUP BY 1")
+def a30_gene_coverage_matrix(spark, d):
+    g = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("feature"), F.col("l_returnflag").alias("f")).agg(F.median("l_quantity").alias("depth"))
+    return reports.filled(g, "feature", ["A", "N", "R"], "f", ["depth"])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import genes
+from ..operators import genes, reports
 from ..plans.registry import query, table
 
 _OCC = "(SELECT p_brand AS g, p_partkey AS gene, count(*)::DOUBLE AS occ, (count(*) FILTER (l_linenumber = 1))::DOUBLE AS multi, 1 + p_size / 50.0::DOUBLE AS multibin, p_partkey % 20 = 0 AS is_marker FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand, p_partkey, p_size) o"
@@ -62,13 +62,6 @@ def j16_lookup_cascade(spark, d):
     return table(spark, d, "customer").select("c_custkey", genes.first_known(a, b, F.lit("self")).alias("name"))
 
 
-@query("""
-WITH n AS (SELECT l_suppkey, l_returnflag AS c, count(DISTINCT l_partkey) AS k, string_agg(DISTINCT CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS g FROM lineitem WHERE l_suppkey <= 40 GROUP BY ALL)
-SELECT l_suppkey, max(g) FILTER (c = 'A') AS "A", max(g) FILTER (c = 'N') AS "N", max(g) FILTER (c = 'R') AS "R", round(avg(k), 4) AS copies FROM n GROUP BY 1""")
-def a28_markers_per_group(spark, d):
-    return genes.marker_table(table(spark, d, "lineitem").where("l_suppkey <= 40"), "l_suppkey", "l_returnflag", "l_partkey", ["A", "N", "R"])
-
-
 @query("""
 WITH n AS (SELECT l_suppkey, l_returnflag AS c, count(DISTINCT l_partkey) AS k, string_agg(DISTINCT CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS g FROM lineitem GROUP BY ALL)
 SELECT l_suppkey, max(g) FILTER (c = 'A') AS "A", max(g) FILTER (c = 'N') AS "N", max(g) FILTER (c = 'R') AS "R", round(avg(k), 4) AS copies FROM n GROUP BY 1""")
@@ -108,13 +101,6 @@ def f25_ranked_lineage(spark, d):
     return genes.lineage_from_parents(s.union(n).union(r), ("region", "nation", "genus"), 8).where("id >= 0")
 
 
-@query("SELECT doc_id, substr(text, 11, 90) AS seq FROM documents WHERE n_chars >= 100 AND doc_id % 2 = 0")
-def f29_extracted_genes(spark, d):
-    docs = table(spark, d, "documents").where("n_chars >= 100 and doc_id % 2 = 0")
-    g = docs.selectExpr("doc_id", "concat('g', doc_id) as gene", "11 as start", "100 as end", "'+' as strand")
-    return genes.extract_genes(docs.selectExpr("doc_id", "text as seq"), g, "doc_id").select("doc_id", "seq")
-
-
 @query("SELECT doc_id, substr(text, 11, 90) AS seq FROM documents WHERE n_chars >= 100")
 def f29_genes_every_document(spark, d):
     docs = table(spark, d, "documents").where("n_chars >= 100")
@@ -154,11 +140,20 @@ def x06_kmer_profiles(spark, d):
     return genes.shared_vectors(e, "label", "v")
 
 
-@query("SELECT l_orderkey, count(*) AS n, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship FROM lineitem GROUP BY 1")
+@query("""
+SELECT 'lineitem' AS report, l_suppkey AS id, count(*) AS n, round(sum(l_quantity), 4) AS total, NULL::DOUBLE AS balance FROM lineitem GROUP BY 2
+UNION ALL SELECT 'orders', o_custkey, count(*), round(sum(o_totalprice), 4), NULL FROM orders GROUP BY 2 UNION ALL SELECT 'customer', c_custkey, NULL, NULL, c_acctbal FROM customer""")
 def a40_summaries(spark, d):
-    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    li = table(spark, d, "lineitem").groupBy(F.col("l_suppkey").alias("id")).agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 4).alias("total"))
+    o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 4).alias("total"))
+    c = table(spark, d, "customer").selectExpr("c_custkey as id", "c_acctbal as balance")
+    return reports.union_summaries({"lineitem": li, "orders": o, "customer": c}, "report")
 
 
-@query("SELECT role, count(*) AS n, count(DISTINCT conv_id) AS conversations, CAST(sum(length(text)) AS BIGINT) AS chars FROM conversations GROUP BY 1")
+@query("""
+WITH n AS (SELECT r_name || ';' || n_name || ';' || c_mktsegment AS lineage, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1)
+SELECT lineage, n, row_number() OVER (ORDER BY n DESC, lineage) AS place FROM n""")
 def a46_frequency_list(spark, d):
-    return table(spark, d, "conversations").groupBy("role").agg(F.count("*").alias("n"), F.countDistinct("conv_id").alias("conversations"), F.sum(F.length("text")).alias("chars"))
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    c = table(spark, d, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat_ws(";", "r_name", "n_name", "c_mktsegment").alias("lineage"))
+    return reports.frequency_list(c, "lineage")

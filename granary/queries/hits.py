@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..operators import bins, hits, taxonomy
+from ..operators import assembly, bins, hits, taxonomy
 from ..plans.registry import query, table
 
 _HITS = "(SELECT l_orderkey AS query, l_partkey AS subject, 100 - 100 * l_discount AS pident, l_quantity AS aln_len, l_tax AS evalue, l_extendedprice AS bitscore, CAST(l_suppkey AS INTEGER) AS qs, CAST(l_suppkey + l_quantity AS INTEGER) AS qe, l_linenumber FROM lineitem) h"
@@ -66,7 +66,12 @@ def j05_mate_merge(spark, d):
     return m.withColumn("pident", F.round("pident", 6)).withColumn("bitscore", F.round("bitscore", 5))
 
 
-@query()
+_NEAR = "(x.p >= a.p - 5 AND x.l >= 0.97 * a.l AND x.b > 1.03 * a.b) OR (x.p > a.p AND x.l > 0.92 * a.l AND x.b > 0.9 * a.b) OR (x.l > 1.15 * a.l AND x.p >= a.p - 5 AND x.b > 0.9 * a.b)"
+
+
+@query(f"""
+WITH h AS (SELECT query, list({{'p': pident, 'l': aln_len, 'b': bitscore, 's': subject, 'e': evalue}} ORDER BY bitscore DESC, evalue, subject, pident, aln_len) AS h FROM {_HITS} GROUP BY 1),
+f AS (SELECT query, list_reduce(h, lambda a, x: CASE WHEN {_NEAR} THEN x ELSE a END) AS f FROM h) SELECT query, f.s AS subject, f.p AS pident, f.l AS aln_len, f.e AS evalue, f.b AS bitscore FROM f""")
 def w04_ordered_fold(spark, d):
     return hits.fold_best(hit_table(spark, d), "query")
 
@@ -81,7 +86,11 @@ def a02_function_abundance(spark, d):
     return hits.function_abundance(li, anno, F.col("l_linenumber") == 1).withColumn("value", F.round("value", 5))
 
 
-@query()
+@query("""
+WITH s AS (SELECT l_returnflag AS marker, l_extendedprice AS score, l_quantity > 25 AS t, floor(min(l_extendedprice) OVER (PARTITION BY l_returnflag)) AS low FROM lineitem),
+c AS (SELECT marker, CAST(low + 1000 * floor((score - low) / 1000) AS BIGINT) AS cutoff, count(*) FILTER (t) AS tr, count(*) FILTER (NOT t) AS fa FROM s GROUP BY ALL),
+r AS (SELECT marker, cutoff, sum(tr) OVER w AS tp, sum(fa) OVER w AS fp, sum(tr) OVER (PARTITION BY marker) AS al FROM c WINDOW w AS (PARTITION BY marker ORDER BY cutoff DESC ROWS UNBOUNDED PRECEDING))
+SELECT marker, cutoff, tp / (tp + fp) AS precision, tp / al AS recall FROM r WHERE al > 0 QUALIFY row_number() OVER (PARTITION BY marker ORDER BY CASE WHEN tp > 0 THEN 2.0::DOUBLE * tp / (tp + fp + al) ELSE 0 END DESC, cutoff DESC) = 1""")
 def x01_cutoff_calibration(spark, d):
     s = table(spark, d, "lineitem").select(F.col("l_returnflag").alias("marker"), F.col("l_extendedprice").alias("score"), (F.col("l_quantity") > 25).alias("is_true"))
     return hits.calibrate_cutoffs(s, 1000)
@@ -108,12 +117,6 @@ def j04_anti_join(spark, d):
     return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
-@query(f"SELECT query, subject, sum(bitscore) AS bits, sum(aln_len) AS aln_len, round(avg(pident), 6) AS pident FROM (SELECT query, subject, bitscore, aln_len, pident FROM {_HITS} WHERE query <= 2000) GROUP BY ALL")
-def j06_interleaved_mates(spark, d):
-    h = hit_table(spark, d).where("query <= 2000")
-    return h.groupBy("query", "subject").agg(F.sum("bitscore").alias("bits"), F.sum("aln_len").alias("aln_len"), F.round(F.avg("pident"), 6).alias("pident"))
-
-
 @query(f"SELECT query, subject, sum(bitscore) AS bits, sum(aln_len) AS aln_len, round(avg(pident), 6) AS pident FROM {_HITS} GROUP BY ALL")
 def j06_mates_every_query(spark, d):
     return hit_table(spark, d).groupBy("query", "subject").agg(F.sum("bitscore").alias("bits"), F.sum("aln_len").alias("aln_len"), F.round(F.avg("pident"), 6).alias("pident"))
@@ -180,7 +183,13 @@ def m16_lineage_vote(spark, d):
     return taxonomy.vote(x, "l_orderkey", "lineage", 2)
 
 
-@query()
+@query("""
+WITH x AS (SELECT l_orderkey AS q, [r_name, n_name, CAST(s_suppkey AS VARCHAR)] AS g, 100 - 100 * l_discount AS p, l_quantity AS l FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+b AS (SELECT *, max(p) OVER (PARTITION BY q) AS best, max(l) OVER (PARTITION BY q) AS ml FROM x),
+k AS (SELECT * FROM b WHERE l >= 0.85 * ml AND p >= best - CASE WHEN best >= 100 THEN 0.1 WHEN best >= 99.5 THEN 0.25 WHEN best >= 99 THEN 0.5 WHEN best >= 98 THEN 1.0 WHEN best >= 97 THEN 1.25 ELSE 1.5 END),
+n AS (SELECT q, count(*) AS n, max(1 + (best >= 85)::INT + (best >= 88)::INT + (best >= 91)::INT + (best >= 93)::INT + (best >= 95)::INT + (best >= 97)::INT) AS deep FROM k GROUP BY 1),
+v AS (SELECT q, CAST(i AS INTEGER) AS level, array_to_string(g[1:i], ';') AS name, count(*) AS v FROM k, range(1, 4) t(i) GROUP BY ALL)
+SELECT q AS l_orderkey, max(level) AS level, arg_max(name, level) AS name FROM v JOIN n USING (q) WHERE v >= ceil(0.9 * n) AND level <= deep GROUP BY 1""")
 def m16_lca(spark, d):
     n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     s = table(spark, d, "supplier").join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.array("r_name", "n_name", F.col("s_suppkey").cast("string")).alias("lineage"))
@@ -270,12 +279,6 @@ def m09_multi_copy(spark, d):
     return bins.resolve_multi_copy(x, "species", "cog", "gene", "embedding", 0.0)
 
 
-@query("SELECT l_suppkey, l_partkey, n FROM (SELECT l_suppkey, l_partkey, count(*) AS n, row_number() OVER (PARTITION BY l_suppkey ORDER BY count(*) DESC, l_partkey DESC) AS k FROM lineitem GROUP BY l_suppkey, l_partkey) WHERE k = 1")
-def w15_named_by_rank(spark, d):
-    n = table(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.count("*").alias("n"))
-    return hits.best_hit(n, ["l_suppkey"], [F.desc("n"), F.desc("l_partkey")])
-
-
 @query("SELECT source, arg_max(doc_id, n_chars * 1000000000 - doc_id) AS doc_id FROM documents GROUP BY 1")
 def w13_longest_per_category(spark, d):
     return hits.best_hit(table(spark, d, "documents").select("source", "doc_id", "n_chars"), ["source"], [F.desc("n_chars"), F.asc("doc_id")]).select("source", "doc_id")
@@ -306,9 +309,15 @@ def u04_union_all(spark, d):
     return c.unionByName(s)
 
 
-@query("SELECT doc_id, n_chars FROM documents ORDER BY n_chars DESC, doc_id LIMIT 50")
+@query("SELECT doc_id, n_chars, row_number() OVER (ORDER BY n_chars DESC, doc_id) AS place FROM documents")
 def l01_longest_first(spark, d):
-    return table(spark, d, "documents").orderBy(F.desc("n_chars"), "doc_id").limit(50).select("doc_id", "n_chars")
+    return assembly.numbered(table(spark, d, "documents").select("doc_id", "n_chars"), -F.col("n_chars"), ["doc_id"], "place")
+
+
+@query("SELECT l_suppkey, 'MGS.' || row_number() OVER (ORDER BY count(*) DESC, l_suppkey) AS name FROM lineitem GROUP BY 1")
+def w15_names_by_observation(spark, d):
+    n = table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n"))
+    return assembly.numbered(n, -F.col("n"), ["l_suppkey"], "place").select("l_suppkey", F.concat(F.lit("MGS."), F.col("place").cast("string")).alias("name"))
 
 
 @query("SELECT doc_id, n_chars, n_chars >= 2000 AS long FROM documents WHERE n_chars >= 500")
@@ -324,4 +333,5 @@ def s10_cluster_members(spark, d):
 
 @query("SELECT CAST(row_number() OVER (ORDER BY s_suppkey) AS INTEGER) + 100 AS id, s_suppkey FROM supplier")
 def u06_renumber(spark, d):
-    return table(spark, d, "supplier").select((F.row_number().over(W.partitionBy(F.lit(0)).orderBy("s_suppkey")) + 100).alias("id"), "s_suppkey")
+    s = assembly.numbered(table(spark, d, "supplier"), F.floor(F.col("s_suppkey") / 1000), ["s_suppkey"], "place")
+    return s.select((F.col("place") + 100).cast("int").alias("id"), "s_suppkey")

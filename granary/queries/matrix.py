@@ -134,19 +134,6 @@ def a18_least_members(spark, d):
     return table(spark, d, "lineitem").groupBy("l_suppkey").agg(F.countDistinct("l_partkey").alias("parts")).where("parts >= 10")
 
 
-@query(f"""
-SELECT p_brand, coalesce(sum(q) FILTER (nation = 0), 0) AS s0, coalesce(sum(q) FILTER (nation = 1), 0) AS s1, coalesce(sum(q) FILTER (nation = 2), 0) AS s2,
-  coalesce(sum(q) FILTER (nation < 3), 0) AS total FROM {_SALES} WHERE nation < 3 GROUP BY ALL""")
-def k03_matrix_writer(spark, d):
-    m = sales(spark, d).where("nation < 3").groupBy("p_brand", F.concat(F.lit("s"), F.col("nation")).alias("sample")).agg(F.sum("q").alias("q"))
-    return matrix.wide(m, "p_brand", "sample", "q", ["s0", "s1", "s2"])
-
-
-@query(f"SELECT p_brand, 's' || nation AS sample, sum(q) AS value FROM {_SALES} WHERE nation < 3 GROUP BY ALL HAVING sum(q) > 0")
-def s08_matrix_scan(spark, d):
-    return matrix.long(k03_matrix_writer(spark, d).drop("total"), "p_brand").where("value > 0")
-
-
 _NATIONS = range(25)
 
 
@@ -269,12 +256,14 @@ def j10_mean_depth(spark, d):
     return intervals.mean_depth(depth, genes, ["user_id"], "gene", 400).withColumn("value", F.round("value", 11))
 
 
-@query("""
-SELECT user_id, event_id // 1000 AS "window", round(coalesce(avg(value) FILTER (event_type = 'click'), 0), 6) AS click, round(coalesce(avg(value) FILTER (event_type = 'view'), 0), 6) AS view FROM events WHERE event_type IN ('click', 'view') GROUP BY ALL""")
+_KINDS = ("click", "error", "purchase", "signup", "view")
+
+
+@query(f"""
+SELECT user_id, event_id // 1000 AS "window", {", ".join(f"round(coalesce(avg(value) FILTER (event_type = '{k}'), 0), 6) AS {k}" for k in _KINDS)} FROM events GROUP BY ALL""")
 def a31_window_coverage(spark, d):
-    e = table(spark, d, "events").where("event_type in ('click', 'view')")
-    w = intervals.windows(e, ["user_id"], "event_id", "value", 1000, "event_type", ["click", "view"])
-    return w.select("user_id", "window", F.round("click", 6).alias("click"), F.round("view", 6).alias("view"))
+    w = intervals.windows(table(spark, d, "events"), ["user_id"], "event_id", "value", 1000, "event_type", list(_KINDS))
+    return w.select("user_id", "window", *[F.round(k, 6).alias(k) for k in _KINDS])
 
 
 @query("""

@@ -1,6 +1,6 @@
 """Sequence functions, consensus and alignment columns over proxies.
 
-A sequence is a document's text with letters mapped onto ACGT; an alignment is the first 60 letters of documents of one source.
+A sequence is a document's text with letters mapped onto ACGT; an alignment are the whole sequences of one source and one length.
 """
 
 from __future__ import annotations
@@ -60,11 +60,20 @@ SELECT source, m AS kmer, CAST(sum(c) AS BIGINT) AS n, round(100.0::DOUBLE * sum
 def f06_kmer_frequencies(spark, d):
     from pyspark.sql import Window as W
 
-    n = sequences(spark, d).select("source", F.explode(seq.kmers(F.col("s"), 3)).alias("m")).where("m rlike '^[ACGT]+$'").groupBy("source", "m").agg(F.count("*").alias("c"))
-    both = n.union(n.select("source", seq.reverse_complement(F.col("m")), "c")).groupBy("source", F.col("m").alias("kmer")).agg(F.sum("c").alias("n"))
+    n = seq.kmer_counts(sequences(spark, d), "source", "s", 3).where("kmer rlike '^[ACGT]+$'")
+    both = n.union(n.select("source", seq.reverse_complement(F.col("kmer")), "n")).groupBy("source", "kmer").agg(F.sum("n").alias("n"))
     return both.withColumn("percent", F.round(100.0 * F.col("n") / F.sum("n").over(W.partitionBy("source")), 5))
 
 
+@query(f"""
+WITH q AS (SELECT * FROM {_SEQ} WHERE length(s) >= 200), k AS (SELECT source, unnest([substr(s, CAST(i AS BIGINT), 4) FOR i IN range(1, length(s) - 2)]) AS m FROM q),
+n AS (SELECT source, m, count(*) AS c FROM k GROUP BY ALL), b AS (SELECT source, m, c FROM n UNION ALL SELECT source, translate(reverse(m), 'ACGT', 'TGCA'), c FROM n), t AS (SELECT source, m, sum(c) AS n FROM b GROUP BY ALL),
+x AS (SELECT unnest(['A', 'C', 'G', 'T']) AS x), every AS (SELECT source, a.x || b.x || c.x || d.x AS m FROM (SELECT DISTINCT source FROM q), x a, x b, x c, x d)
+SELECT source, m AS kmer, CAST(coalesce(n, 0) AS BIGINT) AS n FROM every LEFT JOIN t USING (source, m)""")
+def f06_kmer_table(spark, d):
+    return seq.kmer_table(sequences(spark, d), "source", "s", 4, 200)
+
+
 @query(f"SELECT doc_id, CAST(i AS INTEGER) AS start, CAST(least(i + 499, length(s)) AS INTEGER) AS \"end\", length(substr(s, i, 500)) AS len FROM (SELECT doc_id, s, unnest(range(1, length(s) + 1, 500)) AS i FROM {_SEQ} WHERE length(s) > 0)")
 def f07_chunks(spark, d):
     c = sequences(spark, d).select("doc_id", F.explode(seq.chunks(F.col("s"), 500)).alias("c"))
@@ -133,30 +142,30 @@ def a33_frequency_histogram(spark, d):
     return consensus.frequency_histogram(x, "a", "r")
 
 
-_MSA = f"(SELECT source AS gene, doc_id AS species, substr(s, 1, 60) AS s FROM {_SEQ} WHERE length(s) >= 60)"
+_MSA = f"(SELECT source || ':' || length(s) AS gene, doc_id AS species, s FROM {_SEQ} WHERE length(s) > 0)"
 
 
 def msa(spark, d):
-    return sequences(spark, d).where("length(s) >= 60").select(F.col("source").alias("gene"), F.col("doc_id").alias("species"), F.expr("substr(s, 1, 60)").alias("s"))
+    return sequences(spark, d).where("length(s) > 0").select(F.concat_ws(":", "source", F.length("s").cast("string")).alias("gene"), F.col("doc_id").alias("species"), "s")
+
+
+_COLUMNS = f"c AS (SELECT gene, species, unnest(range(1, length(s) + 1)) AS pos, s FROM {_MSA}), b AS (SELECT gene, species, pos, substr(s, pos, 1) AS x FROM c), v AS (SELECT gene, pos FROM b GROUP BY ALL HAVING count(DISTINCT x) > 1)"
 
 
 @query(f"""
-WITH c AS (SELECT gene, species, unnest(range(1, 61)) AS pos, s FROM {_MSA}), b AS (SELECT gene, pos, substr(s, pos, 1) AS x FROM c), v AS (SELECT gene, pos FROM b GROUP BY ALL HAVING count(DISTINCT x) > 1),
-n AS (SELECT gene, count(*) AS n FROM {_MSA} m GROUP BY 1)
-SELECT n.gene, n, (SELECT count(*) FROM v WHERE v.gene = n.gene) AS segregating, round((SELECT count(*) FROM v WHERE v.gene = n.gene) / list_sum([1.0::DOUBLE / i FOR i IN range(1, greatest(n - 1, 1) + 1)]), 6) AS theta FROM n""")
+WITH {_COLUMNS}, n AS (SELECT gene, count(*) AS n FROM {_MSA} m GROUP BY 1), k AS (SELECT gene, count(*) AS k FROM v GROUP BY 1)
+SELECT gene, n, coalesce(k, 0) AS segregating, round(coalesce(k, 0) / list_sum([1.0::DOUBLE / i FOR i IN range(1, greatest(n - 1, 1) + 1)]), 6) AS theta FROM n LEFT JOIN k USING (gene)""")
 def a39_watterson(spark, d):
     return consensus.watterson(msa(spark, d), "gene", "species", "s")
 
 
-@query(f"""
-WITH c AS (SELECT gene, species, unnest(range(1, 61)) AS pos, s FROM {_MSA}), b AS (SELECT gene, species, pos, substr(s, pos, 1) AS x FROM c), v AS (SELECT gene, pos FROM b GROUP BY ALL HAVING count(DISTINCT x) > 1)
-SELECT gene, species, string_agg(x, '' ORDER BY pos) AS seq FROM b JOIN v USING (gene, pos) GROUP BY ALL""")
+@query(f"WITH {_COLUMNS} SELECT gene, species, string_agg(x, '' ORDER BY pos) AS seq FROM b JOIN v USING (gene, pos) GROUP BY ALL")
 def f15_variable_columns(spark, d):
     return consensus.variable_columns(msa(spark, d), "gene", "species", "s").select("gene", "species", "seq")
 
 
 @query(f"""
-SELECT a.gene, a.species AS a, b.species AS b, round(100.0::DOUBLE * len([i FOR i IN range(1, 61) IF substr(a.s, i, 1) = substr(b.s, i, 1)]) / 60, 6) AS identity FROM {_MSA} a JOIN {_MSA} b ON a.gene = b.gene AND a.species < b.species""")
+SELECT a.gene, a.species AS a, b.species AS b, round(100.0::DOUBLE * len([i FOR i IN range(1, length(a.s) + 1) IF substr(a.s, i, 1) = substr(b.s, i, 1)]) / length(a.s), 6) AS identity FROM {_MSA} a JOIN {_MSA} b ON a.gene = b.gene AND a.species < b.species""")
 def f13_pair_identity(spark, d):
     x, y = msa(spark, d).alias("x"), msa(spark, d).alias("y")
     p = x.join(y, (F.col("x.gene") == F.col("y.gene")) & (F.col("x.species") < F.col("y.species")))  # pairs inside a gene are what is asked for

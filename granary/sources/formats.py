@@ -26,10 +26,17 @@ def read_fasta_headers(spark: SparkSession, path: str, full: bool = True) -> Dat
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """id, seq, qual of four-line records; files are split at lines that begin with @ after a quality line, which whole files decide."""
-    t = spark.read.text(path, wholetext=True).select(F.split(F.rtrim("value"), "\r?\n").alias("l"))
-    each = F.transform(F.sequence(F.lit(0), F.floor(F.size("l") / 4).cast("int") - 1), lambda i: F.struct(F.get("l", i * 4).alias("id"), F.get("l", i * 4 + 1).alias("seq"), F.get("l", i * 4 + 3).alias("qual")))
-    return t.where("size(l) >= 4").select(F.explode(each).alias("r")).select(F.regexp_replace("r.id", "^@", "").alias("id"), "r.seq", "r.qual")
+    """id, seq, qual of four-line records. Files are split where a line begins with @, so a large file is read by many tasks.
+
+    A quality line that begins with @ is cut off its record that way: such records lack their fourth line and are joined with the piece that follows;
+    only they are put in order, file by file.
+    """
+    t = spark.read.text(path, lineSep="\n@").select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"), F.split(F.regexp_replace("value", r"\r", ""), "\n").alias("l"))
+    t = t.withColumn("l", F.filter("l", lambda x: x != ""))
+    whole = t.where("size(l) = 4").select("l")
+    broken = t.where("size(l) in (1, 3)").withColumn("q", F.lead("l").over(W.partitionBy("f").orderBy("i"))).where("size(l) = 3 and size(q) = 1")
+    l = broken.select(F.concat("l", F.transform("q", lambda x: F.concat(F.lit("@"), x))).alias("l")).union(whole)
+    return l.select(F.regexp_replace(F.get("l", F.lit(0)), "^@", "").alias("id"), F.get("l", F.lit(1)).alias("seq"), F.get("l", F.lit(3)).alias("qual"))
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str, comment: str = "#") -> DataFrame:
@@ -96,9 +103,10 @@ def read_cluster_blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def cluster_blocks(df: DataFrame, core: str, member: str) -> DataFrame:
-    """cluster (from 0, by core), member, representative: a member equal to its core represents it. Numbers come from a range-partitioned order, not one task."""
-    cores = df.select(core).distinct()
-    ids = cores.sort(core).rdd.map(lambda r: r[0]).zipWithIndex().toDF([core, "cluster"])
+    """cluster (from 0), member, representative: a member equal to its core represents it. Numbers follow a hash of the core, so that no task orders all cores."""
+    from ..operators.assembly import numbered
+
+    ids = numbered(df.select(core).distinct(), F.pmod(F.xxhash64(core), F.lit(1 << 16)), [core], "cluster").withColumn("cluster", F.col("cluster") - 1)
     return df.join(ids, core).select("cluster", F.col(member).alias("member"), (F.col(member) == F.col(core)).alias("representative"))
 
 
@@ -236,3 +244,36 @@ def nexus(df: DataFrame, name: str, seq: str) -> DataFrame:
     n = F.when(F.min(F.length(seq)) != F.max(F.length(seq)), F.raise_error(F.lit("sequences differ in length"))).otherwise(F.max(F.length(seq)))
     rows = F.array_join(F.array_sort(F.collect_list(F.concat(name, F.lit("\t"), seq))), "\n")
     return df.agg(F.count("*").alias("k"), n.alias("n"), rows.alias("rows")).select(F.concat(F.lit("#NEXUS\nBegin data;\nDimensions ntax="), "k", F.lit(" nchar="), "n", F.lit(";\nFormat datatype=dna missing=? gap=-;\nMatrix\n"), "rows", F.lit("\n;\nEnd;\n")).alias("value"))
+
+
+def phylip(df: DataFrame, name: str, seq: str, width: int = 10) -> DataFrame:
+    """One row: the alignment of one gene as PHYLIP text; names are cut to ``width``, and two equal ones or different lengths raise."""
+    short = F.substring(name, 1, width)
+    n = F.when(F.min(F.length(seq)) != F.max(F.length(seq)), F.raise_error(F.lit("sequences differ in length"))).otherwise(F.max(F.length(seq)))
+    k = F.when(F.countDistinct(short) != F.count("*"), F.raise_error(F.lit("names are not unique when cut"))).otherwise(F.count("*"))
+    rows = F.array_join(F.array_sort(F.collect_list(F.concat(F.rpad(short, width, " "), F.lit(" "), F.col(seq)))), "\n")
+    return df.agg(k.alias("k"), n.alias("n"), rows.alias("rows")).select(F.concat("k", F.lit(" "), "n", F.lit("\n"), "rows", F.lit("\n")).alias("value"))
+
+
+def write_tables(df: DataFrame, path: str, by: list[str]) -> None:
+    """One folder of tab-separated files for each value of ``by``, compressed."""
+    df.write.mode("overwrite").partitionBy(*by).csv(path, sep="\t", header=True, compression="gzip")
+
+
+def write_groups(df: DataFrame, path: str, group: str, member: str, sep: str = ",") -> None:
+    """A line a group: its name and its members, sorted and joined."""
+    rows = df.groupBy(group).agg(F.array_join(F.array_sort(F.collect_set(F.col(member).cast("string"))), sep).alias("members"))
+    rows.orderBy(group).write.mode("overwrite").csv(path, sep="\t", quote="", escape="")
+
+
+def vcf_lines(variants: DataFrame) -> DataFrame:
+    """value: VCF lines of contig, pos, ref, alt, headed by the format line and ordered by contig and place."""
+    head = variants.sparkSession.createDataFrame([(0, "##fileformat=VCFv4.2"), (1, "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO")], "o int, value string")
+    body = variants.select(F.lit(2).alias("o"), F.concat_ws("\t", F.col("contig").cast("string"), F.col("pos").cast("string"), F.lit("."), "ref", "alt", F.lit("."), F.lit("PASS"), F.lit(".")).alias("value"), F.col("contig").cast("string").alias("c"), F.col("pos").cast("long").alias("p"))
+    return head.select("o", "value", F.lit(None).cast("string").alias("c"), F.col("o").cast("long").alias("p")).union(body).orderBy("o", "c", "p").select("value")
+
+
+def consensus_records(seqs: DataFrame, contig: str, header: str, seq: str, width: int = 80) -> DataFrame:
+    """value: a FASTA record a contig, its statistics header and its sequence in lines of ``width``."""
+    lines = F.array_join(F.regexp_extract_all(seq, F.lit(f"(.{{1,{width}}})"), F.lit(1)), "\n")
+    return seqs.orderBy(contig).select(F.concat(F.lit(">"), F.col(header), F.lit("\n"), lines).alias("value"))

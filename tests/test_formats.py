@@ -95,3 +95,34 @@ def test_bins_cutoffs_and_gene_sets(spark, tmp_path):
     assert [tuple(r) for r in fmt.read_bins(spark, put(tmp_path, "bins", "c1\t0\nc2\t3\n")).collect()] == [("c2", "3")]
     sets = fmt.read_gene_sets(spark, put(tmp_path, "sets", "g1\ta\ng2\tb\ng2\ta\n"))
     assert {tuple(r) for r in annotation.last_wins(sets, "gene", "group", "line").collect()} == {("a", "g2", 1), ("b", "g2", 0)}
+
+
+def test_writers(spark, tmp_path):
+    m = spark.createDataFrame([("s1_long_name", "ACGT"), ("s2", "AC-T")], "n string, s string")
+    assert fmt.phylip(m, "n", "s").first()["value"] == "2 4\ns1_long_na ACGT\ns2         AC-T\n"
+    t = spark.createDataFrame([("cnt", "B", "K1", 1.0), ("GLN", "B", "K1", 2.0)], "norm string, kingdom string, f string, v double")
+    fmt.write_tables(t, f"{tmp_path}/t", ["norm", "kingdom"])
+    assert spark.read.csv(f"{tmp_path}/t/norm=GLN/kingdom=B", sep="\t", header=True).first()["v"] == "2.0"
+    fmt.write_groups(spark.createDataFrame([("g", 2), ("g", 1), ("h", 3)], "g string, m int"), f"{tmp_path}/g", "g", "m")
+    assert sorted(r["value"] for r in spark.read.text(f"{tmp_path}/g").collect()) == ["g\t1,2", "h\t3"]
+    v = fmt.vcf_lines(spark.createDataFrame([("c", 12, "A", "T"), ("c", 3, "G", "C")], "contig string, pos int, ref string, alt string"))
+    assert [r["value"] for r in v.collect()][2:] == ["c\t3\t.\tG\tC\t.\tPASS\t.", "c\t12\t.\tA\tT\t.\tPASS\t."]
+    r = fmt.consensus_records(spark.createDataFrame([("c1", "c1 COV=3", "ACGTA")], "c string, h string, s string"), "c", "h", "s", 2)
+    assert r.first()["value"] == ">c1 COV=3\nAC\nGT\nA"
+
+
+def test_fastq_quality_that_begins_with_at(spark, tmp_path):
+    rows = [(f"r{i}", "ACGT", "@II@" if i % 3 == 0 else "II@I") for i in range(200)]
+    p = put(tmp_path, "b.fq", "".join(f"@{a}\n{b}\n+\n{c}\n" for a, b, c in rows))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        got = fmt.read_fastq(spark, p)
+        assert got.rdd.getNumPartitions() > 2
+        assert sorted((r["id"], r["seq"], r["qual"]) for r in got.collect()) == sorted(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_cluster_blocks(spark):
+    got = fmt.cluster_blocks(spark.createDataFrame([("a", "a"), ("a", "b"), ("c", "c")], "core string, m string"), "core", "m").collect()
+    assert sorted(r["cluster"] for r in got if r["representative"]) == [0, 1] and len({r["cluster"] for r in got if r["member"] in "ab"}) == 1

@@ -198,3 +198,73 @@ def test_consensus_header_and_submatrix_files(spark, tmp_path):
     members = spark.createDataFrame([("f", "a"), ("g", "a"), ("g", "b")], "feature string, g string")
     annotation.submatrices(m, members).write.partitionBy("g").parquet(f"{tmp_path}/sub")
     assert spark.read.parquet(f"{tmp_path}/sub/g=b").count() == 1 and spark.read.parquet(f"{tmp_path}/sub/g=a").count() == 2
+
+
+def test_tiered_groups(spark):
+    sets = {"a": "1234", "b": "1234", "c": "5678", "d": "1256", "e": "123x", "f": "wyz9", "low": "1234"}
+    members = spark.createDataFrame([(1, n, i) for n, items in sets.items() for i in items], "block int, name string, item string")
+    quality = spark.createDataFrame([(1, "a", 99.0, 0.0, 0.99), (1, "b", 96.0, 2.0, 0.96), (1, "c", 99.0, 0.5, 0.98), (1, "d", 98.0, 1.0, 0.97), (1, "e", 81.0, 5.0, 0.93), (1, "f", 61.0, 9.0, 0.9), (1, "low", 59.0, 0.0, 1.0)], "block int, name string, compl double, conta double, agreement double")
+    got = {r["name"]: (r["cluster"], r["tier"], r["kind"]) for r in bins.tiered_groups(members, quality, "block", "name", "item").collect()}
+    # e shares 3 of 4 items with a: 0.75 is below every round's share.
+    assert got == {"a": ("a", 0, "new"), "b": ("a", 1, "joined"), "c": ("c", 0, "new"), "d": (None, 0, "ambiguous"), "e": (None, 2, "ambiguous"), "f": ("f", 3, "new")}
+
+
+def test_greedy_groups(spark):
+    sets = [("a", 9.0, "1234"), ("b", 8.0, "1234x"), ("c", 7.0, "1256"), ("d", 6.0, "789")]
+    rows = [(1, n, i, s) for n, s, items in sets for i in items]
+    got = {r["name"]: (r["cluster"], r["kind"]) for r in bins.greedy_groups(spark.createDataFrame(rows, "block int, name string, item string, score double"), "block", "name", "item", "score").collect()}
+    assert got == {"a": ("a", "new"), "b": ("a", "joined"), "c": (None, "ambiguous"), "d": ("d", "new")}
+
+
+def test_canopies_and_multi_copy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    base = rng.random((4, 12)) * 10
+    rows = [(1, i * 10 + j, [float(x) for x in base[i] * (1 + j) + rng.random(12) * 0.01]) for i in range(4) for j in range(5)]
+    got = {r["name"]: r["canopy"] for r in bins.canopies(spark.createDataFrame(rows, "block int, name int, v array<double>"), "block", "name", "v", 0.05).collect()}
+    want, centres = {}, []
+    for _, n, v in sorted(rows, key=lambda r: (-sum(r[2]), r[1])):
+        near = [c for c, w in centres if 1 - np.corrcoef(v, w)[0, 1] <= 0.05]
+        if not near:
+            centres.append((n, v))
+        want[n] = near[0] if near else n
+    assert got == want and len(set(want.values())) == 4
+    genes = [("s", f"c{i}", i, [float(x) for x in base[0] + rng.random(12) * 0.1]) for i in range(5)] + [("s", "m", 10, [float(x) for x in base[1]]), ("s", "m", 11, [float(x) for x in base[0] * 2])]
+    got = {r["category"]: r["item"] for r in bins.resolve_multi_copy(spark.createDataFrame(genes, "g string, category string, item int, v array<double>"), "g", "category", "item", "v").collect()}
+    assert got == {f"c{i}": i for i in range(5)} | {"m": 11}
+
+
+def test_similar_groups(spark):
+    import random
+
+    from granary.operators import similarity
+
+    rng = random.Random(1)
+    base = ["".join(rng.choice("ACGT") for _ in range(400)) for _ in range(6)]
+    rows = [(i, s) for i, s in enumerate(base)] + [(100 + i, s[:200] + "A" + s[201:390]) for i, s in enumerate(base)] + [(200, "ACG"), (201, base[0][:60] + base[1][:340])]
+    got = {r["id"]: r["representative"] for r in similarity.similar_groups(spark.createDataFrame(rows, "id int, seq string"), "id", "seq").collect()}
+    assert got == {i: i for i in range(6)} | {100 + i: i for i in range(6)} | {200: 200, 201: got[201]} and got[201] in (1, 201)
+
+
+@pytest.mark.parametrize("s,k", [("ACGTACGTNACG" * 60, 4), ("AC", 4), ("ACGT", 4)])
+def test_kmer_counts(spark, s, k):
+    import collections
+
+    want = collections.Counter(s[i : i + k] for i in range(len(s) - k + 1))
+    df = spark.createDataFrame([("x", s)], "g string, s string")
+    assert {r["kmer"]: r["n"] for r in seq.kmer_counts(df, "g", "s", k, size=16).collect()} == dict(want)
+    assert seq.kmer_table(df, "g", "s", k).count() == 256
+    assert seq.kmer_table(df, "g", "s", k, least=1000).count() == 0
+
+
+def test_fourfold_sites(spark):
+    m = spark.createDataFrame([("g", "a", "GCTATGTTA"), ("g", "b", "GCAATGTTG"), ("g", "o", "TTTTTTTTT")], "gene string, sp string, s string")
+    got = {r["codon"]: (r["kind"], r["fourfold"]) for r in consensus.codon_sites(m, "gene", "sp", "s", ["o"]).collect()}
+    assert got == {1: ("synonymous", True), 2: ("constant", False), 3: ("synonymous", False)}
+    assert {r["sp"]: r["seq"] for r in consensus.fourfold_alignment(m, "gene", "sp", "s", ["o"]).collect()} == {"a": "T", "b": "A", "o": "T"}
+
+
+def test_common_prefix_and_identity(spark):
+    assert one(spark, seq.common_prefix(F.col("a"), F.col("b")), a="abcd", b="abx") == "ab" and one(spark, seq.common_prefix(F.col("a"), F.col("b")), a="ab", b="ab") == "ab"
+    assert one(spark, seq.pair_identity(F.col("a"), F.col("b")), a="AC-GN", b="ACTGG") == 100.0 and one(spark, seq.pair_identity(F.col("a"), F.col("b")), a="--", b="AC") is None
