@@ -71,20 +71,37 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 
 
 class RangeMin:
+    """Sparse table over minima of runs of ``RUN`` values; the ends of a range are looked at directly."""
+
+    RUN = 16
+
     def __init__(self, v: np.ndarray):
-        self.tables = [v]
-        w = 1
-        while 2 * w <= len(v):
-            t = self.tables[-1]
-            self.tables.append(np.minimum(t[:-w], t[w:]))
+        top = np.iinfo(v.dtype).max
+        self.runs = np.concatenate([v, np.full(-len(v) % self.RUN + self.RUN, top, v.dtype)]).reshape(-1, self.RUN)
+        self.left, self.right = np.minimum.accumulate(self.runs, axis=1), np.minimum.accumulate(self.runs[:, ::-1], axis=1)[:, ::-1]
+        tables, w = [self.left[:, -1].copy()], 1
+        while 2 * w <= len(tables[0]):
+            t = tables[-1].copy()
+            t[: len(t) - w] = np.minimum(tables[-1][:-w], tables[-1][w:])
+            tables.append(t)
             w *= 2
-        width = max((len(t) for t in self.tables), default=0)
-        self.flat = np.stack([np.pad(t, (0, width - len(t)), constant_values=np.iinfo(v.dtype).max) for t in self.tables])
+        self.table = np.stack(tables)
 
     def get(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
         """Minimum over [lo, hi), which is not empty."""
-        k = np.frexp((hi - lo).astype(np.float64))[1] - 1
-        return np.minimum(self.flat[k, lo], self.flat[k, hi - (1 << k)])
+        a, b = lo // self.RUN, (hi - 1) // self.RUN
+        out = np.minimum(self.right[a, lo % self.RUN], self.left[b, (hi - 1) % self.RUN])
+        one = np.flatnonzero(a == b)
+        if len(one):
+            place = np.arange(self.RUN)
+            inside = (place >= (lo[one] % self.RUN)[:, None]) & (place <= ((hi[one] - 1) % self.RUN)[:, None])
+            out[one] = np.where(inside, self.runs[a[one]], np.iinfo(out.dtype).max).min(axis=1)
+        many = np.flatnonzero(b > a + 1)
+        if len(many):
+            x, y = a[many] + 1, b[many]
+            k = np.frexp((y - x).astype(np.float64))[1] - 1
+            out[many] = np.minimum(out[many], np.minimum(self.table[k, x], self.table[k, y - (1 << k)]))
+        return out
 
 
 class FMIndex:
@@ -100,7 +117,10 @@ class FMIndex:
         counts = np.bincount(np.where(body < n, 0, body - n), minlength=1 << self.wavelet.depth)
         self.first = np.r_[0, np.cumsum(counts)]
         self.size = len(body)
-        self.owner = RangeMin(np.repeat(owners, [len(t) + 1 for t in texts]).astype(np.int64)[sa]) if n else None
+        #: Owners by rank, in 32 bits.
+        self.names = np.unique(owners)
+        rank = np.searchsorted(self.names, owners).astype(np.int32)
+        self.owner = RangeMin(np.repeat(rank, [len(t) + 1 for t in texts])[sa]) if n else None
 
     def back(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranges of symbol + string from ranges of string."""
@@ -117,6 +137,7 @@ class FMIndex:
         out: list[list[tuple[int, int]]] = [[] for _ in texts]
         if not texts or self.owner is None:
             return out
+        owners = np.searchsorted(self.names, owners)  # a smaller owner has a smaller rank
         sizes = np.array([len(t) for t in texts])
         base = np.r_[0, np.cumsum(sizes)][:-1]
         flat = np.concatenate(texts)

@@ -2,11 +2,12 @@
 
 Words of documents that share a window of ``window`` words share an anchor: the smallest hash of ``GRAM`` words inside the window. Each document is cut into
 the segments whose windows choose the same anchor, and segments of an anchor that several documents have meet in one shard; the rest, nearly
-all, never move. Equal segments are one, owned by their smallest document; a later document's copy is covered whole by it. A shard builds a
-compressed FM-index (fm_index) of its distinct segments and streams them through it: backward search gives the matching statistics
-against smaller documents, and intervals of at least ``window`` words are reported. Only anchors with different segments need that.
+all, never move. Equal segments are one text, indexed for their smallest holder. A shard builds a compressed FM-index (fm_index) of its texts and streams them
+through it, once for the first holder and once for the later ones: backward search gives the matching statistics against smaller documents, and
+intervals of at least ``window`` words are reported.
 
-An anchor with more than ``CHUNK`` distinct segments has its index cut into chunks, and its segments are streamed through each, so a shard stays bounded.
+A shard holds about ``SHARD_WORDS`` words and at most ``CHUNK`` texts of one anchor: anchors with more (a passage inside very many different contexts) go
+by window instead, each window that documents share being one text, so that neither a group nor the work grows faster than the rows.
 Words are compared by their 64-bit XXH64.
 
 Defined cases: null texts have no words; documents under ``window`` words lose none; a document's own repeats do not count; equal ids with equal texts
@@ -24,13 +25,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from .common import drop, materialize
+from .common import Plain, bit_filter, checkpointed, drop, materialize, tidy
 from .fm_index import FMIndex
-from .op1_url_filter import build_level, level_holds
 
-WINDOW, GRAM, CHUNK, SHARD_WORDS = 50, 8, 2000, 300_000
+WINDOW, GRAM, CHUNK, SHARD_WORDS = 50, 8, 1000, 400_000
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -96,77 +95,120 @@ def _segment_table(docs: DataFrame, window: int) -> DataFrame:
 
 
 def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Words (hashes, as bytes) of the wanted segments (doc, th, start, len, anchor, seg)."""
-    lists = wanted.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "len", "anchor", "seg")).alias("want"))
+    """wanted's rows (doc, th, start, len, anchor, seg, last, n) with the segment's words (hashes, as bytes) instead of its place."""
+    lists = wanted.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "len", "anchor", "seg", "last", "n")).alias("want"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            doc, anchor, seg, words = [], [], [], []
-            for d, t, want in zip(x["doc"].to_pylist(), x["text"], x["want"], strict=True):
-                h = word_hashes(split_words(t.as_py()))
-                for w in want.as_py():
-                    doc.append(d)
-                    anchor.append(w["anchor"])
-                    seg.append(w["seg"])
-                    words.append(h[w["start"] : w["start"] + w["len"]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(anchor, pa.int64()), pa.array(seg, pa.int64()), pa.array(words, pa.binary())], ["doc", "anchor", "seg", "words"])
+            for i in range(0, len(x), 256):
+                part = x.slice(i, 256)
+                rows = []
+                for d, t, want in zip(part["doc"].to_pylist(), part["text"], part["want"], strict=True):
+                    h = word_hashes(split_words(t.as_py()))
+                    rows += [(d, w["anchor"], w["seg"], w["last"], w["n"], h[w["start"] : w["start"] + w["len"]].tobytes()) for w in want.as_py()]
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate([pa.int64()] * 5 + [pa.binary()])], ["doc", "anchor", "seg", "last", "n", "words"])
 
-    return _only(docs, wanted).join(lists, ["doc", "th"]).select("doc", "text", "want").mapInArrow(run, "doc long, anchor long, seg long, words binary")
-
-
-def _bits(keys: DataFrame):
-    return build_level(keys.select(F.xxhash64("doc", "th").alias("key")).distinct(), 1, 0.01, 1 << 22)
+    return _only(docs, wanted).join(lists, ["doc", "th"]).select("doc", "text", "want").mapInArrow(run, "doc long, anchor long, seg long, last long, n long, words binary")
 
 
 def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """Docs without most of those that a join with wanted would drop: only spares their shuffle."""
-    level = _bits(wanted)
-    return docs if level is None else docs.where(level_holds(level, F.xxhash64("doc", "th")))
+    return docs.where(bit_filter(wanted.select(F.xxhash64("doc", "th").alias("key")).distinct()).holds(F.xxhash64("doc", "th")))
+
+
+FOUND = "anchor long, seg long, copy boolean, a int, b int"
 
 
 def search_shard(x: pd.DataFrame, window: int) -> pd.DataFrame:
-    """Intervals of a shard's segments: rows with index True are indexed, all are streamed."""
+    """Intervals of a shard's texts that a text of a smaller document repeats: for the first holder of each, and (copy) for its later holders.
+
+    The only text of an anchor (n is 1) is not searched for its first holder: there is nothing of a smaller document to find.
+    """
     texts = [np.frombuffer(w, np.uint64) for w in x["words"]]
     vocabulary, ids = np.unique(np.concatenate(texts), return_inverse=True)
-    ids = ids.astype(np.int64) + 1
-    cut = np.cumsum([len(t) for t in texts])[:-1]
-    texts = np.split(ids, cut)
-    owners = x["doc"].to_numpy(np.int64)
-    own = np.flatnonzero(x["index"].to_numpy(bool))
-    if not len(own):
-        return pd.DataFrame({"anchor": np.zeros(0, np.int64), "seg": np.zeros(0, np.int64), "a": np.zeros(0, np.int32), "b": np.zeros(0, np.int32)})
-    index = FMIndex([texts[i] for i in own], owners[own], len(vocabulary))
-    rows = [(i, a, b) for i, f in enumerate(index.repeated(texts, owners, window)) for a, b in f]
+    texts = np.split(ids.astype(np.int32) + 1, np.cumsum([len(t) for t in texts])[:-1])
+    first, last = x["doc"].to_numpy(np.int64), x["last"].to_numpy(np.int64)
+    index = FMIndex(texts, first, len(vocabulary))
+    own, later = np.flatnonzero(x["n"].to_numpy() > 1), np.flatnonzero(last > first)
+    of = np.r_[own, later]
+    found = index.repeated([texts[i] for i in of], np.r_[first[own], last[later]], window)
+    rows = [(of[i], i >= len(own), a, b) for i, f in enumerate(found) for a, b in f]
     at = np.array([r[0] for r in rows], np.int64)
-    return pd.DataFrame({"anchor": x["anchor"].to_numpy()[at], "seg": x["seg"].to_numpy()[at], "a": np.array([r[1] for r in rows], np.int32), "b": np.array([r[2] for r in rows], np.int32)})
+    return pd.DataFrame({"anchor": x["anchor"].to_numpy()[at], "seg": x["seg"].to_numpy()[at], "copy": np.array([r[1] for r in rows], bool), "a": np.array([r[2] for r in rows], np.int32), "b": np.array([r[3] for r in rows], np.int32)})
 
 
-def repeated_intervals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc, th, a, b: word intervals of docs (doc, th, text) that a smaller document repeats."""
-    spark = docs.sparkSession
-    every = materialize(_segment_table(docs, window))
-    kinds = every.groupBy("anchor", "seg").agg(F.min(F.struct("doc", "th", "start", "len")).alias("first"), F.max("doc").alias("last"))
-    w = W.partitionBy("anchor")
-    kinds = kinds.withColumn("low", F.min("first.doc").over(w)).withColumn("high", F.max("last").over(w)).withColumn("n", F.count("*").over(w))
-    kinds = materialize(kinds.where("low < high").select("anchor", "seg", "first.*", F.col("n").cast("int").alias("n")))
-    searched = kinds.where("n > 1")
-    fetched = _fetch(docs, searched).join(searched.select("anchor", "seg", "n"), ["anchor", "seg"])
-    shards = max(1, -(-(searched.agg(F.sum("len")).first()[0] or 0) // SHARD_WORDS))
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    streamed = fetched.withColumn("own", F.pmod(F.col("seg"), chunks).cast("int")).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-    streamed = streamed.select(F.pmod(F.xxhash64("anchor", "chunk"), F.lit(shards)).cast("int").alias("shard"), (F.col("own") == F.col("chunk")).alias("index"), "anchor", "seg", "doc", "words")
-    found = streamed.groupBy("shard").applyInPandas(lambda x: search_shard(x, window), "anchor long, seg long, a int, b int")
-    found = found.groupBy("anchor", "seg").agg(F.collect_set(F.struct("a", "b")).alias("parts"))
-    # Written, so that the join below stands alone and a segment that very many documents hold can be split.
-    kinds = materialize(kinds.select("anchor", "seg", F.col("doc").alias("f_doc")).join(found, ["anchor", "seg"], "left"))
-    hits = every.join(kinds, ["anchor", "seg"]).where("doc > f_doc or parts is not null")
-    whole = F.array(F.struct(F.lit(0).alias("a"), F.col("len").alias("b")))
-    hits = hits.select("doc", "th", "start", F.explode(F.when(F.col("doc") > F.col("f_doc"), whole).otherwise(F.col("parts"))).alias("p"))
-    out = materialize(hits.select("doc", "th", (F.col("start") + F.col("p.a")).alias("a"), (F.col("start") + F.col("p.b")).alias("b")))
-    drop(every)
+def _search(texts: DataFrame, words: int, window: int) -> DataFrame:
+    """FOUND of texts (doc, anchor, seg, last, n, words), which meet by anchor in shards of about SHARD_WORDS of all ``words``."""
+    shard = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-words // SHARD_WORDS)))).cast("int").alias("shard")
+    return texts.select(shard, "doc", "anchor", "seg", "last", "n", "words").groupBy("shard").applyInPandas(lambda x: search_shard(x, window), FOUND)
+
+
+def _search_hot(texts: DataFrame, window: int) -> DataFrame:
+    """FOUND for anchors with very many different segments: their windows meet by window hash instead, so no group grows with an anchor.
+
+    Each window that documents share is one text of the index, owned by its smallest holder and searched for its largest; a segment's intervals are its
+    windows found that way.
+    """
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            for i in range(0, len(x), 256):
+                part = x.slice(i, 256)
+                at, off, name = [], [], []
+                for k, raw in enumerate(part["words"]):
+                    h = np.frombuffer(raw.as_py(), np.uint64)
+                    m = len(h) - window + 1
+                    total = np.r_[np.uint64(0), np.cumsum(h * _powers(PRIME, len(h)))]
+                    at.append(np.full(m, k))
+                    off.append(np.arange(m, dtype=np.int32))
+                    name.append((total[window:] - total[:m]) * _powers(INVERSE, len(h))[:m])
+                at = pa.array(np.concatenate(at).astype(np.int64))
+                columns = [part[c].take(at) for c in ("doc", "anchor", "seg", "last")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(off)), pa.array(np.concatenate(name).view(np.int64))], ["doc", "anchor", "seg", "last", "off", "window"])
+
+    each = materialize(texts.mapInArrow(windows, "doc long, anchor long, seg long, last long, off int, window long"))
+    shared = each.groupBy("window").agg(F.min(F.struct("doc", "anchor", "seg", "off")).alias("first"), F.max("last").alias("high")).where("first.doc < high")
+    shared = checkpointed(shared.select("window", "first.*", "high"))
+    cut = F.expr(f"substring(words, 8 * off + 1, {8 * window})").alias("words")
+    body = shared.join(texts.select("anchor", "seg", "words"), ["anchor", "seg"]).select("doc", F.col("window").alias("anchor"), F.lit(0).cast("long").alias("seg"), F.col("high").alias("last"), F.lit(1).cast("long").alias("n"), cut)
+    sure = _search(body, shared.count() * window, window).where("copy").select(F.col("anchor").alias("window")).distinct()
+    sure = sure.join(shared.select("window", F.col("doc").alias("low")), "window")
+    hits = each.join(sure, "window")
+    place = [F.col("off").alias("a"), (F.col("off") + window).alias("b")]
+    # A window of a segment counts for its first holder if a smaller document has it, and for later holders if one smaller than they has.
+    kinds = F.explode(F.array_compact(F.array(F.when(F.col("low") < F.col("doc"), False), F.when((F.col("low") < F.col("last")) & (F.col("doc") < F.col("last")), True)))).alias("copy")
+    out = checkpointed(hits.select("anchor", "seg", kinds, *place))
+    drop(each)
     return out
 
 
+def repeated_intervals(docs: DataFrame, window: int = WINDOW, chunk: int = CHUNK) -> DataFrame:
+    """doc, th, a, b: word intervals of docs (doc, th, text) that a smaller document repeats."""
+    with tidy(docs.sparkSession):
+        every = materialize(_segment_table(docs, window))
+        shared = every.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("anchor")
+        shared = checkpointed(shared)
+        near = bit_filter(shared.select(F.col("anchor").alias("key"))).holds(F.col("anchor"))
+        some = checkpointed(every.where(near).join(shared, "anchor", "left_semi"))
+        drop(every)
+        firsts = some.groupBy("anchor", "seg").agg(F.min(F.struct("doc", "th", "start", "len")).alias("first"), F.max("doc").alias("last")).select("anchor", "seg", "first.*", "last")
+        kinds = checkpointed(firsts.join(firsts.groupBy("anchor").agg(F.count("*").alias("n")), "anchor"))
+        usual, hot = kinds.where(F.col("n") <= chunk), kinds.where(F.col("n") > chunk)
+        found, texts = _search(_fetch(docs, usual), usual.agg(F.sum("len")).first()[0] or 0, window), None
+        if not hot.isEmpty():
+            texts = materialize(_fetch(docs, hot))
+            found = found.union(_search_hot(texts, window))
+        parts = [F.collect_set(F.when(F.col("copy") == c, F.struct("a", "b"))).alias(name) for c, name in ((False, "own"), (True, "copies"))]
+        # Cut off, so that the join below stands alone and a segment that very many documents hold can be split.
+        found = checkpointed(found.groupBy("anchor", "seg").agg(*parts).join(kinds.select("anchor", "seg", F.col("doc").alias("f_doc")), ["anchor", "seg"]))
+        hits = some.join(found, ["anchor", "seg"])
+        hits = hits.select("doc", "th", "start", F.explode(F.when(F.col("doc") > F.col("f_doc"), F.col("copies")).otherwise(F.col("own"))).alias("p"))
+        out = checkpointed(hits.select("doc", "th", (F.col("start") + F.col("p.a")).alias("a"), (F.col("start") + F.col("p.b")).alias("b")))
+        if texts:
+            drop(texts)
+        return out
+
+
 def _kept(words: list[bytes], spans: list[dict]) -> tuple[bytes, int]:
     gone = np.zeros(len(words) + 1, np.int32)
     for s in spans:
@@ -176,10 +218,12 @@ def _kept(words: list[bytes], spans: list[dict]) -> tuple[bytes, int]:
     return b" ".join(w for w, k in zip(words, keep, strict=True) if k), int(len(words) - keep.sum())
 
 
-def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, texts: bool = False) -> DataFrame:
+def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, texts: bool = False, chunk: int = CHUNK) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, and with texts=True kept_text (kept words joined by one space)."""
-    body = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("th"), F.col(text).alias("text"))
-    spans = repeated_intervals(body.where("doc is not null"), window)
+    p = Plain(docs)
+    t = F.col(p[text])
+    body = p.df.select(F.col(p[key]).cast("long").alias("doc"), F.xxhash64(F.coalesce(t, F.lit(""))).alias("th"), t.alias("text"))
+    spans = repeated_intervals(body.where("doc is not null"), window, chunk)
     lists = spans.groupBy("doc", "th").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts
 
@@ -197,8 +241,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept_text"] * texts])
 
     # Documents that surely have no interval are not shuffled.
-    level = _bits(spans)
-    some = F.lit(True) if level is None else level_holds(level, F.xxhash64("doc", "th"))
+    some = bit_filter(spans.select(F.xxhash64("doc", "th").alias("key")).distinct()).holds(F.xxhash64("doc", "th"))
     none = body.where(~some | F.col("doc").isNull()).withColumn("spans", F.lit(None).cast("array<struct<a:int,b:int>>")).select("doc", "text", "spans")
     joined = body.where(some & F.col("doc").isNotNull()).join(lists, ["doc", "th"], "left").select("doc", "text", "spans")
     return none.union(joined).mapInArrow(run, schema)
