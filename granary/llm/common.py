@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,44 +41,64 @@ def shared_dir(spark: SparkSession) -> str:
     return set_dir.rstrip("/")
 
 
-_written: list[tuple[SparkSession, str]] = []
+def materialize(df: DataFrame) -> DataFrame:
+    """df computed once and kept on the executors' disks until drop(); what a lost executor held is computed again from its lineage.
 
+    For large tables that are dropped before an operator returns. Plans show a kept table's own plan, so what stands on several of them, what iterations carry on
+    and what a result still reads is checkpointed().
+    """
+    out = df.persist(StorageLevel.DISK_ONLY)
+    out.count()
+    return out
 
-#: Tasks that write a table, for each core: more partitions are written one after another, into few files.
-FILES_A_CORE = 4
 
+def drop(df: DataFrame) -> None:
+    """Let go of a table of materialize() that no later plan reads."""
+    df.unpersist()
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a Parquet table in the shared folder; it lives until drop() or the driver's exit."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/granary/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.coalesce(FILES_A_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
-    _written.append((spark, path))
-    out = spark.read.schema(df.schema).parquet(path)
-    out._granary_path = path
-    return out
 
+#: Tasks that write a checkpoint, for each core: more partitions are written one after another, into few files.
+FILES_A_CORE = 1
 
-def drop(df: DataFrame) -> None:
-    """Delete a table of materialize() that no later plan reads."""
-    path = getattr(df, "_granary_path", None)
-    if path:
-        _delete(df.sparkSession, path)
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Queries made and run inside remove their shuffle files as soon as they end; else these stay until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
-def _delete(spark: SparkSession, path: str) -> None:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df cut off from its lineage by a checkpoint in the shared folder."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.coalesce(FILES_A_CORE * sc.defaultParallelism).checkpoint()
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder, read again; it lives until the driver's exit."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/granary/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @atexit.register
 def _clean_up() -> None:
     for spark, path in _written:
-        try:
-            if spark.sparkContext._jsc is not None:
-                _delete(spark, path)
-        except Exception:  # the JVM may have ended first; its folder is then the cluster's to clean
-            return
+        if spark.sparkContext._jsc is not None:  # else the JVM has ended first; its folder is then the cluster's to clean
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 class Plain:
@@ -103,13 +126,13 @@ class Plain:
         return df.select(*[i for i, _ in kept], *added).toDF(*[c for _, c in kept], *added)
 
 
-#: Bits of a membership filter: 1 MB whatever it holds. It only spares rows a shuffle; with very many keys it lets more of them through.
-FILTER_BITS, FILTER_HASHES = 1 << 23, 2
+#: Bits of a membership filter: 256 KB whatever it holds. It only spares rows a shuffle; with very many keys it lets more of them through.
+FILTER_BITS, FILTER_HASHES = 1 << 21, 2
 
 
 def one_row(spark: SparkSession, name: str, values: np.ndarray) -> DataFrame:
-    """A table of one row with one array column; plans read it as a scalar subquery and do not hold its values."""
-    return materialize(spark.createDataFrame(pa.table({name: pa.array([values])})))
+    """A table of one row with one array column; plans read it as a scalar subquery and do not show its values."""
+    return spark.createDataFrame(pa.table({name: pa.array([values])}))
 
 
 def bit_positions(key: Column, seed: int, bits: int, hashes: int) -> list[Column]:

@@ -1,7 +1,7 @@
 """Line dedup by an exact set-similarity join (Jaccard of line tokens, num/den or more), in DataFrame operations only.
 
 A line's tokens are ordered by rarity: frequencies of all words, counted by hash range, give each token a class, and a token is a long with its class
-in the upper 7 and 57 bits of XXH64 in the lower bits, so sorting the longs sorts by rarity. Lines with equal token sets are one set, placed at their first line.
+on top and 57 bits of XXH64 below, so sorting the longs sorts by rarity. Lines with equal token sets are one set, placed at their first line.
 Sets that can reach the threshold share a token of their prefixes; of those that do, length, positional and parity filters (64 bits of
 token parities: their Hamming distance is at most the symmetric difference) leave few, whose tokens are then compared exactly.
 
@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, Plain, bit_filter, drop, materialize, one_row
+from .common import SPACE_CLASS, Plain, bit_filter, checkpointed, drop, materialize, one_row, tidy
 
 COUNTER_BITS, LEADERS = 18, 4
 PLACE = ["doc", "th", "line_no"]
@@ -44,18 +44,14 @@ def _hashes(line: Column) -> Column:
 
 
 def rarity_classes(docs: DataFrame, bits: int = COUNTER_BITS) -> DataFrame:
-    """One row: what turns a hash into a token, for each range of hashes with equal upper ``bits``.
-
-    The class (0 to 63) of the range's frequency over all words replaces a hash's upper seven bits. 2^bits numbers at most reach the driver.
-    """
+    """One row: for each range of hashes with equal lower ``bits`` the class (0 to 63) of its frequency over all words. 2^bits numbers at most reach the driver."""
     lines = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
-    at = lines.select(F.explode(_parts(F.col("line"))).alias("w")).where("w != ''").select(F.shiftrightunsigned(F.xxhash64("w"), 64 - bits).cast("int").alias("i"))
+    at = lines.select(F.explode(_parts(F.col("line"))).alias("w")).where("w != ''").select(F.xxhash64("w").bitwiseAND(F.lit((1 << bits) - 1)).cast("int").alias("i"))
     level = F.least(F.lit(63), F.floor(F.log2("n") * 2).cast("int"))
     found = at.groupBy("i").agg(F.count("*").alias("n")).select("i", level.alias("c")).toArrow()
-    i = np.arange(1 << bits)
-    classes = np.zeros(1 << bits, np.int64)
+    classes = np.zeros(1 << bits, np.int8)
     classes[found["i"].to_numpy()] = found["c"].to_numpy()
-    return one_row(docs.sparkSession, "classes", (i >> (bits - 7) ^ classes) << 57)
+    return one_row(docs.sparkSession, "classes", classes)
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -67,7 +63,8 @@ def _lines(docs: DataFrame) -> DataFrame:
 def line_sets(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """doc, th, line_no, n, set, sig and prefix (32-bit names of the rarest tokens) of each line with a word; docs: doc, th, text."""
     hashed = _lines(docs).select(*PLACE, _hashes(F.col("line")).alias("hashes"), classes.scalar().alias("classes"))
-    token = F.transform("hashes", lambda h: F.get("classes", F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int")).bitwiseXOR(h))
+    low = F.lit((1 << COUNTER_BITS) - 1)
+    token = F.transform("hashes", lambda h: F.shiftleft(F.get("classes", h.bitwiseAND(low).cast("int")).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7)))
     t = hashed.select(*PLACE, F.sort_array(token).alias("toks"))
     parity = F.expr("aggregate(toks, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))")
     n = "size(toks)"
@@ -110,46 +107,42 @@ def _joined(probes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 def _proven(pairs: DataFrame, sets: DataFrame, docs: DataFrame, num: int, den: int, ordered: bool) -> DataFrame:
     """set: those of pairs (set, o_set) whose partner reaches num/den and is earlier; ordered: all partners are."""
-    ends = materialize(pairs.select("set").union(pairs.select("o_set")).distinct())
+    ends = pairs.select("set").union(pairs.select("o_set")).distinct()
     held = bit_filter(ends.select(F.col("set").alias("key")))
-    at = materialize(sets.where(held.holds(F.col("set"))).join(ends, "set", "left_semi").select("set", "first"))
+    at = checkpointed(sets.where(held.holds(F.col("set"))).join(ends, "set", "left_semi").select("set", "first"))
     held = bit_filter(at.select(F.expr("xxhash64(first.doc, first.th, first.line_no)").alias("key")))
     text = _lines(docs).where(held.holds(F.xxhash64(*PLACE)))
     toks = text.join(at.select("set", "first.*"), PLACE).select("set", _hashes(F.col("line")).alias("toks"))
-    toks = materialize(toks.dropDuplicates(["set"]))
+    toks = checkpointed(toks.dropDuplicates(["set"]))
     if not ordered:
         earlier = at.select(F.col("set").alias("o_set"), F.col("first").alias("o_first"))
         pairs = pairs.join(at, "set").join(earlier, "o_set").where("o_first < first").select("set", "o_set")
     other = toks.select(F.col("set").alias("o_set"), F.col("toks").alias("o_toks"))
     both = pairs.join(toks, "set").join(other, "o_set").withColumn("shared", F.size(F.array_intersect("toks", "o_toks")))
-    out = materialize(both.where(f"{den} * shared >= {num} * (size(toks) + size(o_toks) - shared)").select("set").distinct())
-    for t in (ends, at, toks):
-        drop(t)
-    return out
+    return checkpointed(both.where(f"{den} * shared >= {num} * (size(toks) + size(o_toks) - shared)").select("set").distinct())
 
 
 def _removed(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
     """doc, th and removed (line numbers from 0, ascending); docs: doc, th, text."""
-    classes = rarity_classes(docs)
-    lines = materialize(line_sets(docs, classes, num, den).where(F.col("n") >= min_tokens) if min_tokens > 1 else line_sets(docs, classes, num, den))
-    first = F.min(F.struct(*PLACE)).alias("first")
-    sets = materialize(lines.groupBy("set").agg(first, F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")))
-    pairs = materialize(_led(sets, num, den))
-    proven = _proven(pairs, sets, docs, num, den, True)
-    drop(pairs)
-    held = bit_filter(proven.select(F.col("set").alias("key"))).holds(F.col("set"))
-    probes = sets.where(~held).union(sets.where(held).join(proven, "set", "left_anti"))
-    pairs = materialize(_joined(probes, sets, num, den))
-    found = proven.union(_proven(pairs, sets, docs, num, den, False))
-    drop(pairs)
-    held = bit_filter(found.select(F.col("set").alias("key"))).holds(F.col("set"))
-    maybe = sets.where(held).join(found.withColumn("gone", F.lit(True)), "set", "left").select("set", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
-    placed = sets.where(~held).select("set", "first", F.lit(False).alias("gone")).union(maybe)
-    every = lines.select(*PLACE, "set").join(placed, "set").where(F.col("gone") | (F.struct(*PLACE) != F.col("first")))
-    out = materialize(every.groupBy("doc", "th").agg(F.array_sort(F.collect_set("line_no")).alias("removed")))
-    for t in (lines, sets, classes):
-        drop(t)
-    return out
+    with tidy(docs.sparkSession):
+        classes = rarity_classes(docs)
+        whole = line_sets(docs, classes, num, den)
+        whole = materialize(whole.where(F.col("n") >= min_tokens) if min_tokens > 1 else whole)
+        first = F.min(F.struct(*PLACE)).alias("first")
+        sets = checkpointed(whole.groupBy("set").agg(first, F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")))
+        lines = materialize(whole.select(*PLACE, "set"))
+        drop(whole)
+        proven = _proven(checkpointed(_led(sets, num, den)), sets, docs, num, den, True)
+        held = bit_filter(proven.select(F.col("set").alias("key"))).holds(F.col("set"))
+        probes = sets.where(~held).union(sets.where(held).join(proven, "set", "left_anti"))
+        found = proven.union(_proven(checkpointed(_joined(probes, sets, num, den)), sets, docs, num, den, False))
+        held = bit_filter(found.select(F.col("set").alias("key"))).holds(F.col("set"))
+        maybe = sets.where(held).join(found.withColumn("gone", F.lit(True)), "set", "left").select("set", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
+        placed = sets.where(~held).select("set", "first", F.lit(False).alias("gone")).union(maybe)
+        every = lines.join(placed, "set").where(F.col("gone") | (F.struct(*PLACE) != F.col("first")))
+        out = checkpointed(every.groupBy("doc", "th").agg(F.array_sort(F.collect_set("line_no")).alias("removed")))
+        drop(lines)
+        return out
 
 
 def dedup_report(docs: DataFrame, key: str = "doc_id", text: str = "text", num: int = 4, den: int = 5, min_tokens: int = 1) -> DataFrame:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Bits, Plain, ascii_lower, bit_filter, drop, materialize
+from .common import Bits, Plain, ascii_lower, bit_filter, checkpointed, drop, materialize
 
 
 @dataclass(frozen=True)
@@ -89,28 +89,23 @@ def build_cascade(universe: DataFrame, listed: DataFrame, first_rate: float | No
     is left, which shrinks by the rate from level to level. first_rate: by default the share of listed keys in the universe, so
     that level 2 gets about as many keys as level 1 and all levels' size follows the list, not the universe.
     """
-    here = materialize(universe.join(listed, "key", "left_semi"))
+    here = checkpointed(universe.join(listed, "key", "left_semi"))
     if first_rate is None:
         first_rate = min(0.5, max(here.count(), 1) / max(universe.count(), 2))
     levels: list[Bits] = []
-    encoded, other, kept = here, None, [here]
-    try:
-        for seed in range(1, max_levels + 1):
-            level = build_level(encoded, seed, first_rate if seed == 1 else next_rate)
-            levels.append(level)
-            if other is None:  # unlisted keys that pass level 1
-                slipped = universe.where(level.holds(F.col("key"))).join(listed, "key", "left_anti")
-            else:
-                slipped = other.where(level.holds(F.col("key")))
-            slipped = materialize(slipped)
-            kept.append(slipped)
-            if slipped.isEmpty():
-                return levels
-            encoded, other = slipped, encoded
-        raise RuntimeError("the cascade did not end")
-    finally:
-        for df in kept:
-            drop(df)
+    encoded, other = here, None
+    for seed in range(1, max_levels + 1):
+        level = build_level(encoded, seed, first_rate if seed == 1 else next_rate)
+        levels.append(level)
+        if other is None:  # unlisted keys that pass level 1
+            slipped = universe.where(level.holds(F.col("key"))).join(listed, "key", "left_anti")
+        else:
+            slipped = other.where(level.holds(F.col("key")))
+        slipped = checkpointed(slipped)
+        if slipped.isEmpty():
+            return levels
+        encoded, other = slipped, encoded
+    raise RuntimeError("the cascade did not end")
 
 
 def filter_urls(pages: DataFrame, blocked: DataFrame, rules: list[Rule], url: str = "url") -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Plain, drop, materialize
+from .common import Plain, checkpointed, drop, materialize
 from .graph import components
 
 SHINGLE, SEED, BLOCK, SMALL, CROWD = 4, 42, 1 << 15, 48, 2048
@@ -199,4 +199,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", li
     named = links.join(nodes.select(F.col("fp").alias("a"), F.col("node").alias("u")), "a").join(nodes.select(F.col("fp").alias("b"), F.col("node").alias("v")), "b")
     groups = components(named.where("u is not null and v is not null").select("u", "v"))
     labelled = nodes.join(groups, "node", "left").select("fp", F.coalesce("label", "node").alias("component_id"))
-    return own.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out = checkpointed(own.join(labelled, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    drop(nodes)
+    drop(own)
+    return out

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import materialize
+from .common import checkpointed, drop, materialize
 
 FIT_ROWS, BRANCHING, TILE, CALIBRATE, MAX_LEAVES = 20_000, 8, 4096, 64, 4096
 
@@ -205,7 +205,7 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
     """query_id, rank, vec_id, score of the k nearest found by largest inner product."""
     v = F.col(vector).cast("array<double>")
     base = vectors.select(F.col(key).cast("long").alias("id"), v.alias("vec"), F.coalesce(is_query, F.lit(False)).alias("ask")).where(F.col("id").isNotNull() & usable(F.col("vec")))
-    base = materialize(base)
+    kept = base = materialize(base)
     spark = base.sparkSession
     wide = base.groupBy(F.size("vec").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -227,7 +227,10 @@ def nearest(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: s
     known = asked.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(CALIBRATE).toPandas()
     if not len(known):
         return empty
-    truth = materialize(exact_search(known, indexed, k))
-    truth = truth.join(indexed.select(F.col("id").alias("vec_id"), "leaf"), "vec_id").select("query_id", "vec_id", "leaf").distinct().toPandas()
+    truth = exact_search(known, indexed, k).join(indexed.select(F.col("id").alias("vec_id"), "leaf"), "vec_id").select("query_id", "vec_id", "leaf").distinct().toPandas()
     walks = {i: {leaf: at for at, leaf in enumerate(tree.order(np.asarray(x, np.float64), tree.leaves))} for i, x in zip(known["id"], known["vec"], strict=True)}
-    return search_tree(tree, asked, indexed, k, needed_visits([walks[i][leaf] for i, leaf in zip(truth["query_id"], truth["leaf"], strict=True)], recall))
+    visits = needed_visits([walks[i][leaf] for i, leaf in zip(truth["query_id"], truth["leaf"], strict=True)], recall)
+    out = checkpointed(search_tree(tree, asked, indexed, k, visits))
+    for t in (asked, indexed, kept):
+        drop(t)
+    return out
