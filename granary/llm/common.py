@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -34,10 +36,17 @@ def words_of(c: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or what SparkContext.setCheckpointDir was given."""
-    set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share: spark.checkpoint.dir, or what SparkContext.setCheckpointDir was given.
+
+    Where none is set, a master of one JVM (local, as in tests) gets a temporary one; on a cluster that folder would be each machine's own, so it raises.
+    """
+    sc = spark.sparkContext
+    set_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not set_dir:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        set_dir = "file://" + tempfile.mkdtemp(prefix="granary-shared-")
+        sc.setCheckpointDir(set_dir)
     return set_dir.rstrip("/")
 
 
