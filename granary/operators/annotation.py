@@ -167,3 +167,20 @@ def repaired_names(members: DataFrame, known: DataFrame, sep: str = "__") -> Dat
     m = members.withColumn("_s", parts[0]).withColumn("_r", parts[1]).withColumn("contig", F.regexp_extract("_r", r"^([^_]+)", 1))
     j = m.join(known.select("contig", F.col("sample").alias("_k")), "contig", "left")
     return j.select("member", F.concat(F.coalesce("_k", "_s"), F.lit(sep), F.col("_r")).alias("repaired"))
+
+
+def ranked_paths(taxa: DataFrame, ranks: DataFrame, wanted: tuple[str, ...], sep: str = ";") -> DataFrame:
+    """id, lineage: the names on a taxon's path at the wanted ranks, ``?`` where the path has none. taxa: id, path; ranks: path (of every node), rank."""
+    parts = F.split("path", f"\\Q{sep}\\E")
+    each = taxa.select("id", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(F.array_join(F.slice(parts, 1, i), sep).alias("path"), F.get(parts, i - 1).alias("name")))).alias("p"))
+    found = each.select("id", "p.path", "p.name").join(ranks, "path").where(F.col("rank").isin(*wanted)).groupBy("id").agg(F.map_from_entries(F.collect_set(F.struct("rank", "name"))).alias("m"))
+    names = F.array(*[F.coalesce(F.try_element_at("m", F.lit(r)), F.lit("?")) for r in wanted])
+    return taxa.select("id").join(found, "id", "left").select("id", F.coalesce(names, F.array_repeat(F.lit("?"), len(wanted))).alias("lineage"))
+
+
+def gene_functions(tables: dict[str, DataFrame], database: str) -> DataFrame:
+    """gene, terms of one database class; classes have their own column names, the first is the gene and the second its terms."""
+    if database not in tables:
+        raise ValueError(f"no table for {database} among {sorted(tables)}")
+    t = tables[database]
+    return t.select(F.col(t.columns[0]).alias("gene"), F.col(t.columns[1]).alias("terms"))

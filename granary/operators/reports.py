@@ -145,3 +145,23 @@ def frequency_list(df: DataFrame, lineage: str) -> DataFrame:
     from .assembly import numbered
 
     return numbered(df.groupBy(lineage).agg(F.count("*").alias("n")), -F.col("n"), [lineage], "place").select(lineage, "n", "place")
+
+
+# What mapper and duplicate logs print, by column.
+LOG_PATTERNS = {
+    "reads": r"(\d+) reads; of these", "paired": r"(\d+) \([\d.]+%\) were paired", "aligned_once": r"(\d+) \([\d.]+%\) aligned concordantly exactly 1 time",
+    "aligned_more": r"(\d+) \([\d.]+%\) aligned concordantly >1 times", "overall": r"([\d.]+)% overall alignment rate", "duplicates": r"DUPLICATE TOTAL: (\d+)",
+    "written": r"WRITTEN: (\d+)", "examined": r"EXAMINED: (\d+)",
+}
+
+
+def log_table(logs: DataFrame, name: str, text: str, patterns: dict[str, str] = LOG_PATTERNS) -> DataFrame:
+    """A sample a row, a number a column: the first group of each pattern's first match over the sample's logs; null where no log has it."""
+    found = [F.when(F.col(text).rlike(p), F.regexp_extract(text, p, 1)).try_cast("double").alias(c) for c, p in patterns.items()]
+    return logs.select(name, *found).groupBy(name).agg(*[F.max(c).alias(c) for c in patterns])
+
+
+def category_lines(members: DataFrame, category: str, sample: str, gene: str) -> DataFrame:
+    """category, line: ``sample|gene`` of a category's genes, sorted and joined by tabs, for tree building."""
+    one = F.concat(F.col(sample).cast("string"), F.lit("|"), F.col(gene).cast("string"))
+    return members.groupBy(category).agg(F.array_join(F.array_sort(F.collect_set(one)), "\t").alias("line"))

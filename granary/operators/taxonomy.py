@@ -39,6 +39,11 @@ def lca(hits: DataFrame, query: str, lineage: str, pident: str, aln_len: str, fr
     return got.join(limit, query).where("level <= _deep").select(query, "level", "name")
 
 
+def covered_lca(hits: DataFrame, query: str, lineage: str, pident: str, aln_len: str, query_len: str, fraction: float = 0.8, cover: float = 0.6, least: int = 50) -> DataFrame:
+    """lca over the hits that cover enough of their query and are long enough, with a smaller share of votes."""
+    return lca(hits.where((F.col(aln_len) >= cover * F.col(query_len)) & (F.col(aln_len) >= least)), query, lineage, pident, aln_len, fraction)
+
+
 def deepest(won: DataFrame, group: str) -> DataFrame:
     return won.groupBy(group).agg(F.max("level").cast("int").alias("level"), F.max_by("name", "level").alias("name"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sequence
-from ..operators import annotation, bins, reports, selection, similarity
+from ..operators import annotation, bins, reports, selection, similarity, taxonomy
 from ..plans.registry import query, table
 
 _HITS = "(SELECT l_orderkey AS query, l_suppkey AS subject, l_quantity * 2 AS pident, l_linenumber * 40 + l_partkey % 50 AS aln_len, l_discount / 1e13 AS evalue, l_extendedprice / 100 AS bitscore, l_partkey FROM lineitem) h"
@@ -449,3 +449,42 @@ def a07_merged_profiles(spark, d):
 def a30_gene_coverage_matrix(spark, d):
     g = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("feature"), F.col("l_returnflag").alias("f")).agg(F.median("l_quantity").alias("depth"))
     return reports.filled(g, "feature", ["A", "N", "R"], "f", ["depth"])
+
+
+@query("SELECT s_suppkey AS id, [r_name, CASE WHEN n_nationkey % 3 = 0 THEN '?' ELSE n_name END, '?'] AS lineage FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
+def s22_ranked_paths(spark, d):
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    taxa = table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("id"), F.concat_ws(";", "r_name", "n_name", "s_name").alias("path"))
+    nodes = n.selectExpr("concat_ws(';', r_name, n_name) as path", "if(n_nationkey % 3 = 0, 'subnation', 'nation') as rank").union(n.selectExpr("r_name as path", "'region' as rank").distinct())
+    return annotation.ranked_paths(taxa, nodes, ("region", "nation", "genus"))
+
+
+@query("SELECT p_partkey AS gene, p_type AS terms FROM part")
+def s25_gene_functions(spark, d):
+    p = table(spark, d, "part")
+    return annotation.gene_functions({"KO": p.select("p_partkey", "p_type"), "COG": p.select("p_partkey", "p_brand")}, "KO")
+
+
+@query("SELECT 's' || o_custkey AS sample, max(o_orderkey)::DOUBLE AS reads, max(CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey % 100 + 0.5 END)::DOUBLE AS overall FROM orders GROUP BY 1")
+def a41_log_table(spark, d):
+    logs = table(spark, d, "orders").selectExpr("concat('s', o_custkey) as sample", "concat('a\n', o_orderkey, ' reads; of these:\n', if(o_orderkey % 2 = 0, concat(o_orderkey % 100, '.5% overall alignment rate\n'), '')) as text")
+    return reports.log_table(logs, "sample", "text", {k: reports.LOG_PATTERNS[k] for k in ("reads", "overall")})
+
+
+@query("SELECT l_returnflag AS category, string_agg(DISTINCT l_suppkey || '|' || l_partkey, chr(9) ORDER BY l_suppkey || '|' || l_partkey) AS line FROM lineitem GROUP BY 1")
+def x20_category_lines(spark, d):
+    return reports.category_lines(table(spark, d, "lineitem").withColumnRenamed("l_returnflag", "category"), "category", "l_suppkey", "l_partkey")
+
+
+@query("""
+WITH x AS (SELECT l_orderkey AS q, [r_name, n_name, CAST(s_suppkey AS VARCHAR)] AS g, 100 - 100 * l_discount AS p, l_quantity AS l FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE l_quantity >= 0.6 * 30 AND l_quantity >= 20),
+b AS (SELECT *, max(p) OVER (PARTITION BY q) AS best, max(l) OVER (PARTITION BY q) AS ml FROM x),
+k AS (SELECT * FROM b WHERE l >= 0.85 * ml AND p >= best - CASE WHEN best >= 100 THEN 0.1 WHEN best >= 99.5 THEN 0.25 WHEN best >= 99 THEN 0.5 WHEN best >= 98 THEN 1.0 WHEN best >= 97 THEN 1.25 ELSE 1.5 END),
+n AS (SELECT q, count(*) AS n, max(1 + (best >= 85)::INT + (best >= 88)::INT + (best >= 91)::INT + (best >= 93)::INT + (best >= 95)::INT + (best >= 97)::INT) AS deep FROM k GROUP BY 1),
+v AS (SELECT q, CAST(i AS INTEGER) AS level, array_to_string(g[1:i], ';') AS name, count(*) AS v FROM k, range(1, 4) t(i) GROUP BY ALL)
+SELECT q AS l_orderkey, max(level) AS level, arg_max(name, level) AS name FROM v JOIN n USING (q) WHERE v >= ceil(0.8 * n) AND level <= deep GROUP BY 1""")
+def m17_covered_lca(spark, d):
+    n = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    s = table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.array("r_name", "n_name", F.col("s_suppkey").cast("string")).alias("lineage"))
+    x = table(spark, d, "lineitem").join(s, "l_suppkey").select("l_orderkey", "lineage", (100 - 100 * F.col("l_discount")).alias("pident"), "l_quantity", F.lit(30).alias("query_len"))
+    return taxonomy.deepest(taxonomy.covered_lca(x, "l_orderkey", "lineage", "pident", "l_quantity", "query_len", least=20), "l_orderkey")
