@@ -140,3 +140,11 @@ def pair_identity(a: Column, b: Column, skip: str = "-N") -> Column:
     known = lambda x: F.coalesce((x != "") & ~x.isin(*skip), F.lit(False))
     columns = F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(known(x) & known(y), x == y)), lambda x: x.isNotNull())
     return F.when(F.size(columns) > 0, 100.0 * F.size(F.filter(columns, lambda x: x)) / F.size(columns))
+
+
+def unique_names(df: DataFrame, name: str, order: str) -> DataFrame:
+    """df with equal names told apart: the second and later ones, by order, get _2, _3 and so on. Names are few of a kind; each kind is numbered apart."""
+    from pyspark.sql import Window as W
+
+    n = F.row_number().over(W.partitionBy(name).orderBy(order))
+    return df.withColumn(name, F.when(n > 1, F.concat(F.col(name), F.lit("_"), n.cast("string"))).otherwise(F.col(name)))

@@ -22,6 +22,11 @@ def range_join(points: DataFrame, ranges: DataFrame, key: list[str], point: str,
     return p.join(r, [*key, "_bin"]).where((F.col(point) >= F.col(start)) & (F.col(point) <= F.col(end))).drop("_bin")
 
 
+def relative_place(point: Column, start: Column, end: Column, strand: Column) -> Column:
+    """Place inside a range from 1, counted from its end on the minus strand."""
+    return F.when(strand == "-", end - point + 1).otherwise(point - start + 1)
+
+
 def mean_depth(depth: DataFrame, genes: DataFrame, key: list[str], gene: str, width: int = 1000) -> DataFrame:
     """key, gene, value: depth over [start, end], which counts end - start + 1 places. depth: key, pos, depth; genes: key, gene, start, end."""
     j = range_join(depth, genes, key, "pos", "start", "end", width)

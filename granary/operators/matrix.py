@@ -54,6 +54,35 @@ def modules(abundance: DataFrame, members: DataFrame, least: float = 0.5) -> Dat
     return out.where(F.col("completeness") >= least).select("module", "sample", "completeness", (F.col("_s") / F.col("_k")).alias("score"))
 
 
+def roll_up_terms(df: DataFrame, terms: str, sample: str, value: str, and_sep: str = ",", or_sep: str = "|", level_sep: str = ";") -> DataFrame:
+    """level (from 0), term, sample, value of features with several terms: each of those joined by AND gets the whole value, those joined by OR share it evenly.
+
+    A term's prefixes are its levels. Values are summed by term list first, so the fan-out is over distinct lists.
+    """
+    base = df.groupBy(terms, sample).agg(F.sum(value).alias("_v"))
+    every = F.array_distinct(F.filter(F.split(terms, f"\\Q{and_sep}\\E"), lambda x: x != ""))
+    each = base.select(sample, "_v", F.explode(every).alias("_a")).withColumn("_o", F.array_distinct(F.filter(F.split("_a", f"\\Q{or_sep}\\E"), lambda x: x != "")))
+    each = each.select(sample, (F.col("_v") / F.size("_o")).alias("_v"), F.explode("_o").alias("_t")).groupBy(sample, "_t").agg(F.sum("_v").alias("_v"))
+    parts = F.split("_t", f"\\Q{level_sep}\\E")
+    levels = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct((i - 1).alias("level"), F.array_join(F.slice(parts, 1, i), level_sep).alias("term")))
+    return each.select(sample, "_v", F.explode(levels).alias("_l")).groupBy("_l.level", "_l.term", sample).agg(F.sum("_v").alias(value))
+
+
+def module_reactions(abundance: DataFrame, members: DataFrame, least: float = 0.5, redundancy: int = 5) -> DataFrame:
+    """module, sample, completeness, score: a module is a list of reactions, a reaction is present if one of its features is.
+
+    Completeness is the share of reactions present, the score the mean over present reactions of their features' summed abundance; features of more than
+    ``redundancy`` modules are too common to tell and left out, as are modules under ``least``. abundance: feature, sample, value; members: module, reaction, feature.
+    """
+    m = members.distinct()
+    common = m.groupBy("feature").agg(F.countDistinct("module").alias("_k")).where(F.col("_k") > redundancy)
+    m = m.join(common, "feature", "left_anti")
+    size = m.groupBy("module").agg(F.countDistinct("reaction").alias("_n"))
+    hit = m.join(abundance.where("value > 0"), "feature").groupBy("module", "reaction", "sample").agg(F.sum("value").alias("_s"))
+    out = hit.groupBy("module", "sample").agg(F.count("*").alias("_k"), F.avg("_s").alias("score")).join(size, "module").withColumn("completeness", F.col("_k") / F.col("_n"))
+    return out.where(F.col("completeness") >= least).select("module", "sample", "completeness", "score")
+
+
 def profile(df: DataFrame, group: str, sample: str, value: str, members: DataFrame, least: int = 1) -> DataFrame:
     """Mean over all members of a group (absent: 0) for each sample; groups of under ``least`` members are dropped. members: group, feature."""
     size = members.groupBy(group).agg(F.countDistinct("feature").alias("_n")).where(F.col("_n") >= least)

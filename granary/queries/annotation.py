@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sequence
-from ..operators import annotation, bins, reports, selection, similarity, taxonomy
+from ..operators import annotation, bins, intervals, matrix, reports, selection, similarity, taxonomy
 from ..plans.registry import query, table
 
 _HITS = "(SELECT l_orderkey AS query, l_suppkey AS subject, l_quantity * 2 AS pident, l_linenumber * 40 + l_partkey % 50 AS aln_len, l_discount / 1e13 AS evalue, l_extendedprice / 100 AS bitscore, l_partkey FROM lineitem) h"
@@ -488,3 +488,42 @@ def m17_covered_lca(spark, d):
     s = table(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), F.array("r_name", "n_name", F.col("s_suppkey").cast("string")).alias("lineage"))
     x = table(spark, d, "lineitem").join(s, "l_suppkey").select("l_orderkey", "lineage", (100 - 100 * F.col("l_discount")).alias("pident"), "l_quantity", F.lit(30).alias("query_len"))
     return taxonomy.deepest(taxonomy.covered_lca(x, "l_orderkey", "lineage", "pident", "l_quantity", "query_len", least=20), "l_orderkey")
+
+
+@query("""
+WITH b AS (SELECT p_brand || ';' || p_type || CASE WHEN p_size % 3 = 0 THEN '|' || p_brand || ';X' ELSE '' END || CASE WHEN p_size % 5 = 0 THEN ',Y' ELSE '' END AS t, l_returnflag AS sample, l_quantity AS v FROM lineitem JOIN part ON l_partkey = p_partkey),
+a AS (SELECT sample, v, unnest(list_distinct(string_split(t, ','))) AS a FROM b), o AS (SELECT sample, v / len(list_distinct(string_split(a, '|'))) AS v, unnest(list_distinct(string_split(a, '|'))) AS o FROM a)
+SELECT CAST(i - 1 AS INTEGER) AS level, array_to_string(string_split(o, ';')[1:i], ';') AS term, sample, round(sum(v), 4) AS value FROM o, range(1, 3) t(i) WHERE i <= len(string_split(o, ';')) GROUP BY ALL""")
+def a11_term_levels(spark, d):
+    terms = F.expr("concat(p_brand, ';', p_type, if(p_size % 3 = 0, concat('|', p_brand, ';X'), ''), if(p_size % 5 = 0, ',Y', ''))")
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), terms.alias("terms"))
+    x = table(spark, d, "lineitem").join(p, "l_partkey").select("terms", F.col("l_returnflag").alias("sample"), F.col("l_quantity").alias("value"))
+    return matrix.roll_up_terms(x, "terms", "sample", "value").withColumn("value", F.round("value", 4))
+
+
+@query("""
+WITH m AS (SELECT DISTINCT p_brand AS module, p_size % 6 AS reaction, p_partkey % 150 AS feature FROM part), k AS (SELECT feature FROM m GROUP BY 1 HAVING count(DISTINCT module) > 12), f AS (SELECT * FROM m WHERE feature NOT IN (SELECT feature FROM k)),
+a AS (SELECT l_partkey % 150 AS feature, l_suppkey AS sample, sum(l_quantity) AS value FROM lineitem WHERE l_linenumber > 5 GROUP BY ALL), s AS (SELECT module, count(DISTINCT reaction) AS n FROM f GROUP BY 1),
+h AS (SELECT module, reaction, sample, sum(value) AS v FROM f JOIN a USING (feature) GROUP BY ALL), o AS (SELECT module, sample, count(*) AS k, avg(v) AS v FROM h GROUP BY ALL)
+SELECT module, sample, round(k / n, 6) AS completeness, round(v, 4) AS score FROM o JOIN s USING (module) WHERE k / n >= 0.5""")
+def a13_module_reactions(spark, d):
+    members = table(spark, d, "part").selectExpr("p_brand as module", "p_size % 6 as reaction", "p_partkey % 150 as feature")
+    abundance = table(spark, d, "lineitem").where("l_linenumber > 5").groupBy((F.col("l_partkey") % 150).alias("feature"), F.col("l_suppkey").alias("sample")).agg(F.sum("l_quantity").alias("value"))
+    return matrix.module_reactions(abundance, members, redundancy=12).select("module", "sample", F.round("completeness", 6).alias("completeness"), F.round("score", 4).alias("score"))
+
+
+@query("""
+SELECT gene, event_id, CAST(CASE WHEN gene % 2 = 0 THEN e - event_id + 1 ELSE event_id - s + 1 END AS BIGINT) AS place
+FROM (SELECT o_orderkey AS gene, o_custkey % 150 AS user_id, (o_orderkey * 7) % 9000 AS s, (o_orderkey * 7) % 9000 + o_orderkey % 400 AS e FROM orders) JOIN events USING (user_id) WHERE event_id BETWEEN s AND e""")
+def j09_relative_places(spark, d):
+    o = table(spark, d, "orders")
+    genes = o.select(F.col("o_orderkey").alias("gene"), (F.col("o_custkey") % 150).alias("user_id"), ((F.col("o_orderkey") * 7) % 9000).alias("s")).withColumn("e", F.col("s") + F.col("gene") % 400)
+    j = intervals.range_join(table(spark, d, "events").select("user_id", "event_id"), genes, ["user_id"], "event_id", "s", "e", 400)
+    strand = F.when(F.col("gene") % 2 == 0, "-").otherwise("+")
+    return j.select("gene", "event_id", intervals.relative_place(F.col("event_id"), F.col("s"), F.col("e"), strand).alias("place"))
+
+
+@query("SELECT s_suppkey, 'n' || s_nationkey || CASE WHEN k > 1 THEN '_' || k ELSE '' END AS name FROM (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS k FROM supplier)")
+def f09_unique_names(spark, d):
+    s = table(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("name"))
+    return sequence.unique_names(s, "name", "s_suppkey")

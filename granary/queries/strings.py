@@ -27,9 +27,11 @@ def f01_reverse_complement(spark, d):
     return sequences(spark, d).select("doc_id", seq.reverse_complement(F.col("s")).alias("rc"))
 
 
-@query(f"SELECT doc_id, translate(reverse(s), 'ACGT', 'TGCA') AS rc FROM {_SEQ}")
+@query("""
+SELECT doc_id, translate(reverse(regexp_replace(translate(lower(text), 'etaoinshrdlu', 'ACGTRYKMBVHD'), '[^A-Z]', '', 'g')), 'ACGTRYKMBVHD', 'TGCAYRMKVBDH') AS rc FROM documents""")
 def f02_iupac_reverse_complement(spark, d):
-    return sequences(spark, d).select("doc_id", seq.reverse_complement(F.col("s"), iupac=True).alias("rc"))
+    s = F.regexp_replace(F.translate(F.lower("text"), "etaoinshrdlu", "ACGTRYKMBVHD"), "[^A-Z]", "")
+    return table(spark, d, "documents").select("doc_id", seq.reverse_complement(s, iupac=True).alias("rc"))
 
 
 _CODON_CASE = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in seq.codon_table().items()) + "}"
