@@ -221,3 +221,44 @@ def test_url_query_equals_its_sql(spark):
     con.execute(f"create view pages as select * from '{d}/pages.parquet'")
     want = sorted(con.execute(queries.ORACLE_SQL["op1_url_filters"]).fetchall(), key=str)
     assert sorted((tuple(r) for r in queries.op1_url_filters(spark, d).collect()), key=str) == want
+
+
+def test_shared_folder(spark):
+    from types import SimpleNamespace
+
+    from granary.llm.common import shared_dir, tidy
+
+    def fake(master):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: default), sparkContext=sc)
+
+    assert shared_dir(fake("local[3]")).startswith("file:///") and shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_dir(fake(master))
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    with pytest.raises(KeyError), tidy(spark):
+        assert spark.conf.get(key) == "true"
+        raise KeyError
+    assert spark.conf.get(key) == before
+
+
+def test_positional_names(spark):
+    from granary.llm.common import Plain
+
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int").toDF("Text", "text", "Other")
+    p = Plain(df)
+    assert (p["text"], p["Text"], p["TEXT"], p["other"], p.find("none")) == ("c1", "c0", "c0", "c2", None)
+    out = p.back(p.df.withColumn("OTHER", F.lit(9)), "OTHER")
+    assert out.columns == ["Text", "text", "OTHER"] and tuple(out.first()) == (1, 2, 9)
+
+
+def test_filter_holds_every_key(spark):
+    from granary.llm.common import bit_filter
+
+    keys = spark.range(5000).select(F.xxhash64("id").alias("key"))
+    held = bit_filter(keys, bits=1 << 16)
+    assert keys.where(held.holds(F.col("key"))).count() == 5000
+    others = spark.range(10_000, 20_000).select(F.xxhash64("id").alias("key"))
+    assert others.where(held.holds(F.col("key"))).count() < 1000

@@ -97,3 +97,19 @@ def test_one_row_of_each_group_stays(spark):
     docs = spark.createDataFrame([(i, x, "en", "s", 1) for i, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = collections.Counter((r["doc_id"], r["text"] or "") for r in corpus_pipeline.simhash_near_dedup(spark, docs, "").collect())
     assert got == collections.Counter([(1, t), (None, u), (3, v), (3, "an unlike text under one id"), (None, "")])
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_stages_keep_every_column(spark, folder, limit):
+    """Clashing names, null ids, texts and sources, repeated rows and an empty table go through every stage."""
+    extra = ["TEXT", "Score", "k", "th", "Size", "c0", "mark"]
+    rows = [(i, None if i == 3 else f"line {i} of text\nsame line here\n" + " ".join(f"w{i}x{j}" for j in range(30)), None if i == 5 else "s", *["x"] * len(extra)) for i in range(12)]
+    rows += [rows[0], (None, rows[1][1], None, *["y"] * len(extra))]
+    docs = spark.createDataFrame(rows, ", ".join(f"a{i} {'long' if i == 0 else 'string'}" for i in range(3 + len(extra)))).toDF("doc_id", "text", "source", *extra)
+    docs = docs if limit is None else docs.limit(limit)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString(), name
+        n = out.count()
+        assert n == 0 if limit == 0 else n > 0, name
+    assert corpus_pipeline.bpe_round_trip(spark, docs, folder).count() == docs.count()
