@@ -5,7 +5,7 @@ source quotas: the first use of a word costs nothing, every repetition more than
 fills the quotas repeats as little as it can. Sources that share no document with another need no flow: their one pattern fills the quota. Only the
 patterns' totals reach the driver, a row a pattern; tables of more than ``max_patterns`` patterns are joined, not broadcast.
 
-Each copy of a pattern is cut after the flow's words in seeded order. The cut's place comes from a histogram over ``buckets`` hash
+Each copy of a pattern is cut in seeded order, after the words that the flow gives to each source. The cut's place comes from a histogram over ``buckets`` hash
 ranges of each pattern, then running sums inside the one range that it falls into, so no task holds a pattern; the documents themselves are
 not shuffled. Whole documents are taken, so what a source takes misses its quota by less than one document for each copy.
 
@@ -133,7 +133,7 @@ def route(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int], copies
 
 
 def mix_sources(docs: DataFrame, members: Column, size: Column, key: str = "doc_id", seed: str = "mix", weights: tuple[float, ...] = (5, 2, 1), total_share: float = 1.5, copies: int = 2, buckets: int = 4096, max_patterns: int = 4096) -> DataFrame:
-    """docs with _members (sorted array of source names), size, source_size, target, copies and taken.
+    """docs with _members (sorted array of source names), size, source_size, target, copies, taken and serves (the source that each copy's words go to).
 
     With one source a document, source_size and target are that source's; with several they are sums over its sources.
     """
@@ -158,24 +158,32 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, key: str = "doc_
     targets = share_targets(sizes, weights, total_share * all_words / max(1, sum(sizes.values())), copies)
     order = list(targets)
     at = {s: i for i, s in enumerate(order)}
-    room = [[0] * copies for _ in patterns]
-    for x in route([(tuple(at[s] for s in m), words) for _, m, _, words in patterns], [round(targets[s]) for s in order], copies):
-        room[x.pattern][x.copy] += x.words
+    shares = route([(tuple(at[s] for s in m), words) for _, m, _, words in patterns], [round(targets[s]) for s in order], copies)
+    # Each copy's words go to one source after another: where a source's part of them ends, as pattern, copy, running total and source.
+    bounds, room = [], {}
+    for x in sorted(shares, key=lambda x: (x.pattern, x.copy, x.source)):
+        room[x.pattern, x.copy] = room.get((x.pattern, x.copy), 0) + x.words
+        bounds.append((patterns[x.pattern][2], x.copy, room[x.pattern, x.copy], order[x.source]))
 
     def few(df: DataFrame) -> DataFrame:
         """A table of a few rows a pattern: broadcast up to max_patterns, beyond that Spark decides."""
         return F.broadcast(df) if len(patterns) <= max_patterns else df
 
-    flow = spark.createDataFrame([(k, c, room[i][c]) for i, (_, _, k, _) in enumerate(patterns) for c in range(copies)], "k string, copy int, room long")
+    flow = spark.createDataFrame([b[:3] for b in bounds], "k string, copy int, room long")
     # The range that each cut falls into, then the hash inside that range at which the room ends: a row a pattern and copy.
     upto = F.sum("n").over(W.partitionBy("k").orderBy("bucket").rowsBetween(W.unboundedPreceding, 0))
     ranges = sums.select("k", "bucket", "n", upto.alias("upto")).join(few(flow), "k")
     ranges = ranges.where("upto >= room and upto - n < room").select("k", "copy", "room", "bucket", (F.col("upto") - F.col("n")).alias("offset"))
     inside = slim.join(few(ranges), ["k", "bucket"]).groupBy("k", "bucket", "copy", "room", "offset", "h").agg(F.count("*").alias("rows"), F.sum("size").alias("words"))
-    start = F.sum("words").over(W.partitionBy("k", "bucket", "copy").orderBy("h").rowsBetween(W.unboundedPreceding, -1))
+    start = F.sum("words").over(W.partitionBy("k", "bucket", "copy", "room").orderBy("h").rowsBetween(W.unboundedPreceding, -1))
     inside = inside.withColumn("start", F.col("offset") + F.coalesce(start, F.lit(0))).where("start < room")
-    cuts = {(r["k"], r["copy"]): r["cut"] for r in inside.groupBy("k", "copy").agg(F.max(F.struct("h", "rows", "words", "start", "room")).alias("cut")).collect()}
+    cut_at = {(r["k"], r["copy"], r["room"]): r["cut"] for r in inside.groupBy("k", "copy", "room").agg(F.max(F.struct("h", "rows", "words", "start", "room")).alias("cut")).collect()}
     drop(slim)
+    ends: dict[str, list] = {}
+    for k_, c, total, s in bounds:
+        if (k_, c, total) in cut_at:
+            ends.setdefault(k_, []).append((c, cut_at[k_, c, total]["h"], s))
+    cuts = {(k_, c): cut_at[k_, c, total] for k_, c, total, _ in bounds if (k_, c, total) in cut_at}  # the last bound of a copy
     # Of equal rows at a cut, as many are taken as begin within the room.
     parted = []
     for (name_, c), x in cuts.items():
@@ -184,25 +192,26 @@ def mix_sources(docs: DataFrame, members: Column, size: Column, key: str = "doc_
             parted.append((name_, x["h"], c, taken))
     split = {(name_, c): t for name_, _, c, t in parted}
     plan = spark.createDataFrame(
-        [(k, float(sum(targets[s] for s in m)), sum(sizes[s] for s in m), [cuts[k, c]["h"] if (k, c) in cuts else -1 for c in range(copies)], [split.get((k, c)) for c in range(copies)]) for _, m, k, _ in patterns],
-        "k string, target double, source_size long, last array<long>, first_rows array<long>",
+        [(k, float(sum(targets[s] for s in m)), sum(sizes[s] for s in m), [cuts[k, c]["h"] if (k, c) in cuts else -1 for c in range(copies)], [split.get((k, c)) for c in range(copies)], ends.get(k, [])) for _, m, k, _ in patterns],
+        "k string, target double, source_size long, last array<long>, first_rows array<long>, ends array<struct<copy: int, h: long, source: string>>",
     )
     rows = keyed.join(few(plan), "k")
-    uses = F.expr("size(filter(last, x -> h <= x))")
-    out = rows.withColumn("copies", uses)
+    every = f"sequence(0, {copies - 1})"
+    out = rows.withColumn("uses", F.expr(f"filter({every}, c -> h <= last[c])"))
     if parted:
         equal = F.expr("exists(arrays_zip(last, first_rows), x -> x.last = h and x.first_rows is not null)")
         one = rows.where(equal).groupBy("k", "h").agg(F.first(F.struct(*[c for c in rows.columns if c not in ("k", "h")])).alias("row"), F.count("*").alias("rows"))
         one = one.select("k", "h", "rows", "row.*").withColumn("run", F.explode(F.expr(f"sequence(0L, (rows - 1) div {RUN})")))
         one = one.withColumn("i", F.explode(F.expr(f"sequence(run * {RUN}, least((run + 1) * {RUN}, rows) - 1)")))
-        uses = F.expr("size(filter(arrays_zip(last, first_rows), x -> h < x.last or (h = x.last and (x.first_rows is null or i < x.first_rows))))")
-        out = out.where(~equal).unionByName(one.withColumn("copies", uses).select(*out.columns))
-    out = out.withColumns({"taken": F.col("size") * F.col("copies"), "_members": F.from_json("k", "m array<string>")["m"]})
-    return p.back(out, "_members", "size", "source_size", "target", "copies", "taken")
+        uses = F.expr(f"filter({every}, c -> h < last[c] or (h = last[c] and (first_rows[c] is null or i < first_rows[c])))")
+        out = out.where(~equal).unionByName(one.withColumn("uses", uses).select(*out.columns))
+    serves = F.expr("transform(uses, c -> get(filter(ends, x -> x.copy = c and h <= x.h), 0).source)")
+    out = out.withColumns({"copies": F.size("uses"), "serves": serves, "_members": F.from_json("k", "m array<string>")["m"]})
+    return p.back(out.withColumn("taken", F.col("size") * F.col("copies")), "_members", "size", "source_size", "target", "copies", "taken", "serves")
 
 
 def mix_documents(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **kw) -> DataFrame:
     """mix_sources for documents of one source each."""
     p = Plain(docs)
     mixed = mix_sources(p.df, F.array(F.col(p[source])), F.size(words_of(F.col(p[text]))), p[key], **kw)
-    return p.back(mixed, "_members", "size", "source_size", "target", "copies", "taken")
+    return p.back(mixed, "_members", "size", "source_size", "target", "copies", "taken", "serves")

@@ -108,17 +108,21 @@ def test_mix_of_overlapping_sources(spark):
     rows = [(i, " ".join(["w"] * int(rng.integers(1, 9))), kinds[i % 6] + kinds[i % 6][:1]) for i in range(1200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, of array<string>")
     got = op9_mix.mix_sources(docs, F.col("of"), F.size(F.split("text", " "))).collect()
-    words, total, used = collections.Counter(), collections.Counter(), 0
+    words, total, served, used = collections.Counter(), collections.Counter(), collections.Counter(), 0
     for r in got:
         assert r["_members"] == sorted(set(kinds[r["doc_id"] % 6]))
         for s in r["_members"]:
             total[s] += r["size"]
         used += r["taken"]
         words[tuple(r["_members"])] += r["taken"]
+        assert len(r["serves"]) == r["copies"] and set(r["serves"]) <= set(r["_members"])
+        for s in r["serves"]:
+            served[s] += r["size"]
     targets = op9_mix.share_targets(dict(total), total_share=1.5 * sum(r["size"] for r in got) / sum(total.values()))
     assert abs(used - sum(targets.values())) <= 200  # a cut misses by less than a document for each pattern and copy
     for s in targets:  # what can serve a source is at least its target
         assert sum(n for m, n in words.items() if s in m) >= targets[s] - 100
+        assert abs(served[s] - targets[s]) <= 100
 
 
 def test_route_equals_flow():
