@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -45,7 +46,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not set_dir:
         if not re.fullmatch(r"local(\[.*\])?", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        set_dir = "file://" + tempfile.mkdtemp(prefix="granary-shared-")
+        own = tempfile.mkdtemp(prefix="granary-shared-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        set_dir = "file://" + own
         sc.setCheckpointDir(set_dir)
     return set_dir.rstrip("/")
 
