@@ -20,13 +20,15 @@ lines and remove none; ids may be of any orderable type; an empty table gives no
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, Plain, bit_filter, checkpointed, drop, materialize, one_row, tidy
+from .common import SPACE_CLASS, Plain, bit_filter, checkpointed, drop, materialize, one_row, settle, tidy
 
-COUNTER_BITS, LEADERS = 18, 4
+COUNTER_BITS, LEADERS, PARTS = 18, 4, 2
 PLACE = ["doc", "th", "line_no"]
 
 
@@ -92,11 +94,12 @@ def _led(sets: DataFrame, num: int, den: int) -> DataFrame:
     return rows.join(leads, "k").where((F.col("o_doc") < F.col("doc")) & _near(num, den)).select("set", "o_set").distinct()
 
 
-def _joined(probes: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """set and o_set: pairs of a probe and another set that share a token of their prefixes and pass all filters."""
+def _joined(probes: DataFrame, sets: DataFrame, num: int, den: int, part: int) -> DataFrame:
+    """set and o_set: pairs of a probe and another set that share a token of one part of all tokens in their prefixes and pass all filters."""
     at = "shiftleft(cast(n as bigint), 32) | pos"
-    b = probes.select("set", "n", "sig", F.posexplode("prefix").alias("pos", "token")).select("token", "set", "sig", F.expr(at).alias("at"))
-    a = sets.select("set", "n", "sig", F.posexplode("prefix").alias("pos", "token")).select("token", F.col("set").alias("o_set"), F.col("sig").alias("o_sig"), F.expr(at).alias("o_at"))
+    rows = lambda x: x.select("set", "n", "sig", F.posexplode("prefix").alias("pos", "token")).where(F.pmod("token", F.lit(PARTS)) == part)
+    b = rows(probes).select("token", "set", "sig", F.expr(at).alias("at"))
+    a = rows(sets).select("token", F.col("set").alias("o_set"), F.col("sig").alias("o_sig"), F.expr(at).alias("o_at"))
     n, o_n = "cast(shiftright(at, 32) as int)", "cast(shiftright(o_at, 32) as int)"
     fits = (
         f"set != o_set and {den} * least({n}, {o_n}) >= {num} * greatest({n}, {o_n}) and bit_count(sig ^ o_sig) <= {n} + {o_n} - 2 * {_need(num, den, n, o_n)} "
@@ -133,9 +136,13 @@ def _removed(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
         lines = materialize(whole.select(*PLACE, "set"))
         drop(whole)
         proven = _proven(checkpointed(_led(sets, num, den)), sets, docs, num, den, True)
+        settle(docs.sparkSession)
         held = bit_filter(proven.select(F.col("set").alias("key"))).holds(F.col("set"))
         probes = sets.where(~held).union(sets.where(held).join(proven, "set", "left_anti"))
-        found = proven.union(_proven(checkpointed(_joined(probes, sets, num, den)), sets, docs, num, den, False))
+        # One part of the tokens after another: the join's rows are the most that is on disk at once.
+        joined = [checkpointed(_joined(probes, sets, num, den, part)) for part in range(PARTS)]
+        pairs = checkpointed(reduce(DataFrame.union, joined).distinct())
+        found = proven.union(_proven(pairs, sets, docs, num, den, False))
         held = bit_filter(found.select(F.col("set").alias("key"))).holds(F.col("set"))
         maybe = sets.where(held).join(found.withColumn("gone", F.lit(True)), "set", "left").select("set", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
         placed = sets.where(~held).select("set", "first", F.lit(False).alias("gone")).union(maybe)
