@@ -75,8 +75,7 @@ def base_counts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
         F.regexp_count("_text", F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        # No partition has a negative number: this only keeps a later filter from being pushed down, which would copy the array expressions into each other.
-        F.when(F.spark_partition_id() < 0, F.lit(0).cast("long")).otherwise(F.expr(_COVER)).alias("n_repeat_words"),
+        F.expr(_COVER).alias("n_repeat_words"),
     )
     return t.withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words"))
 
