@@ -85,6 +85,11 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def settle(spark: SparkSession) -> None:
+    """Let the driver's JVM collect what finished queries have left, plan trees and texts, between phases of many queries; no result depends on it."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df cut off from its lineage by a checkpoint in the shared folder."""
     sc = df.sparkSession.sparkContext

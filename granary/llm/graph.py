@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, settle
 
 
 def _sign(e: DataFrame) -> tuple:
@@ -28,6 +28,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = checkpointed(small.union(low.select("u", F.col("m").alias("v"))).distinct())
         e, before, sign = after, sign, _sign(after)
+        settle(e.sparkSession)
         if sign == before:
             roots = e.select(F.col("v").alias("node")).distinct().withColumn("label", F.col("node"))
             return e.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots)

@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Plain
+from .common import Plain, settle
 
 BUCKETS, DIM, FILTERS, WIDTHS = 1 << 18, 8, 8, (1, 2, 3)
-MAX_FIT_ROWS, MAX_FIT_WORDS, MAX_FIT_CHARS, EPOCHS, BLOCK, MEMO = 6000, 2000, 16_000, 4, 1 << 15, 1 << 19
+MAX_FIT_ROWS, MAX_FIT_WORDS, MAX_FIT_CHARS, EPOCHS, BLOCK, MEMO = 6000, 2000, 16_000, 4, 1 << 15, 1 << 17
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -238,6 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     got = _sample(slim, _labelled(labels, label_key, label, 0), max_fit_rows)
     pairs = [(x, r["y"]) for x, r in zip(encode([r["text"] for r in got]), got, strict=True) if x is not None]
     del got
+    settle(docs.sparkSession)
     model = train([x for x, _ in pairs], [y for _, y in pairs])
     del pairs
     counts = _counts(slim, _labelled(labels, label_key, label, 2), model) if model.trained else {}
