@@ -2,8 +2,9 @@
 
 A line's tokens are ordered by rarity: frequencies of all words, counted by hash range, give each token a class, and a token is a long with its class
 on top and 57 bits of XXH64 below, so sorting the longs sorts by rarity. Lines with equal token sets are one set, placed at their first line.
-Sets that can reach the threshold share a token of their prefixes; of those that do, length, positional and parity filters (64 bits of
-token parities: their Hamming distance is at most the symmetric difference) leave few, whose tokens are then compared exactly.
+Sets that can reach the threshold share a token of their prefixes; of those that do, length, positional and parity filters (bits of token
+parities: their Hamming distance is at most the symmetric difference) leave few, whose tokens are then compared exactly. 64 bits tell sets of up to
+some 100 tokens apart; sets of ``LONG`` tokens and more have WORDS times as many, which fold to 64 where one partner is shorter.
 
 Crowds of near-equal lines stay linear: each set is first held against a few leaders, the earliest sets (one in each of ``LEADERS`` hash ranges of sets)
 with the same smallest or largest token hash of the prefix. Sets that a leader proves need no other partner; only the others probe the full prefix
@@ -28,8 +29,9 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, Plain, bit_filter, checkpointed, drop, materialize, one_row, settle, tidy
 
-COUNTER_BITS, LEADERS, PARTS = 18, 4, 2
+COUNTER_BITS, LEADERS, PARTS, LONG, WORDS = 18, 4, 4, 64, 4
 PLACE = ["doc", "th", "line_no"]
+SIGS = [f"sig{k}" for k in range(WORDS)]
 
 
 def _parts(line: Column) -> Column:
@@ -63,16 +65,21 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def line_sets(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """doc, th, line_no, n, set, sig and prefix (32-bit names of the rarest tokens) of each line with a word; docs: doc, th, text."""
+    """doc, th, line_no, n, set, SIGS and prefix (32-bit names of the rarest tokens) of each line with a word; docs: doc, th, text.
+
+    Sets of under LONG tokens have all their parities in the first of SIGS and zeros in the others.
+    """
     hashed = _lines(docs).select(*PLACE, _hashes(F.col("line")).alias("hashes"), classes.scalar().alias("classes"))
     low = F.lit((1 << COUNTER_BITS) - 1)
     token = F.transform("hashes", lambda h: F.shiftleft(F.get("classes", h.bitwiseAND(low).cast("int")).cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7)))
     t = hashed.select(*PLACE, F.sort_array(token).alias("toks"))
-    parity = F.expr("aggregate(toks, 0L, (a, x) -> a ^ shiftleft(1L, cast(x & 63 as int)))")
-    n = "size(toks)"
+    n, bit = "size(toks)", "shiftleft(1L, cast(x & 63 as int))"
+    word = lambda k: f"aggregate(toks, 0L, (a, x) -> if((x & {64 * (WORDS - 1)}) = {64 * k}, a ^ {bit}, a))"
+    short = [f"aggregate(toks, 0L, (a, x) -> a ^ {bit})", *["0L"] * (WORDS - 1)]
+    parity = [F.expr(f"if({n} < {LONG}, {short[k]}, {word(k)})").alias(c) for k, c in enumerate(SIGS)]
     other = f"{den} * {n} >= {num} * ({n} + 1)"  # the closest set of another size has one token more
     prefix = F.expr(f"transform(slice(toks, 1, if({other}, {n} - (({num} * {n} + {den - 1}) div {den}) + 1, 0)), x -> hash(x))")
-    return t.select(*PLACE, F.expr(n).alias("n"), F.xxhash64("toks").alias("set"), parity.alias("sig"), prefix.alias("prefix"))
+    return t.select(*PLACE, F.expr(n).alias("n"), F.xxhash64("toks").alias("set"), *parity, prefix.alias("prefix"))
 
 
 def _need(num: int, den: int, n: str = "n", o_n: str = "o_n") -> str:
@@ -80,29 +87,31 @@ def _need(num: int, den: int, n: str = "n", o_n: str = "o_n") -> str:
     return f"(({num} * ({n} + {o_n}) + {num + den - 1}) div {num + den})"
 
 
-def _near(num: int, den: int) -> Column:
-    """Length and parity filters on n, o_n, sig, o_sig."""
-    return F.expr(f"{den} * least(n, o_n) >= {num} * greatest(n, o_n) and bit_count(sig ^ o_sig) <= n + o_n - 2 * {_need(num, den)}")
+def _near(num: int, den: int, n: str = "n", o_n: str = "o_n") -> str:
+    """Length and parity filters on n, o_n, SIGS and those of the other set."""
+    folded = f"bit_count({' ^ '.join(f'{c} ^ o_{c}' for c in SIGS)})"
+    apart = f"if(least({n}, {o_n}) < {LONG}, {folded}, {' + '.join(f'bit_count({c} ^ o_{c})' for c in SIGS)})"
+    return f"{den} * least({n}, {o_n}) >= {num} * greatest({n}, {o_n}) and {apart} <= {n} + {o_n} - 2 * {_need(num, den, n, o_n)}"
 
 
 def _led(sets: DataFrame, num: int, den: int) -> DataFrame:
     """set and o_set: pairs of a set and a leader from an earlier document that pass the filters."""
     keys = F.explode(F.array_distinct(F.array(F.array_min("prefix"), F.array_max("prefix")))).alias("k")
-    rows = sets.where("size(prefix) > 0").select("set", F.col("first.doc").alias("doc"), "n", "sig", keys)
-    leads = rows.groupBy("k", F.pmod("set", F.lit(LEADERS)).alias("part")).agg(F.min(F.struct("doc", "set", "n", "sig")).alias("lead"))
-    leads = leads.select("k", *[F.col(f"lead.{c}").alias(f"o_{c}") for c in ("doc", "set", "n", "sig")])
-    return rows.join(leads, "k").where((F.col("o_doc") < F.col("doc")) & _near(num, den)).select("set", "o_set").distinct()
+    rows = sets.where("size(prefix) > 0").select("set", F.col("first.doc").alias("doc"), "n", *SIGS, keys)
+    leads = rows.groupBy("k", F.pmod("set", F.lit(LEADERS)).alias("part")).agg(F.min(F.struct("doc", "set", "n", *SIGS)).alias("lead"))
+    leads = leads.select("k", *[F.col(f"lead.{c}").alias(f"o_{c}") for c in ("doc", "set", "n", *SIGS)])
+    return rows.join(leads, "k").where(f"o_doc < doc and {_near(num, den)}").select("set", "o_set").distinct()
 
 
 def _joined(probes: DataFrame, sets: DataFrame, num: int, den: int, part: int) -> DataFrame:
     """set and o_set: pairs of a probe and another set that share a token of one part of all tokens in their prefixes and pass all filters."""
     at = "shiftleft(cast(n as bigint), 32) | pos"
-    rows = lambda x: x.select("set", "n", "sig", F.posexplode("prefix").alias("pos", "token")).where(F.pmod("token", F.lit(PARTS)) == part)
-    b = rows(probes).select("token", "set", "sig", F.expr(at).alias("at"))
-    a = rows(sets).select("token", F.col("set").alias("o_set"), F.col("sig").alias("o_sig"), F.expr(at).alias("o_at"))
+    rows = lambda x: x.select("set", "n", *SIGS, F.posexplode("prefix").alias("pos", "token")).where(F.pmod("token", F.lit(PARTS)) == part)
+    b = rows(probes).select("token", "set", *SIGS, F.expr(at).alias("at"))
+    a = rows(sets).select("token", F.col("set").alias("o_set"), *[F.col(c).alias(f"o_{c}") for c in SIGS], F.expr(at).alias("o_at"))
     n, o_n = "cast(shiftright(at, 32) as int)", "cast(shiftright(o_at, 32) as int)"
     fits = (
-        f"set != o_set and {den} * least({n}, {o_n}) >= {num} * greatest({n}, {o_n}) and bit_count(sig ^ o_sig) <= {n} + {o_n} - 2 * {_need(num, den, n, o_n)} "
+        f"set != o_set and {_near(num, den, n, o_n)} "
         f"and 1 + least({n} - cast(at & 4294967295L as int) - 1, {o_n} - cast(o_at & 4294967295L as int) - 1) >= {_need(num, den, n, o_n)}"
     )
     return b.join(a, "token").where(fits).select("set", "o_set").distinct()
@@ -132,7 +141,7 @@ def _removed(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
         whole = line_sets(docs, classes, num, den)
         whole = materialize(whole.where(F.col("n") >= min_tokens) if min_tokens > 1 else whole)
         first = F.min(F.struct(*PLACE)).alias("first")
-        sets = checkpointed(whole.groupBy("set").agg(first, F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("prefix").alias("prefix")))
+        sets = checkpointed(whole.groupBy("set").agg(first, F.first("n").alias("n"), *[F.first(c).alias(c) for c in SIGS], F.first("prefix").alias("prefix")))
         lines = materialize(whole.select(*PLACE, "set"))
         drop(whole)
         proven = _proven(checkpointed(_led(sets, num, den)), sets, docs, num, den, True)
