@@ -18,7 +18,7 @@ from granary.llm.op7_toxicity import score_table
 from granary.llm.op9_mix import mix_documents
 from granary.llm.queries import default_pattern, default_vocabulary
 
-#: Near-duplicates share NEAR_SHARE[0] / NEAR_SHARE[1] of their shingles of NEAR_WORDS words. NEAR_BITS, the limit of an earlier SimHash rule, links nothing any more.
+#: Near-duplicates share NEAR_SHARE[0] / NEAR_SHARE[1] of their shingles of NEAR_WORDS words. NEAR_BITS, the limit of an earlier SimHash rule, links nothing any more: fingerprints give candidates, shares decide.
 NEAR_WORDS, NEAR_SHARE, NEAR_BITS = 5, (4, 5), 8
 
 
@@ -37,7 +37,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates one row stays, that with the smallest id; rows without an id come last."""
+    """Of each group of near-duplicates (SimHash candidates, then a prefix join's; exact shares) one row stays, that with the smallest id; rows without an id come last."""
     return first_copies(docs, "doc_id", "text", NEAR_WORDS, *NEAR_SHARE)
 
 

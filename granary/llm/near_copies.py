@@ -1,11 +1,12 @@
-"""Near-copies by an exact set-similarity join (Jaccard of word shingles, num/den or more).
+"""Near-copies by SimHash and an exact set-similarity join (Jaccard of word shingles, num/den or more).
 
 A document's set holds the 64-bit XXH64 of its shingles; two shingles of one hash count as equal. Documents with equal sets are one node, so copies never
 pair up. Shingles are ordered by rarity (the frequency of their hash range, then the hash): sets that reach the threshold share one of their
 n - ceil(n * num / den) + 1 rarest shingles, so nodes that meet in one and pass the length and positional filters are candidates, and the whole sets decide.
 
-Crowds of near copies are joined first: every set is held against a few leaders, the smallest sets with one of its min-hashes, and the links found
-give labels. In the prefix join only sets of different labels pair up, so a group of k near copies gives about k links and not all pairs; what is
+SimHash goes first: sets whose fingerprints are equal or meet in op2_simhash's grid at ``FP_BITS`` or fewer differing bits are candidates, and so are each set
+and a few leaders, the smallest sets with one of its min-hashes. The whole sets decide here too, and the links found give labels. Near copies whose
+fingerprints lie further apart are left to the prefix join, where only sets of different labels pair up, so a group of k near copies gives about k links and not all pairs; what is
 asked for are groups, and a link inside a label changes none. No group is lost and none is joined below the threshold.
 
 Defined cases: words are runs between ASCII white space, ASCII letters in lower case; under ``size`` words: one shingle, the whole sequence; a null
@@ -26,8 +27,9 @@ from pyspark.sql import Window as W
 
 from .common import Plain, bit_filter, checkpointed, drop, materialize, settle, tidy
 from .graph import components
+from .op2_simhash import BLOCK, bit_sums, majority, near_links
 
-COUNTERS, BLOCK, SEED, LEADS, LEADERS = 1 << 17, 1 << 15, 42, 6, 2
+COUNTERS, SEED, LEADS, LEADERS, FP_BITS = 1 << 20, 42, 6, 2, 4
 
 
 def shingle_set(text: str | None, size: int) -> np.ndarray:
@@ -56,8 +58,25 @@ def min_hashes(s: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+def fingerprint_of(s: np.ndarray) -> int:
+    """SimHash of a set of shingles."""
+    return majority(sum((bit_sums(s[k : k + BLOCK]) for k in range(0, len(s), BLOCK)), np.zeros(64, np.int64)), len(s))
+
+
+def parities(s: np.ndarray) -> bytes:
+    """Which ranges of hashes hold an odd number of a set's shingles: a power of two bits, twice as many as shingles or more, 256 at least."""
+    bits = max(256, 1 << (2 * len(s) - 1).bit_length())
+    return np.packbits(np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def apart(a: bytes, b: bytes) -> int:
+    """At most the symmetric difference of two sets, from their parities; the longer ones fold to the length of the shorter ones."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    return int(np.bitwise_count(x ^ np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)).sum())
+
+
 def shingle_sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """key, mark (a hash of the text), set (the 64-bit name of the set), n, leads (min_hashes) and shingles, the set as bytes, of every row."""
+    """key, mark (a hash of the text), set (the 64-bit name of the set), n, fp (its fingerprint), leads (min_hashes) and shingles, the set as bytes, of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as digest
@@ -69,15 +88,19 @@ def shingle_sets(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
                 raw = [s.tobytes() for s in sets]
                 name = np.array([digest(r, SEED) for r in raw], np.uint64).view(np.int64)
                 leads = pa.array([min_hashes(s) for s in sets], pa.list_(pa.int64()))
-                columns = [part["_key"], part["_mark"], pa.array(name), pa.array([len(s) for s in sets], pa.int32()), leads, pa.array(raw, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "mark", "set", "n", "leads", "shingles"])
+                fp = pa.array(np.array([fingerprint_of(s) for s in sets], np.uint64).view(np.int64))
+                columns = [part["_key"], part["_mark"], pa.array(name), pa.array([len(s) for s in sets], pa.int32()), fp, leads, pa.array(raw, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "mark", "set", "n", "fp", "leads", "shingles"])
 
     slim = docs.select(F.col(key).cast("long").alias("_key"), F.xxhash64(text).alias("_mark"), F.col(text).alias("_text"))
-    return slim.mapInArrow(run, "key long, mark long, set long, n int, leads array<long>, shingles binary")
+    return slim.mapInArrow(run, "key long, mark long, set long, n int, fp long, leads array<long>, shingles binary")
 
 
 def _rarity(sets: DataFrame) -> np.ndarray:
-    """For each hash range the class (0 to 63) of its frequency over the sets; COUNTERS numbers at most reach the driver."""
+    """For each hash range the class (0 to 63) of its frequency over the sets; at most COUNTERS places and classes, 5 MB, reach the driver.
+
+    Ranges hold many shingles each in a large corpus; the more there are, the surer passages that many sets share come last and stay out of prefixes.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = np.zeros(COUNTERS, np.int64)
@@ -87,12 +110,26 @@ def _rarity(sets: DataFrame) -> np.ndarray:
         at = np.flatnonzero(c)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(c[at])], ["i", "c"])
 
-    found = sets.select("shingles").mapInArrow(count, "i int, c long").groupBy("i").agg(F.sum("c").alias("c")).toArrow()
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            level = np.minimum(63, np.floor(2 * np.log2(x["c"].to_numpy()))).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in (x["i"].to_numpy(), level)], ["i", "level"])
+
+    summed = sets.select("shingles").mapInArrow(count, "i int, c long").groupBy("i").agg(F.sum("c").alias("c"))
     out = np.zeros(COUNTERS, np.uint8)
-    out[found["i"].to_numpy()] = np.minimum(63, np.floor(2 * np.log2(found["c"].to_numpy())))
+    for r in summed.mapInArrow(pack, "i binary, level binary").toArrow().to_pylist():
+        out[np.frombuffer(r["i"], np.int32)] = np.frombuffer(r["level"], np.uint8)
     return out
 
 
+def _fingerprint_pairs(sets: DataFrame) -> DataFrame:
+    """Pairs a, b of sets whose fingerprints are equal (each with the smallest such set) or link within FP_BITS bits."""
+    nodes = checkpointed(sets.groupBy("fp").agg(F.min("set").alias("lead")))
+    same = sets.select("set", "fp").join(nodes, "fp").where("set != lead").select("set", "lead")
+    links = near_links(nodes, FP_BITS).join(nodes.toDF("a", "set"), "a").join(nodes.toDF("b", "lead"), "b").select("set", "lead")
+    return same.union(links).select(F.least("set", "lead").alias("a"), F.greatest("set", "lead").alias("b"))
+
+
 def _led(sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs a, b of a set and a leader: the smallest set, in each of LEADERS hash ranges, with one of its min-hashes."""
     rows = sets.select("set", "n", F.posexplode("leads").alias("k", "value"))
@@ -188,21 +225,20 @@ def _overlaps(x: pa.RecordBatch) -> np.ndarray:
 def _reach(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs whose whole sets reach num/den; sets: set, n, shingles.
 
-    A quarter of the sets, by hash, goes first: what it shares and what its rest could share at most bounds the overlap, and only pairs that may still
-    reach the threshold have their whole sets brought together.
+    The parities of the sets go first: their Hamming distance is at most the symmetric difference, and only pairs that may still reach the
+    threshold have their whole sets brought together.
     """
 
-    def quarter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            some = [s[(s & np.uint64(3)) == 0].tobytes() for s in (np.frombuffer(r.as_py(), np.uint64) for r in x["shingles"])]
+            some = [parities(np.frombuffer(r.as_py(), np.uint64)) for r in x["shingles"]]
             yield pa.RecordBatch.from_arrays([x["set"], x["n"], pa.array(some, pa.binary())], ["set", "n", "shingles"])
 
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
             n, m = (x[c].to_numpy().astype(np.int64) for c in ("n", "m"))
-            k, j = (np.array([len(r.as_py()) // 8 for r in x[c]], np.int64) for c in ("s", "t"))
-            most = _overlaps(x) + np.minimum(n - k, m - j)
-            yield x.select(["a", "b"]).filter(pa.array(den * most >= num * (n + m - most), pa.bool_()))
+            differ = np.array([apart(s.as_py(), t.as_py()) for s, t in zip(x["s"], x["t"], strict=True)], np.int64)
+            yield x.select(["a", "b"]).filter(pa.array(differ <= n + m - 2 * -(-num * (n + m) // (num + den)), pa.bool_()))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
@@ -210,7 +246,7 @@ def _reach(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             both = _overlaps(x)
             yield x.select(["a", "b"]).filter(pa.array(den * both >= num * (n + m - both), pa.bool_()))
 
-    thin = sets.select("set", "n", "shingles").mapInArrow(quarter, "set long, n int, shingles binary")
+    thin = sets.select("set", "n", "shingles").mapInArrow(small, "set long, n int, shingles binary")
     left = checkpointed(_joined(pairs, thin).mapInArrow(may, "a long, b long"))
     return _joined(left, sets).mapInArrow(verify, "a long, b long")
 
@@ -228,10 +264,11 @@ def near_groups(rows: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """node (a set) and label (the smallest set that links reach) of sets with a link; rows: the table of shingle_sets, materialized."""
     names = rows.select("set").groupBy("set").count().where("count > 1").select("set")
     several = bit_filter(names.select(F.col("set").alias("key"))).holds(F.col("set"))
-    columns = ["set", "n", "leads", "shingles"]
+    columns = ["set", "n", "fp", "leads", "shingles"]
     # One row a set; only sets that more than one row may have move.
     sets = rows.where(~several).select(*columns).union(rows.where(several).select(*columns).dropDuplicates(["set"])).where("n > 0")
-    led = checkpointed(_reach(checkpointed(_led(sets, num, den)), sets, num, den))
+    met = checkpointed(_fingerprint_pairs(sets).union(_led(sets, num, den)).distinct())
+    led = checkpointed(_reach(met, sets, num, den))
     settle(rows.sparkSession)
     labels = checkpointed(_labels(led))
     known = bit_filter(labels.select(F.col("set").alias("key"))).holds(F.col("set"))

@@ -31,6 +31,16 @@ from .graph import components
 SHINGLE, SEED, BLOCK, SMALL, CROWD = 4, 42, 1 << 15, 48, 2048
 
 
+def bit_sums(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits set."""
+    return np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
+def majority(ones: np.ndarray, n: int) -> int:
+    """The fingerprint: bits set in over half of n hashes."""
+    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+
+
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """Unsigned 64-bit SimHash of the word shingles of a whole text."""
     from xxhash import xxh64_intdigest as digest
@@ -46,8 +56,8 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     ones = np.zeros(64, np.int64)
     for k in range(0, n, BLOCK):
         h = np.fromiter((digest(body[i:j], SEED) for i, j in zip(a[k : k + BLOCK], b[k : k + BLOCK], strict=True)), np.uint64, min(BLOCK, n - k))
-        ones += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
+        ones += bit_sums(h)
+    return majority(ones, n)
 
 
 def segment_counts(fps: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import op10_lines
+from granary.llm import near_copies, op10_lines
 
 
 def test_long_unlike_lines_are_no_candidates(spark):
@@ -23,3 +23,27 @@ def test_long_unlike_lines_are_no_candidates(spark):
     doc = {r["set"]: r["doc"] for r in sets.collect()}
     got = {tuple(sorted((doc[r["set"]], doc[r["o_set"]]))) for r in pairs.collect()}
     assert set(near) <= got and len(got) <= len(near) + 10
+
+
+def test_near_copies_come_from_fingerprints_first(spark):
+    """Near copies of close fingerprints are candidates of the SimHash grid, whatever their min-hashes; parities let no true pair go and drop unlike ones."""
+    rng = np.random.default_rng(5)
+    texts = [[f"v{x}" for x in rng.integers(0, 10**6, 400)] for _ in range(40)]
+    texts += [[*t[:200], "other", *t[201:]] for t in texts]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    sets = near_copies.shingle_sets(docs, "doc_id", "text", 5).cache()
+    name = {r["set"]: r["key"] for r in sets.collect()}
+    got = {tuple(sorted((name[r["a"]], name[r["b"]]))) for r in near_copies._fingerprint_pairs(sets).collect()}
+    own = [near_copies.shingle_set(" ".join(t), 5) for t in texts]
+    bits = [near_copies.fingerprint_of(s) for s in own]
+    near = {(i, 40 + i) for i in range(40) if (bits[i] ^ bits[40 + i]).bit_count() <= near_copies.FP_BITS}
+    assert len(near) > 20 and near <= got
+    every = sets.alias("x").join(sets.alias("y"), F.col("x.set") < F.col("y.set")).select(F.col("x.set").alias("a"), F.col("y.set").alias("b"))
+    assert {tuple(sorted((name[r["a"]], name[r["b"]]))) for r in near_copies._reach(every, sets, 4, 5).collect()} == {(i, 40 + i) for i in range(40)}
+    for i in range(40):
+        for j in (i + 40, (i + 1) % 40):
+            differ = near_copies.apart(near_copies.parities(own[i]), near_copies.parities(own[j]))
+            true = len(np.setxor1d(own[i], own[j]))
+            assert differ <= true and (true < 20 or differ > 200)
+    assert near_copies.apart(near_copies.parities(own[0]), near_copies.parities(own[0][:100])) <= len(own[0]) - 100
+    assert near_copies.parities(own[0][:0]) == bytes(32)
