@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -33,13 +35,31 @@ def columns(msa: DataFrame, gene: str, species: str, seq: str) -> DataFrame:
     return msa.select(gene, species, F.posexplode(F.split(F.upper(seq), "")).alias("pos", "base")).withColumn("pos", F.col("pos") + 1).where("base != ''")
 
 
+#: Letters of a sequence that move as one row: whole codons, and no more than a long has bits.
+PIECE = 63
+
+
+def _pieces(msa: DataFrame, gene: str, seq: str) -> DataFrame:
+    """gene, _at (letters before the piece) and _piece of the upper-case sequences, dealt by gene and piece: letters and codons are told apart only where all rows
+    of theirs have met, so what moves is the sequences themselves."""
+    cut = F.regexp_extract_all(F.upper(F.col(seq)), F.lit(f"(?s)(.{{1,{PIECE}}})"), F.lit(1))
+    return msa.select(gene, F.posexplode(cut).alias("_k", "_piece")).select(gene, (F.col("_k") * PIECE).alias("_at"), "_piece").repartition(gene, "_at")
+
+
 def variable_columns(msa: DataFrame, gene: str, species: str, seq: str) -> DataFrame:
-    """gene, species, positions, seq: the alignment reduced to columns with two or more known bases."""
-    c = columns(msa, gene, species, seq)
-    known = F.when(~F.col("base").isin("-", "N", "?"), F.col("base"))
-    keep = c.groupBy(gene, "pos").agg(F.min(known).alias("lo"), F.max(known).alias("hi")).where("lo != hi").select(gene, "pos")
-    k = c.join(keep, [gene, "pos"])
-    s = k.groupBy(gene, species).agg(F.array_sort(F.collect_list(F.struct("pos", "base"))).alias("x"))
+    """gene, species, positions, seq: the alignment reduced to columns with two or more known bases. Sequences move whole; a gene's columns are bits by piece."""
+    c = _pieces(msa, gene, seq).select(gene, "_at", F.posexplode(F.split("_piece", "")).alias("i", "base")).where("base not in ('', '-', 'N', '?')")
+    keep = c.groupBy(gene, "_at", "i").agg(F.min(F.ascii("base")).alias("lo"), F.max(F.ascii("base")).alias("hi")).where("lo != hi")
+    keep = keep.groupBy(gene, "_at").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("_bits"))
+    keep = keep.groupBy(gene).agg(F.array_sort(F.collect_list(F.struct("_at", "_bits"))).alias("_keep"))
+    places = lambda e: F.filter(F.transform(F.sequence(F.lit(0), F.lit(PIECE - 1)), lambda i: F.when(F.getbit(e["_bits"], i) == 1, e["_at"] + i + 1)), lambda p: p.isNotNull())
+    rows = msa.select(gene, species, F.col(seq).alias("_seq")).join(keep, gene)
+    rows = rows.select(gene, species, F.filter(F.split(F.upper("_seq"), ""), lambda x: x != "").alias("_bases"), F.flatten(F.transform("_keep", places)).alias("_keep"))
+    at = F.filter("_keep", lambda p: p <= F.size("_bases"))
+    x = rows.select(gene, species, F.transform(at, lambda p: F.struct(p.alias("pos"), F.get("_bases", p - 1).alias("base"))).alias("x")).where("size(x) > 0")
+    # Rows of one gene and species are one row, as everywhere here; usually there is one.
+    s = x.groupBy(gene, species).agg(F.collect_list("x").alias("x"))
+    s = s.withColumn("x", F.when(F.size("x") == 1, F.get("x", F.lit(0))).otherwise(F.array_sort(F.flatten("x"))))
     return s.select(gene, species, F.transform("x", lambda e: e["pos"]).alias("positions"), F.array_join(F.transform("x", lambda e: e["base"]), "").alias("seq"))
 
 
@@ -64,16 +84,20 @@ def codon_sites(msa: DataFrame, gene: str, species: str, seq: str, outgroup: lis
     """
     from ..functions.sequence import BASES, codon_table
 
-    table = codon_table()
-    codes = F.create_map(*[F.lit(x) for kv in sorted(table.items()) for x in kv])
-    free = sorted({c[:2] for c in table if len({table[c[:2] + x] for x in BASES}) == 1})
+    # A site's codons are the bits of one long: 4 * head + third base, heads being the first two bases.
+    table, names = codon_table(), [a + b + c for a in BASES for b in BASES for c in BASES]
+    codes = F.create_map(*[F.lit(x) for i, c in enumerate(names) for x in (c, i)])
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    masks = [signed(sum(1 << i for i, c in enumerate(names) if table[c] == aa)) for aa in sorted(set(table.values()))]
+    free = [signed(~(15 << 4 * h) & (1 << 64) - 1) for h in range(16) if len({table[c] for c in names[4 * h : 4 * h + 4]}) == 1]
     m = msa if not outgroup else msa.where(~F.col(species).isin(outgroup))
-    c = m.select(gene, F.posexplode(F.regexp_extract_all(F.upper(F.col(seq)), F.lit("(...)"), F.lit(1))).alias("i", "codon")).where("codon rlike '^[ACGT]{3}$'")
-    head = F.substring("codon", 1, 2)
-    n = c.withColumn("aa", F.try_element_at(codes, F.col("codon"))).groupBy(gene, (F.col("i") + 1).alias("codon_no"))
-    n = n.agg(F.countDistinct("codon").alias("k"), F.countDistinct("aa").alias("a"), F.min(head).alias("lo"), F.max(head).alias("hi"))
-    kind = F.when(F.col("k") == 1, "constant").when(F.col("a") == 1, "synonymous").otherwise("nonsynonymous")
-    return n.select(gene, F.col("codon_no").alias("codon"), kind.alias("kind"), (F.col("lo").isin(*free) & (F.col("lo") == F.col("hi"))).alias("fourfold"))
+    c = _pieces(m, gene, seq).select(gene, "_at", F.posexplode(F.regexp_extract_all("_piece", F.lit("(...)"), F.lit(1))).alias("i", "codon"))
+    c = c.select(gene, "_at", "i", F.try_element_at(codes, F.col("codon")).alias("code")).where("code is not null")
+    n = c.groupBy(gene, "_at", "i").agg(F.bit_or(F.expr("shiftleft(1L, code)")).alias("m"))
+    several = sum((F.when(F.col("m").bitwiseAND(F.lit(a)) != 0, 1).otherwise(0) for a in masks), F.lit(0))
+    kind = F.when(F.bit_count("m") == 1, "constant").when(several == 1, "synonymous").otherwise("nonsynonymous")
+    fourfold = reduce(Column.__or__, [F.col("m").bitwiseAND(F.lit(f)) == 0 for f in free])
+    return n.select(gene, (F.col("_at") / 3 + F.col("i") + 1).cast("int").alias("codon"), kind.alias("kind"), fourfold.alias("fourfold"))
 
 
 def fourfold_alignment(msa: DataFrame, gene: str, species: str, seq: str, outgroup: list | None = None) -> DataFrame:
