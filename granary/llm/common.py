@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,8 +87,29 @@ def tidy(spark: SparkSession) -> Iterator[None]:
 
 
 def settle(spark: SparkSession) -> None:
-    """Let the driver's JVM collect what finished queries have left, plan trees and texts, between phases of many queries; no result depends on it."""
+    """Let the driver's JVM collect what finished queries have left, plan trees and texts, between phases of many queries; no result depends on it.
+
+    Each shuffle of an adaptive plan has a thread that lives for a minute, and what threads free stays in their malloc arenas, so that part goes back to the system too.
+    """
     spark.sparkContext._jvm.System.gc()
+    trim_native(spark)
+
+
+def trim_native(spark: SparkSession) -> bool:
+    """Have the driver's JVM return freed native memory to the system (jcmd System.trim_native_heap); False where it has no such command."""
+    gateway, jvm = spark.sparkContext._gateway, spark.sparkContext._jvm
+    obj, kind = jvm.java.lang.Object, jvm.java.lang.Class
+    try:
+        takes = gateway.new_array(kind, 4)
+        for i, c in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            takes[i] = kind.forName(c)
+        given = gateway.new_array(obj, 4)
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        # Through the interface: the server's own class is not open to callers.
+        kind.forName("javax.management.MBeanServer").getMethod("invoke", takes).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), given)
+    except Py4JError:
+        return False
+    return True
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import near_copies, op10_lines
+from granary.llm import common, near_copies, op10_lines
 
 
 def test_long_unlike_lines_are_no_candidates(spark):
@@ -47,3 +47,20 @@ def test_near_copies_come_from_fingerprints_first(spark):
             assert differ <= true and (true < 20 or differ > 200)
     assert near_copies.apart(near_copies.parities(own[0]), near_copies.parities(own[0][:100])) <= len(own[0]) - 100
     assert near_copies.parities(own[0][:0]) == bytes(32)
+
+
+def test_settle_returns_native_memory(spark):
+    """What threads of finished queries have freed goes back to the system: resident memory falls by what malloc held."""
+    allocate = spark.sparkContext._jvm.org.apache.spark.unsafe.Platform
+    pid = spark.sparkContext._jvm.java.lang.ProcessHandle.current().pid()
+    resident = lambda: int(next(x for x in open(f"/proc/{pid}/status") if x.startswith("VmRSS")).split()[1]) // 1024
+    held = [allocate.allocateMemory(64 << 10) for _ in range(3000)]
+    for at in held:
+        allocate.setMemory(at, 1, 64 << 10)
+    fence = allocate.allocateMemory(64 << 10)  # what lies below it stays with malloc when freed
+    for at in held:
+        allocate.freeMemory(at)
+    before = resident()
+    assert common.trim_native(spark)
+    assert resident() < before - 100
+    allocate.freeMemory(fence)
