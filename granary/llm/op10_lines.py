@@ -6,9 +6,10 @@ Sets that can reach the threshold share a token of their prefixes; of those that
 parities: their Hamming distance is at most the symmetric difference) leave few, whose tokens are then compared exactly. 64 bits tell sets of up to
 some 100 tokens apart; sets of ``LONG`` tokens and more have WORDS times as many, which fold to 64 where one partner is shorter.
 
-Crowds of near-equal lines stay linear: each set is first held against a few leaders, the earliest sets (one in each of ``LEADERS`` hash ranges of sets)
-with the same smallest or largest token hash of the prefix. Sets that a leader proves need no other partner; only the others probe the full prefix
-join, so no match is lost. A line is removed if an earlier line (by id, then text hash, then place) has an equal set or one
+Crowds of near-equal lines: each set is first held against one of a few leaders, the earliest sets (one in each of ``LEADERS`` hash ranges of sets)
+with the same smallest or largest token hash of the prefix: the one whose parities leave most room. Sets that a leader proves need no other partner; only the
+others probe the full prefix join, for partners of earlier documents alone, and there too the likeliest one goes first, so no match is lost. What still grows with the
+square of a crowd are sets just below the threshold: nothing but their tokens tells them apart from matches. A line is removed if an earlier line (by id, then text hash, then place) has an equal set or one
 that reaches the threshold, whether or not that earlier line is itself kept.
 
 Sets too small to reach the threshold with a set of another size (at 4/5 those of under four tokens) only need the equal-set path and have no prefix.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, Plain, bit_filter, checkpointed, drop, materialize, one_row, settle, tidy
 
-COUNTER_BITS, LEADERS, PARTS, LONG, WORDS = 18, 4, 4, 64, 4
+COUNTER_BITS, LEADERS, PARTS, LONG, WORDS = 18, 32, 4, 64, 4
 PLACE = ["doc", "th", "line_no"]
 SIGS = [f"sig{k}" for k in range(WORDS)]
 
@@ -87,38 +88,59 @@ def _need(num: int, den: int, n: str = "n", o_n: str = "o_n") -> str:
     return f"(({num} * ({n} + {o_n}) + {num + den - 1}) div {num + den})"
 
 
-def _near(num: int, den: int, n: str = "n", o_n: str = "o_n") -> str:
-    """Length and parity filters on n, o_n, SIGS and those of the other set."""
+def _slack(num: int, den: int, n: str = "n", o_n: str = "o_n") -> str:
+    """What the symmetric difference may be, less what parities say it is at least; below 0: no match."""
     folded = f"bit_count({' ^ '.join(f'{c} ^ o_{c}' for c in SIGS)})"
     apart = f"if(least({n}, {o_n}) < {LONG}, {folded}, {' + '.join(f'bit_count({c} ^ o_{c})' for c in SIGS)})"
-    return f"{den} * least({n}, {o_n}) >= {num} * greatest({n}, {o_n}) and {apart} <= {n} + {o_n} - 2 * {_need(num, den, n, o_n)}"
+    return f"({n} + {o_n} - 2 * {_need(num, den, n, o_n)} - {apart})"
+
+
+def _near(num: int, den: int, n: str = "n", o_n: str = "o_n") -> str:
+    """Length and parity filters on n, o_n, SIGS and those of the other set."""
+    return f"{den} * least({n}, {o_n}) >= {num} * greatest({n}, {o_n}) and {_slack(num, den, n, o_n)} >= 0"
 
 
 def _led(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """set and o_set: pairs of a set and a leader from an earlier document that pass the filters."""
+    """set and o_set: of each set the leader from an earlier document that passes the filters with most room."""
     keys = F.explode(F.array_distinct(F.array(F.array_min("prefix"), F.array_max("prefix")))).alias("k")
     rows = sets.where("size(prefix) > 0").select("set", F.col("first.doc").alias("doc"), "n", *SIGS, keys)
     leads = rows.groupBy("k", F.pmod("set", F.lit(LEADERS)).alias("part")).agg(F.min(F.struct("doc", "set", "n", *SIGS)).alias("lead"))
     leads = leads.select("k", *[F.col(f"lead.{c}").alias(f"o_{c}") for c in ("doc", "set", "n", *SIGS)])
-    return rows.join(leads, "k").where(f"o_doc < doc and {_near(num, den)}").select("set", "o_set").distinct()
+    found = rows.join(leads, "k").where(f"o_doc < doc and {_near(num, den)}").select("set", "o_set", F.expr(_slack(num, den)).alias("slack"))
+    return found.groupBy("set").agg(F.max_by("o_set", F.struct("slack", "o_set")).alias("o_set"))
 
 
-def _joined(probes: DataFrame, sets: DataFrame, num: int, den: int, part: int) -> DataFrame:
-    """set and o_set: pairs of a probe and another set that share a token of one part of all tokens in their prefixes and pass all filters."""
-    at = "shiftleft(cast(n as bigint), 32) | pos"
-    rows = lambda x: x.select("set", "n", *SIGS, F.posexplode("prefix").alias("pos", "token")).where(F.pmod("token", F.lit(PARTS)) == part)
-    b = rows(probes).select("token", "set", *SIGS, F.expr(at).alias("at"))
-    a = rows(sets).select("token", F.col("set").alias("o_set"), *[F.col(c).alias(f"o_{c}") for c in SIGS], F.expr(at).alias("o_at"))
+def _joined(probes: DataFrame, others: DataFrame, num: int, den: int, part: int) -> DataFrame:
+    """set, o_set, same and slack: pairs of a probe and a set of an earlier document, or of its own (same), that share a token of one part of all tokens in their prefixes and pass all filters.
+
+    Of two sets the smaller one needs only the prefix for the overlap with a set of its own size, n - ceil(2 * num * n / (num + den)) + 1 tokens, so one side of the
+    join is little more than half of the other. Sets are probes or others; others have no partner to find.
+    """
+    columns = ["set", "n", *SIGS, "prefix"]
+    every = probes.select(*columns, "first.doc", F.lit(1).alias("probe")).union(others.select(*columns, "first.doc", F.lit(0).alias("probe")))
+    rows = every.select("doc", "set", "n", "probe", *SIGS, F.posexplode("prefix").alias("pos", "token")).where(F.pmod("token", F.lit(PARTS)) == part)
+    at = F.expr("shiftleft(cast(n as bigint), 32) | shiftleft(cast(pos as bigint), 1) | probe").alias("at")
+    large = rows.select("token", "doc", "set", *SIGS, at)
+    few = rows.where(f"pos <= n - ((2 * {num} * n + {num + den - 1}) div {num + den})")
+    small = few.select("token", *[F.col(c).alias(f"o_{c}") for c in ("doc", "set", *SIGS)], at.alias("o_at"))
     n, o_n = "cast(shiftright(at, 32) as int)", "cast(shiftright(o_at, 32) as int)"
+    pos, o_pos = "cast(shiftright(at & 4294967295L, 1) as int)", "cast(shiftright(o_at & 4294967295L, 1) as int)"
+    this, other = "doc >= o_doc and (at & 1) = 1", "o_doc >= doc and (o_at & 1) = 1"
     fits = (
-        f"set != o_set and {_near(num, den, n, o_n)} "
-        f"and 1 + least({n} - cast(at & 4294967295L as int) - 1, {o_n} - cast(o_at & 4294967295L as int) - 1) >= {_need(num, den, n, o_n)}"
+        f"({n} > {o_n} or {n} = {o_n} and set > o_set) and ({this} or {other}) and {_near(num, den, n, o_n)} "
+        f"and 1 + least({n} - {pos} - 1, {o_n} - {o_pos} - 1) >= {_need(num, den, n, o_n)}"
     )
-    return b.join(a, "token").where(fits).select("set", "o_set").distinct()
+    slack = _slack(num, den, n, o_n)
+    pair = lambda a, b: f"struct({a} as set, {b} as o_set, doc = o_doc as same, {slack} as slack)"
+    found = F.expr(f"array_compact(array(if({this}, {pair('set', 'o_set')}, null), if({other}, {pair('o_set', 'set')}, null)))")
+    return large.join(small, "token").where(fits).select(F.inline(found)).distinct()
+
 
+def _proven(pairs: DataFrame, sets: DataFrame, docs: DataFrame, num: int, den: int) -> DataFrame:
+    """set: those of pairs (set, o_set, slack; same: of one document) whose partner reaches num/den and is earlier.
 
-def _proven(pairs: DataFrame, sets: DataFrame, docs: DataFrame, num: int, den: int, ordered: bool) -> DataFrame:
-    """set: those of pairs (set, o_set) whose partner reaches num/den and is earlier; ordered: all partners are."""
+    Each set is held against its likeliest partner first; only sets that this one does not prove are held against all of theirs.
+    """
     ends = pairs.select("set").union(pairs.select("o_set")).distinct()
     held = bit_filter(ends.select(F.col("set").alias("key")))
     at = checkpointed(sets.where(held.holds(F.col("set"))).join(ends, "set", "left_semi").select("set", "first"))
@@ -126,12 +148,20 @@ def _proven(pairs: DataFrame, sets: DataFrame, docs: DataFrame, num: int, den: i
     text = _lines(docs).where(held.holds(F.xxhash64(*PLACE)))
     toks = text.join(at.select("set", "first.*"), PLACE).select("set", _hashes(F.col("line")).alias("toks"))
     toks = checkpointed(toks.dropDuplicates(["set"]))
-    if not ordered:
+    if "same" in pairs.columns:
         earlier = at.select(F.col("set").alias("o_set"), F.col("first").alias("o_first"))
-        pairs = pairs.join(at, "set").join(earlier, "o_set").where("o_first < first").select("set", "o_set")
+        own = pairs.where("same").join(at, "set").join(earlier, "o_set").where("o_first < first")
+        pairs = pairs.where("not same").union(own.select(*pairs.columns))
     other = toks.select(F.col("set").alias("o_set"), F.col("toks").alias("o_toks"))
-    both = pairs.join(toks, "set").join(other, "o_set").withColumn("shared", F.size(F.array_intersect("toks", "o_toks")))
-    return checkpointed(both.where(f"{den} * shared >= {num} * (size(toks) + size(o_toks) - shared)").select("set").distinct())
+
+    def reach(some: DataFrame) -> DataFrame:
+        both = some.join(toks, "set").join(other, "o_set").withColumn("shared", F.size(F.array_intersect("toks", "o_toks")))
+        return both.where(f"{den} * shared >= {num} * (size(toks) + size(o_toks) - shared)").select("set").distinct()
+
+    if "same" not in pairs.columns:  # leaders, one of each set
+        return checkpointed(reach(pairs))
+    likely = checkpointed(reach(pairs.groupBy("set").agg(F.max_by("o_set", F.struct("slack", "o_set")).alias("o_set"))))
+    return checkpointed(likely.union(reach(pairs.join(likely, "set", "left_anti"))))
 
 
 def _removed(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
@@ -141,18 +171,20 @@ def _removed(docs: DataFrame, num: int, den: int, min_tokens: int) -> DataFrame:
         whole = line_sets(docs, classes, num, den)
         whole = materialize(whole.where(F.col("n") >= min_tokens) if min_tokens > 1 else whole)
         first = F.min(F.struct(*PLACE)).alias("first")
-        sets = checkpointed(whole.groupBy("set").agg(first, F.first("n").alias("n"), *[F.first(c).alias(c) for c in SIGS], F.first("prefix").alias("prefix")))
+        # Dealt first: most sets are single, so a sort for partial results would be for nothing.
+        sets = checkpointed(whole.repartition("set").groupBy("set").agg(first, F.first("n").alias("n"), *[F.first(c).alias(c) for c in SIGS], F.first("prefix").alias("prefix")))
         lines = materialize(whole.select(*PLACE, "set"))
         drop(whole)
-        proven = _proven(checkpointed(_led(sets, num, den)), sets, docs, num, den, True)
+        proven = _proven(checkpointed(_led(sets, num, den)), sets, docs, num, den)
         settle(docs.sparkSession)
         held = bit_filter(proven.select(F.col("set").alias("key"))).holds(F.col("set"))
         probes = sets.where(~held).union(sets.where(held).join(proven, "set", "left_anti"))
+        others = sets.where(held).join(proven, "set", "left_semi")
         # One part of the tokens after another: the join's rows are the most that is on disk at once.
-        joined = [checkpointed(_joined(probes, sets, num, den, part)) for part in range(PARTS)]
+        joined = [checkpointed(_joined(probes, others, num, den, part)) for part in range(PARTS)]
         pairs = checkpointed(reduce(DataFrame.union, joined).distinct())
         settle(docs.sparkSession)
-        found = proven.union(_proven(pairs, sets, docs, num, den, False))
+        found = proven.union(_proven(pairs, sets, docs, num, den))
         held = bit_filter(found.select(F.col("set").alias("key"))).holds(F.col("set"))
         maybe = sets.where(held).join(found.withColumn("gone", F.lit(True)), "set", "left").select("set", "first", F.coalesce("gone", F.lit(False)).alias("gone"))
         placed = sets.where(~held).select("set", "first", F.lit(False).alias("gone")).union(maybe)

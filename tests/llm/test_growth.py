@@ -64,3 +64,26 @@ def test_settle_returns_native_memory(spark):
     assert common.trim_native(spark)
     assert resident() < before - 100
     allocate.freeMemory(fence)
+
+
+def test_crowds_of_lines_pair_with_earlier_ones_only(spark):
+    """A crowd's candidates are each pair once, later line first, and only lines that no leader has proven look for partners; results are those of brute force."""
+    rng = np.random.default_rng(11)
+    base = [f"b{x}" for x in range(40)]
+    lines = [" ".join([*(w for k, w in enumerate(base) if k not in set(rng.choice(40, 4, replace=False))), f"own{i}"]) for i in range(120)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc long, text string").withColumn("th", F.xxhash64("text"))
+    whole = op10_lines.line_sets(docs, op10_lines.rarity_classes(docs), 4, 5)
+    sets = whole.withColumn("first", F.struct(*op10_lines.PLACE)).cache()
+    doc = {r["set"]: r["doc"] for r in sets.collect()}
+    toks = [set(x.split()) for x in lines]
+    near = {(j, i) for i in range(120) for j in range(i + 1, 120) if 5 * len(toks[i] & toks[j]) >= 4 * len(toks[i] | toks[j])}
+    none = sets.limit(0)
+    got = {(doc[r["set"]], doc[r["o_set"]]) for part in range(op10_lines.PARTS) for r in op10_lines._joined(sets, none, 4, 5, part).collect()}
+    assert near <= got and all(a > b for a, b in got)
+    late = sets.where("doc >= 100")
+    got = {(doc[r["set"]], doc[r["o_set"]]) for part in range(op10_lines.PARTS) for r in op10_lines._joined(late, sets.where("doc < 100"), 4, 5, part).collect()}
+    assert {p for p in near if p[0] >= 100} <= got and all(a >= 100 for a, _ in got)
+    led = op10_lines._led(sets, 4, 5).collect()
+    assert len(led) == len({r["set"] for r in led}) > 0
+    found = op10_lines._removed(docs, 4, 5, 1).collect()
+    assert {r["doc"] for r in found} == {j for j, _ in near}
