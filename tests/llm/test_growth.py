@@ -3,10 +3,12 @@
 from functools import reduce
 
 import numpy as np
+import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm import common, near_copies, op10_lines
+from granary.llm import common, near_copies, op6_substrings, op10_lines
+from tests.llm.test_llm import removed_windows
 
 
 def test_long_unlike_lines_are_no_candidates(spark):
@@ -87,3 +89,31 @@ def test_crowds_of_lines_pair_with_earlier_ones_only(spark):
     assert len(led) == len({r["set"] for r in led}) > 0
     found = op10_lines._removed(docs, 4, 5, 1).collect()
     assert {r["doc"] for r in found} == {j for j, _ in near}
+
+
+@pytest.mark.parametrize(("log", "chunk"), [(op6_substrings.AGAIN_LOG, 150), (op6_substrings.AGAIN_LOG, 10), (8, 30)])
+def test_crowds_of_segments_shrink_to_runs(spark, monkeypatch, log, chunk):
+    """Near copies have a segment each at an anchor, but few different runs of windows that others have, and no row for each window.
+
+    With few texts a shard, or a filter that knows every window, runs go by window; results are those of brute force.
+    """
+    rng = np.random.default_rng(12)
+    base = [f"b{x}" for x in range(150)]
+    rows = [(i, " ".join(f"own{i}" if k == at else w for k, w in enumerate(base))) for i, at in enumerate(rng.integers(0, 150, 400))]
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 400, 7)] + [(2000, rows[5][1] + " " + rows[9][1]), (2001, "short"), (2002, None)]
+    sizes = []
+
+    def counted(df):
+        out = common.materialize(df)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(op6_substrings, "AGAIN_LOG", log)
+    monkeypatch.setattr(op6_substrings, "materialize", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in op6_substrings.substring_dedup(docs, chunk=chunk).collect()}
+    assert got == removed_windows(rows, 50)
+    _, segments, *later = sizes
+    assert segments > 400 and later
+    if chunk == 150:
+        assert max(later) < 2 * segments and later[-1] < segments // 3
