@@ -35,32 +35,57 @@ def columns(msa: DataFrame, gene: str, species: str, seq: str) -> DataFrame:
     return msa.select(gene, species, F.posexplode(F.split(F.upper(seq), "")).alias("pos", "base")).withColumn("pos", F.col("pos") + 1).where("base != ''")
 
 
-#: Letters of a sequence that move as one row: whole codons, and no more than a long has bits.
+#: Letters of a sequence that move as one row: whole codons.
 PIECE = 63
+#: The same for columns: at four bytes a letter, what a bitmap aggregate of Spark holds (4096 bytes).
+WIDE_PIECE = 1024
+#: Letters that tell nothing of a column, and letters that an AND passes by as an OR does the zero letter: in planes 0 to 15, and in plane 16.
+UNKNOWN, ALL_BITS = "-N?", ("\U000fffff", "\U0010ffff")
 
 
-def _pieces(msa: DataFrame, gene: str, seq: str) -> DataFrame:
-    """gene, _at (letters before the piece) and _piece of the upper-case sequences, dealt by gene and piece: letters and codons are told apart only where all rows
-    of theirs have met, so what moves is the sequences themselves."""
-    cut = F.regexp_extract_all(F.upper(F.col(seq)), F.lit(f"(?s)(.{{1,{PIECE}}})"), F.lit(1))
-    return msa.select(gene, F.posexplode(cut).alias("_k", "_piece")).select(gene, (F.col("_k") * PIECE).alias("_at"), "_piece").repartition(gene, "_at")
+def _pieces(msa: DataFrame, gene: str, seq: str, *also: str, size: int = PIECE) -> DataFrame:
+    """gene, also, _at (letters before the piece) and _piece of the upper-case sequences, dealt by gene and piece: letters and codons are told apart only where all
+    rows of theirs have met, so what moves is the sequences themselves."""
+    cut = F.regexp_extract_all(F.upper(F.col(seq)), F.lit(f"(?s)(.{{1,{size}}})"), F.lit(1))
+    return msa.select(gene, *also, F.posexplode(cut).alias("_k", "_piece")).select(gene, *also, (F.col("_k") * size).alias("_at"), "_piece").repartition(gene, "_at")
+
+
+def _varying(pieces: DataFrame, gene: str, species: str) -> DataFrame:
+    """gene, _at, _mask: of pieces that are not all equal, which columns are variable (maybe none). Known letters of a column are equal if their codes' AND is
+    their OR, with the one or the other letter in place of unknown ones.
+
+    Letters do not become rows: codes of four bytes are joined as bitmaps. The species are in the comparison of pieces so that this reads the same columns as the
+    join with its result and both share one exchange.
+    """
+    known = lambda to: reduce(lambda s, x: F.replace(s, F.lit(x), F.lit(to)), UNKNOWN, F.col("_piece"))
+    code = lambda s: F.encode(s, "UTF-32")
+    low, high, n = F.min(F.struct("_piece", species)).alias("_low"), F.max(F.struct("_piece", species)).alias("_high"), F.max(F.length("_piece")).alias("_n")
+    any_ = F.bitmap_or_agg(code(known("\0"))).alias("_or")
+    alls = [F.bitmap_and_agg(code(F.rpad(known(x), WIDE_PIECE, x))).alias(f"_and{k}") for k, x in enumerate(ALL_BITS)]
+    x = pieces.groupBy(gene, "_at").agg(low, high, n, any_, *alls).where(F.col("_low._piece") != F.col("_high._piece"))
+    at = lambda bits, i: F.substring(bits, 4 * i + 1, F.lit(4))
+    differ = lambda i: (at("_or", i) != at("_and0", i)) & (at("_or", i) != at("_and1", i)) & (at("_or", i) != F.lit(bytes(4)))
+    mask = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), differ)
+    return x.select(gene, "_at", mask.alias("_mask"))
 
 
 def variable_columns(msa: DataFrame, gene: str, species: str, seq: str) -> DataFrame:
-    """gene, species, positions, seq: the alignment reduced to columns with two or more known bases. Sequences move whole; a gene's columns are bits by piece."""
-    c = _pieces(msa, gene, seq).select(gene, "_at", F.posexplode(F.split("_piece", "")).alias("i", "base")).where("base not in ('', '-', 'N', '?')")
-    keep = c.groupBy(gene, "_at", "i").agg(F.min(F.ascii("base")).alias("lo"), F.max(F.ascii("base")).alias("hi")).where("lo != hi")
-    keep = keep.groupBy(gene, "_at").agg(F.bit_or(F.expr("shiftleft(1L, i)")).alias("_bits"))
-    keep = keep.groupBy(gene).agg(F.array_sort(F.collect_list(F.struct("_at", "_bits"))).alias("_keep"))
-    places = lambda e: F.filter(F.transform(F.sequence(F.lit(0), F.lit(PIECE - 1)), lambda i: F.when(F.getbit(e["_bits"], i) == 1, e["_at"] + i + 1)), lambda p: p.isNotNull())
-    rows = msa.select(gene, species, F.col(seq).alias("_seq")).join(keep, gene)
-    rows = rows.select(gene, species, F.filter(F.split(F.upper("_seq"), ""), lambda x: x != "").alias("_bases"), F.flatten(F.transform("_keep", places)).alias("_keep"))
-    at = F.filter("_keep", lambda p: p <= F.size("_bases"))
-    x = rows.select(gene, species, F.transform(at, lambda p: F.struct(p.alias("pos"), F.get("_bases", p - 1).alias("base"))).alias("x")).where("size(x) > 0")
-    # Rows of one gene and species are one row, as everywhere here; usually there is one.
-    s = x.groupBy(gene, species).agg(F.collect_list("x").alias("x"))
-    s = s.withColumn("x", F.when(F.size("x") == 1, F.get("x", F.lit(0))).otherwise(F.array_sort(F.flatten("x"))))
-    return s.select(gene, species, F.transform("x", lambda e: e["pos"]).alias("positions"), F.array_join(F.transform("x", lambda e: e["base"]), "").alias("seq"))
+    """gene, species, positions, seq: the alignment reduced to columns with two or more known bases. Pieces of sequences meet by gene and place, are reduced there and
+    put together by gene and species."""
+    p = _pieces(msa, gene, seq, species, size=WIDE_PIECE).where("_piece is not null")  # none is; else the join below asks this of one side, and no exchange is shared
+    # A condition on the letters kept, or on the mask alone, would be pushed down and make each of them twice.
+    x = p.join(_varying(p, gene, species), [gene, "_at"]).where(F.length("_piece") >= F.nullif(F.array_position("_mask", True), F.lit(0)))
+    here = F.filter(F.transform("_mask", lambda b, i: F.when(b & (i < F.length("_piece")), F.col("_at") + i + 1)), lambda i: i.isNotNull())
+    x = x.select(gene, species, "_at", F.array_join(F.filter(F.split("_piece", ""), lambda c, i: F.get("_mask", i)), "").alias("_s"), here.alias("_p"))
+    s = x.groupBy(gene, species).agg(F.array_sort(F.collect_list(F.struct("_at", "_s"))).alias("_x"), F.collect_list("_p").alias("_p"))
+    # Rows of one gene and species are one row, as everywhere here; usually there is one. Several have their letters in order of place and letter.
+    places = F.array_distinct(F.transform("_x", lambda e: e["_at"]))
+    letters = lambda at: F.transform(F.filter("_x", lambda e: e["_at"] == at), lambda e: F.split(e["_s"], ""))
+    column = lambda rows, i: F.array_sort(F.filter(F.transform(rows, lambda r: F.get(r, i)), lambda c: c.isNotNull()))
+    widest = lambda rows: F.array_max(F.transform(rows, F.size))
+    merged = F.flatten(F.transform(F.transform(places, letters), lambda rows: F.flatten(F.transform(F.sequence(F.lit(0), widest(rows) - 1), lambda i: column(rows, i)))))
+    plain = F.transform("_x", lambda e: e["_s"])
+    return s.select(gene, species, F.array_sort(F.flatten("_p")).alias("positions"), F.array_join(F.when(F.size(places) == F.size("_x"), plain).otherwise(merged), "").alias("seq"))
 
 
 def watterson(msa: DataFrame, gene: str, species: str, seq: str) -> DataFrame:

@@ -41,6 +41,46 @@ def test_variable_columns_over_pieces(spark, rows):
     assert all(re.fullmatch(r"(gene|_at|species)#\d+(, (gene|_at|species)#\d+)*", x) for x in exchanges(out))
 
 
+def rows_made(node):
+    """(name, rows) of every operator of a plan that has run."""
+    kind = node.getClass().getSimpleName()
+    inner = [node.executedPlan()] if kind == "AdaptiveSparkPlanExec" else [node.plan()] if kind.endswith("QueryStageExec") else [node.children().apply(i) for i in range(node.children().size())]
+    m = node.metrics()
+    own = [(kind, m.apply("numOutputRows").value())] if m.contains("numOutputRows") else []
+    return own + [x for n in inner for x in rows_made(n)]
+
+
+def test_variable_columns_make_no_row_for_a_letter(spark):
+    """Long sequences, some shorter, with gaps, letters of other planes and several rows of a species; no operator makes more rows than there are pieces."""
+    rng = np.random.default_rng(6)
+    own = []
+    for g, n in (("a", 2500), ("b", 1024), ("c", 1025), ("d", 3000)):
+        base = rng.choice(list("ACGT"), n)
+        for k in range(12):
+            t = base[: n - 400 * (k % 3) * (g != "d")].copy()
+            if g != "d":
+                at = rng.choice(len(t), 60, replace=False)
+                t[at] = rng.choice(list("acgtN-?\u03a9\u4e2d\U0001f9ec"), 60)
+            else:
+                t[rng.choice(n, 60, replace=False)] = rng.choice(list("-N?"))
+            own.append((g, None if k == 11 else f"s{k % 10}", "".join(t)))
+    own += [("e", "s0", "A" * 1500), ("e", "s1", "A" * 1200 + "-" * 300), ("f", "s0", "\U0001f9ecAC"), ("f", "s1", "-AG"), ("f", "s2", "AC"), ("g", "s0", "-A"), ("g", "s1", "\U0001f9ecA")]
+    own += [("h", "s0", "\U0010f00dA\U00100041\U0010f00d"), ("h", "s1", "-AA\U0001f00d"), ("h", "s2", "\U0010f00d-")]
+    want = {}
+    for g in {r[0] for r in own}:
+        of = [(sp, s.upper()) for h, sp, s in own if h == g]
+        keep = [i for i in range(3000) if len({s[i] for _, s in of if i < len(s)} - set("-N?")) > 1]
+        for sp, s in of:
+            if got := [(i + 1, s[i]) for i in keep if i < len(s)]:
+                want[g, sp] = sorted(want.get((g, sp), []) + got)
+    assert {g for g, _ in want} == {"a", "b", "c", "f", "h"} and want["h", "s1"] == [(3, "A"), (4, "\U0001f00d")]
+    out = consensus.variable_columns(spark.createDataFrame(own, "gene string, species string, s string"), "gene", "species", "s")
+    assert {(r["gene"], r["species"]): list(zip(r["positions"], r["seq"], strict=True)) for r in out.collect()} == want
+    plan = out._jdf.queryExecution().executedPlan()
+    assert max(n for _, n in rows_made(plan)) <= sum(-(-len(s) // 1024) for _, _, s in own)
+    assert "ReusedExchange" in plan.toString()  # sequences are derived and dealt once
+
+
 def test_codon_sites_over_pieces(spark, rows):
     df = spark.createDataFrame(rows, "gene string, species string, s string")
     table, want = codon_table(), set()
